@@ -314,7 +314,7 @@ def oracle() -> dict[str, str]:
     sums = ", ".join(f"cast(sum({c}) as bigint) as sum_{c}" for c in
                      ("fcst_month", "trg_dq", "trg_age", "trg_rem_term", "target_dq"))
     out["target_pairs"] = sql(f"""select trg_yr_qtr, periods, covid, short_sale, count(*) as n, {sums},
-      count(distinct loan_id) as n_loans, min(trg_dt) as first_dt, max(ao_dt) as last_ao from pairs group by 1, 2, 3, 4""",
+      min(trg_dt) as first_dt, max(ao_dt) as last_ao from pairs group by 1, 2, 3, 4""",
                               PANEL, pairs)
     out["target_status"] = sql("""select target_status, target_death, target_dq, count(*) as n from pairs
       group by 1, 2, 3""", PANEL, pairs)
@@ -385,7 +385,7 @@ def oracle() -> dict[str, str]:
     out["prop_values"] = economic("""msa_loc_name, round(ln(trg_prop_val), 9) as log_trg_prop_val,
       round(ln(ao_prop_val), 9) as log_ao_prop_val, round(ln(y20_prop_val), 9) as log_y20_prop_val,
       round(100e0 * ao_upb / ao_prop_val, 3) as ao_eltv, round(100e0 * trg_upb_exp / trg_prop_val, 3) as trg_eltv,
-      round(trg_d_hpi, 3) as trg_d_hpi""")
+      round(trg_d_hpi, 9) as trg_d_hpi""")
     out["refi_incentive"] = economic("""round(rt15_wt, 4) as rt15_wt, round(org_spread, 4) as org_spread,
       round(new_rate, 4) as new_rate, round(new_payment, 4) as new_payment,
       round(12e0 * (trg_payment - new_payment), 4) as trg_refi_incentive""")

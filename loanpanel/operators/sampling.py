@@ -36,13 +36,13 @@ def balanced_cap(counts: DataFrame, target_n: int) -> float | None:
     return None
 
 
-def strata_rates(df: DataFrame, cols: list[str], target_n: int) -> DataFrame:
+def strata_rates(df: DataFrame, cols: list[str], target_n: int, counts: DataFrame | None = None) -> DataFrame:
     """Strata table: count, sampling rate and expected sample of each joint level.
 
     Equal takes from every stratum, up to its size, that add to ``target_n``.
     The counts are staged, so the wide source is scanned once for them.
     """
-    counts = stage(strata_counts(df, cols), "strata")
+    counts = stage(strata_counts(df, cols) if counts is None else counts, "strata")
     cap = balanced_cap(counts, target_n)
     rate = F.lit(1.0) if cap is None else F.least(F.lit(1.0), F.lit(float(cap)) / F.col("n"))
     return counts.select(*cols, "n", rate.alias("rate")).withColumn("expected", F.col("rate") * F.col("n"))
@@ -60,11 +60,12 @@ def stratified_sample(df: DataFrame, cols: list[str], target_n: int, keys: list[
     rate: no sort, no state, the same rows on every run.  ``exact=True`` takes
     exactly round(rate * n) rows of each stratum instead, those of lowest hash.
     """
-    rates = strata_rates(df, cols, target_n) if rates is None else rates
-    rates = rates.select(*cols, "n", "rate")
     if exact:
+        bins = hash_bins(df, cols, keys, seed)
+        rates = strata_rates(df, cols, target_n, group_sizes(bins, cols)) if rates is None else rates
         takes = rates.select(*cols, F.round(F.col("rate") * F.col("n")).cast("bigint").alias("_take"))
-        return take_lowest_hash(df, cols, takes, keys, seed)
+        return take_lowest_hash(df, cols, takes, keys, seed, bins=bins)
+    rates = strata_rates(df, cols, target_n) if rates is None else rates
     joined = join_small(df, rates.select(*cols, F.col("rate").alias("_rate")), cols)
     return joined.where(hash_below(keys, seed, F.col("_rate"))).drop("_rate")
 
@@ -76,51 +77,63 @@ def random_sample(df: DataFrame, target_n: int, keys: list[str], seed: int = SEE
     return df.where(hash_below(keys, seed, F.lit(rate)))
 
 
+def _with_bin(rows: DataFrame, shift: int) -> DataFrame:
+    return rows.withColumn(f"_bin{shift}", F.shiftright("_h", shift).bitwiseAND(F.lit(4095)))
+
+
+def _count_bins(rows: DataFrame, group: list[str], shift: int) -> DataFrame:
+    return stage(rows.groupBy(*group, f"_bin{shift}").agg(F.count(F.lit(1)).alias("_m")), "bins")
+
+
+def hash_bins(df: DataFrame, cols: list[str], keys: list[str], seed: int = SEED) -> DataFrame:
+    """Staged rows per group and hash bin (the top 12 of 28 bits): at most 4,096 rows a group."""
+    return _count_bins(_with_bin(df.withColumn("_h", hash28(*keys, seed=seed)), 16), cols, 16)
+
+
+def group_sizes(bins: DataFrame, cols: list[str]) -> DataFrame:
+    return bins.groupBy(*cols).agg(F.sum("_m").alias("n"))
+
+
 def take_lowest_hash(df: DataFrame, cols: list[str], takes: DataFrame, keys: list[str], seed: int = SEED,
-                     group_rows: int = GROUP_ROWS) -> DataFrame:
+                     group_rows: int = GROUP_ROWS, bins: DataFrame | None = None) -> DataFrame:
     """Exactly ``_take`` rows of each group: those of lowest (hash, key).
 
-    The 28-bit hash is cut into 4,096 bins.  Counts per (group, bin) tell which
-    bin holds the last wanted row.  Bins below it are kept whole, bins above it
-    dropped, and only that bin is ranked: about 1/4,096 of a group.  If it is
-    still above ``group_rows`` the next 12 bits cut it again.
+    Counts per (group, hash bin) tell which bin holds the last wanted row.  Bins
+    below it are kept whole, bins above it dropped, and only that bin is ranked:
+    about 1/4,096 of a group.  If it is still above ``group_rows`` the next 12
+    bits cut it again.  The source is scanned twice, once to count the bins and
+    once to write the candidates.
     """
-    shifted = df.withColumn("_h", hash28(*keys, seed=seed))
-    takes = stage(takes, "takes")
-    kept, edge = _split_at_boundary(shifted, cols, takes, 16)
-    edge_rows, edge_cols, left = edge
+    bins = hash_bins(df, cols, keys, seed) if bins is None else bins
+    hashed = _with_bin(df.withColumn("_h", hash28(*keys, seed=seed)), 16)
+    group = [*cols, "_bin16"]
+    kept, edge, left = _split_at_boundary(hashed, bins, cols, stage(takes, "takes"), "_bin16")
     if (left.agg(F.max("_m")).first()[0] or 0) > group_rows:
-        takes2 = left.select(*edge_cols, "_take")
-        kept2, (edge_rows, edge_cols, left) = _split_at_boundary(edge_rows.drop("_take"), edge_cols, takes2, 4)
-        kept = kept.unionByName(kept2.select(*df.columns))
-    w = Window.partitionBy(*edge_cols).orderBy("_h", *keys)
-    last = edge_rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("_take"))
-    return kept.unionByName(last.select(*df.columns))
-
-
-def _split_at_boundary(rows: DataFrame, cols: list[str], takes: DataFrame, shift: int):
-    """(rows surely kept, (boundary rows with the ``_take`` left, their group columns, boundary table))."""
-    bin_col = f"_bin{shift}"
-    mask = 4095
-    rows = rows.withColumn(bin_col, F.shiftright("_h", shift).bitwiseAND(F.lit(mask)))
-    bins = rows.groupBy(*cols, bin_col).agg(F.count(F.lit(1)).alias("_m"))
-    before = Window.partitionBy(*cols).orderBy(bin_col).rowsBetween(Window.unboundedPreceding, -1)
-    run = bins.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))  # <= 4,096 rows a group
-    run = join_small(run, takes, cols)
+        finer = _with_bin(edge, 4)
+        more, edge, left = _split_at_boundary(finer, _count_bins(finer, group, 4), group, left.drop("_m"), "_bin4")
+        kept = kept.unionByName(more.select(*kept.columns))
+        group = [*group, "_bin4"]
+    w = Window.partitionBy(*group).orderBy("_h", *keys)
+    last = join_small(edge, left.drop("_m"), group).withColumn("_rn", F.row_number().over(w))
+    return kept.select(*df.columns).unionByName(last.where("_rn <= _take").select(*df.columns))
+
+
+def _split_at_boundary(rows: DataFrame, bins: DataFrame, group: list[str], takes: DataFrame, name: str):
+    """Rows surely kept, rows of the boundary bins, and (group, bin, rows in it, rows still wanted)."""
+    before = Window.partitionBy(*group).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    run = bins.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+    run = join_small(run, takes, group)
+    # One boundary row a group at most: none when nothing is wanted of it.
     cut = run.where((F.col("_before") < F.col("_take")) & (F.col("_before") + F.col("_m") >= F.col("_take")))
-    # One boundary row a group: its bin, rows in it, and how many of them are still wanted.
-    cut = stage(cut.select(*cols, F.col(bin_col).alias("_cut"), "_m",
-                           (F.col("_take") - F.col("_before")).alias("_take")), "boundary")
-    joined = join_small(rows, cut.drop("_m"), cols)
-    names = [c for c in rows.columns if c not in ("_h", bin_col)]
-    kept = joined.where(F.col(bin_col) < F.col("_cut")).select(*names)
-    edge = joined.where(F.col(bin_col) == F.col("_cut")).drop("_cut")
-    left = cut.withColumnRenamed("_cut", bin_col)
-    return kept, (edge, [*cols, bin_col], left)
+    left = stage(cut.select(*group, name, "_m", (F.col("_take") - F.col("_before")).alias("_take")), "boundary")
+    joined = join_small(rows, left.select(*group, F.col(name).alias("_cut")), group)
+    wanted = stage(joined.where(F.col(name) <= F.col("_cut")), "candidates")
+    kept = wanted.where(F.col(name) < F.col("_cut")).drop("_cut")
+    return kept, wanted.where(F.col(name) == F.col("_cut")).drop("_cut"), left
 
 
 def sample_per_level(df: DataFrame, by: list[str], n: int, keys: list[str], seed: int = SEED) -> DataFrame:
     """``n`` random rows of every level of ``by`` (all of a level's rows when it has fewer)."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    takes = counts.select(*by, F.least(F.col("_n"), F.lit(n)).cast("bigint").alias("_take"))
-    return take_lowest_hash(df, by, takes, keys, seed)
+    bins = hash_bins(df, by, keys, seed)
+    takes = group_sizes(bins, by).select(*by, F.least(F.col("n"), F.lit(n)).cast("bigint").alias("_take"))
+    return take_lowest_hash(df, by, takes, keys, seed, bins=bins)

@@ -129,7 +129,7 @@ def target_pairs(spark, sf):
     ints = ["fcst_month", "trg_dq", "trg_age", "trg_rem_term", "target_dq"]
     return pairs(spark, sf).groupBy("trg_yr_qtr", "periods", "covid", "short_sale").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in ints],
-        F.countDistinct("loan_id").alias("n_loans"), F.min("trg_dt").alias("first_dt"), F.max("ao_dt").alias("last_ao"))
+        F.min("trg_dt").alias("first_dt"), F.max("ao_dt").alias("last_ao"))
 
 
 @query
@@ -269,7 +269,7 @@ def prop_values(spark, sf):
     """Values on a log scale: dollar values end in exact halves, where engines round differently."""
     values = [F.log(c).alias(f"log_{c}") for c in ("trg_prop_val", "ao_prop_val", "y20_prop_val")]
     out = with_economics(spark, sf).select("loan_id", "ao_dt", "msa_loc_name", "ao_eltv", "trg_eltv", "trg_d_hpi", *values)
-    return rounded(out, {c: 9 if c.startswith("log_") else 3 for c in out.columns[3:]})
+    return rounded(out, {c: 3 if c.endswith("eltv") else 9 for c in out.columns[3:]})
 
 
 @query

@@ -41,8 +41,8 @@ def order_months(orders: DataFrame) -> DataFrame:
     )
 
 
-def static_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    books = order_months(table(spark, sf_dir, "orders")).groupBy("loan_id").agg(
+def static_loans(spark: SparkSession, sf_dir: str, months: DataFrame) -> DataFrame:
+    books = months.groupBy("loan_id").agg(
         F.min("month").alias("fp_dt"), F.max("month").alias("last_dt"), F.sum("cents").alias("tot"))
     k, nat = F.col("loan_id"), F.col("c_nationkey")
     no_names = F.array().cast("array<string>")
@@ -71,30 +71,39 @@ def static_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(loan, month) tape.  Windows run per loan over at most one row per calendar month."""
-    months = order_months(table(spark, sf_dir, "orders"))
-    books = months.groupBy("loan_id").agg(
-        F.min("month").alias("fp"), F.max("month").alias("lp"), F.sum("cents").alias("tot"))
-    calendar = books.withColumn("month", F.explode(F.sequence("fp", "lp", F.expr("interval 1 month"))))
-    joined = calendar.join(months, ["loan_id", "month"], "left")
-    so_far = Window.partitionBy("loan_id").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+def flat_tape(months: DataFrame) -> DataFrame:
+    """(loan, month) tape: every order month is repeated until the next one.
+
+    Windows run per loan over at most one row per calendar month.
+    """
+    whole = Window.partitionBy("loan_id")
+    ordered = whole.orderBy("month")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    known = months.select(
+        "loan_id", "cents", "st",
+        F.col("month").alias("ordered"),
+        F.min("month").over(whole).alias("fp"),
+        F.max("month").over(whole).alias("lp"),
+        (F.sum("cents").over(whole) - F.sum("cents").over(so_far)).alias("left"),
+        F.max(F.when(F.col("pr") == ord("5"), 1).otherwise(0)).over(so_far).alias("low"),
+        F.add_months(F.coalesce(F.lead("month").over(ordered), F.add_months("month", 1)), -1).alias("until"),
+    )
     k = F.col("loan_id")
-    ordered = F.max(F.when(F.col("cents").isNotNull(), F.col("month"))).over(so_far)
-    low = F.max(F.when(F.col("pr") == ord("5"), 1).otherwise(0)).over(so_far)
-    return joined.select(
+    calendar = known.withColumn("month", F.explode(F.sequence("ordered", "until", F.expr("interval 1 month"))))
+    return calendar.select(
         "loan_id", "month",
         months_apart("fp", "month").cast("int").alias("age_fp_dt"),
-        ((F.col("tot") - F.sum(F.coalesce("cents", F.lit(0))).over(so_far)) / F.lit(100.0)).alias("upb"),
-        months_apart(ordered, F.col("month")).cast("int").alias("dq"),
+        (F.col("left") / F.lit(100.0)).alias("upb"),
+        months_apart("ordered", "month").cast("int").alias("dq"),
         F.when(k % 13 == 0, 0.0).otherwise(3.0 + (k % 40) / F.lit(10.0)).alias("cur_rate"),
-        F.when((k % 5 == 0) & (low == 1), "Y").otherwise("N").alias("mod"),
+        F.when((k % 5 == 0) & (F.col("low") == 1), "Y").otherwise("N").alias("mod"),
         F.when(F.col("month") < F.col("lp"), "00").when(F.col("st") == ord("F"), "01")
-        .when((F.col("st") == ord("P")) & (k % 2 == 0), "03").when(F.col("st") == ord("P"), "09").otherwise("00").alias("zb"),
+        .when((F.col("st") == ord("P")) & (k % 2 == 0), "03").when(F.col("st") == ord("P"), "09")
+        .otherwise("00").alias("zb"),
         F.lit(0).alias("io_rem"),
         F.when(k % 7 == 0, "T").otherwise("N").alias("bap"),
         F.lit("N").alias("program"),
-        F.when(F.col("cents").isNull(), "unknown")
+        F.when(F.col("month") > F.col("ordered"), "unknown")
         .otherwise(F.concat(F.lit("SV"), (F.col("cents") % 5).cast("string"))).alias("servicer"),
         F.lit("N").alias("reo"),
         F.when(k % 7 == 0, "Y").otherwise("N").alias("pay_pl"),
@@ -102,8 +111,9 @@ def flat_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = nest_history(flat_tape(spark, sf_dir), "loan_id", "month", unique=True)
-    static = static_loans(spark, sf_dir)
+    months = stage(order_months(table(spark, sf_dir, "orders")), "order-months")
+    history = nest_history(flat_tape(months), "loan_id", "month", unique=True)
+    static = static_loans(spark, sf_dir, months)
     return static.withColumns({"msa_d": F.col("msa"), "servicer": F.lit("SV0")}).join(history, "loan_id")
 
 
@@ -161,6 +171,6 @@ def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _staged:
         # Small compressed files expand about 30 times in the explodes that follow: one file per core.
         made = makers[name](spark, sf_dir)
-        spread = made.repartitionByRange(spark.sparkContext.defaultParallelism, made.columns[0])
+        spread = made.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(made.columns[0]))
         _staged[key] = stage(spread, name)
     return _staged[key]

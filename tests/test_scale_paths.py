@@ -80,7 +80,7 @@ def test_salt_spreads_a_hot_key(spark, hot):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         parts = join_small(hot, small, ["g"], limit=0).where("g = 'hot'").groupBy(F.spark_partition_id()).count()
-        assert parts.count() == 8 and parts.agg(F.max("count")).first()[0] < 800
+        assert parts.count() >= 6 and parts.agg(F.max("count")).first()[0] < 800
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
