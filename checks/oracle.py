@@ -348,9 +348,11 @@ def oracle() -> dict[str, str]:
     out["strata_counts"] = sql("""select state, ao_dt, ao_dq_cap6, count(*) as n from panel group by 1, 2, 3""", PANEL)
     out["strata_rates"] = sql("""select state, ao_dq_cap6, n, round(rate, 9) as rate, round(rate * n, 6) as expected
       from rates""", PANEL, rates("panel", "state, ao_dq_cap6", N2))
-    out["stratified_sample"] = sql("select loan_id, ao_dt, state, ao_dq_cap6 from drawn", PANEL,
-                                   draw("panel", strata, keys1, N2, "drawn", "rates"))
-    out["stratified_sample_exact"] = sql(f"""select loan_id, ao_dt, state, ao_dq_cap6 from (
+    out["stratified_sample"] = sql("select loan_id, ao_dt, state, ao_dq_cap6, ao_max_dq12, ao_months_cur, servicer from drawn",
+                                   PANEL, draw("panel", strata, keys1, N2, "drawn", "rates"))
+    out["history_strata_sample"] = sql("select loan_id, ao_dt, ao_max_dq12, purpose from drawn", PANEL,
+                                       draw("panel", ["ao_max_dq12", "purpose"], keys1, N2, "drawn", "rates"))
+    out["stratified_sample_exact"] = sql(f"""select loan_id, ao_dt, state, ao_dq_cap6, ao_max_dq12, ao_months_cur, servicer from (
       select p.*, round(r.rate * r.n) as take,
         row_number() over (partition by p.state, p.ao_dq_cap6 order by {h28('loan_id', 'ao_dt')}, loan_id, ao_dt) as rn
       from panel p join rates r on p.state = r.state and p.ao_dq_cap6 = r.ao_dq_cap6) where rn <= take""",
@@ -361,7 +363,7 @@ def oracle() -> dict[str, str]:
       partition by state order by {h28('loan_id', 'ao_dt')}, loan_id, ao_dt) as rn from panel) where rn <= 500""", PANEL)
     out["two_stage_sample"] = two_stage(
         "select loan_id, ao_dt, trg_dt, fcst_month, trg_dq, ao_dq_cap6 from second_pass")
-    out["balanced_target_sample"] = sql("select loan_id, ao_dt, trg_dt, target_status from drawn", PANEL, pairs,
+    out["balanced_target_sample"] = sql("select loan_id, ao_dt, trg_dt, target_status, round(trg_upb_exp, 3) as trg_upb_exp from drawn", PANEL, pairs,
                                         draw("pairs", ["target_status"], keys2, N2, "drawn", "rates"))
 
     out["rollup_econ"] = sql("""select zip3, month, round(hpi, 6) as hpi, round(unemp_rate, 6) as unemp_rate,

@@ -6,10 +6,12 @@ Only the input array travels to Python; the other columns stay in the JVM.
 from __future__ import annotations
 
 import json
+import sys
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,9 @@ from loanpanel.operators.features import FeatureDefs, apply_features, design
 
 LEAK = 0.01
 
+# Executors get the scoring function itself: they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass
 class Network:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanpanel.functions.expr import as_predicate, level_payment, monthly_rate, yes_no
+from loanpanel.operators.sampling import SEED, narrowed, stratified_sample
 from loanpanel.sources.profile import QA_ALL_FAIL, QA_FIELDS, SourceProfile
 
 LAG_MONTHS = 12
@@ -73,9 +74,9 @@ def _recent_dq() -> Column:
     )
 
 
-def history_features(panel: DataFrame, profile: SourceProfile) -> DataFrame:
-    """As-of columns of each exploded month."""
-    out = panel.withColumns({
+def as_of_values(rows: DataFrame, profile: SourceProfile) -> DataFrame:
+    """Columns read straight from the loan and its as-of month."""
+    out = rows.withColumns({
         "msa_loc": F.when(F.col(profile.msa) == "00000", F.col("state")).otherwise(F.col(profile.msa)),
         "ao_age": F.col("mon.age_fp_dt"),
         "has_second": yes_no(F.col("cltv") > F.col("ltv")),
@@ -91,12 +92,18 @@ def history_features(panel: DataFrame, profile: SourceProfile) -> DataFrame:
         "ao_rate": F.col("mon.cur_rate"),
         "ao_r": monthly_rate(F.col("mon.cur_rate"), 0.001),
         "ao_rem_term": F.col("term") - F.col("mon.age_fp_dt"),
-        "lag12": F.add_months(F.col("mon.month"), -LAG_MONTHS),
     })
     out = good_loan(out)
-    out = out.withColumns({
+    return out.withColumns({
         "age_yr": (F.col("ao_age") / F.lit(12)).cast("int"),
         "ppen36": yes_no((F.col("ao_age") <= 36) & (F.col("ppen") == "Y")),
+    })
+
+
+def history_features(rows: DataFrame, profile: SourceProfile) -> DataFrame:
+    """Columns computed from the history before the as-of month, and the payment."""
+    out = rows.withColumn("lag12", F.add_months("ao_dt", -LAG_MONTHS))
+    out = out.withColumns({
         "ao_payment": level_payment(F.col("ao_r"), F.col("ao_upb"), F.col("ao_rem_term")),
         "ao_months_cur": F.size(F.filter("_cur", lambda m: m < F.col("ao_dt"))),
         "_dq12": _recent_dq(),
@@ -129,6 +136,11 @@ AS_OF_COLUMNS = (
 )
 
 
+def _select(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    names = [c for c in AS_OF_COLUMNS if c in rows.columns and c not in keep]
+    return rows.select("loan_id", *names, *keep)
+
+
 def as_of_panel(loans: DataFrame, profile: SourceProfile, where: Column | str | None = None,
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """All (loan, as-of month) candidates of pass 1.
@@ -137,9 +149,23 @@ def as_of_panel(loans: DataFrame, profile: SourceProfile, where: Column | str |
     Catalyst pushes it below the history features, so rows it rejects never pay
     for them.
     """
-    out = history_features(as_of_rows(loans, profile), profile)
+    rows = history_features(as_of_values(as_of_rows(loans, profile), profile), profile)
     cond = as_predicate(where)
-    if cond is not None:
-        out = out.where(cond)
-    names = [c for c in AS_OF_COLUMNS if c in out.columns and c not in keep]
-    return out.select("loan_id", *names, *keep)
+    return _select(rows if cond is None else rows.where(cond), keep)
+
+
+def sample_as_of(loans: DataFrame, profile: SourceProfile, strata: list[str], n: int,
+                 where: Column | str | None = None, keep: tuple[str, ...] = (), seed: int = SEED,
+                 exact: bool = False, rates: DataFrame | None = None) -> DataFrame:
+    """Pass 1: ``as_of_panel`` sampled over ``strata``, with history features of the sampled rows only.
+
+    The draw needs the strata and the key.  When neither the strata nor
+    ``where`` touch a history feature, those features are computed after it.
+    """
+    keys = ["loan_id", "ao_dt"]
+    keep = (*keep, *[c for c in strata if c not in AS_OF_COLUMNS and c not in keep])
+    narrow = narrowed(as_of_values(as_of_rows(loans, profile), profile), where, strata)
+    if narrow is None:
+        return stratified_sample(as_of_panel(loans, profile, where, keep), strata, n, keys, seed, exact, rates)
+    return stratified_sample(narrow, strata, n, keys, seed, exact, rates,
+                             widen=lambda df, extra: _select(history_features(df, profile), (*keep, *extra)))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanpanel.functions.expr import HASH_SPAN, hash28
-from loanpanel.sources.tables import join_small, stage
+from loanpanel.functions.expr import HASH_SPAN, as_predicate, hash28
+from loanpanel.sources.tables import BROADCAST_ROWS, join_small, stage
 
 SEED = 10
 GROUP_ROWS = 1_000_000  # a boundary group above this is refined once more before it is ranked
@@ -52,22 +55,41 @@ def hash_below(keys: list[str], seed: int, rate: Column) -> Column:
     return hash28(*keys, seed=seed) < rate * F.lit(HASH_SPAN)
 
 
+Widen = Callable[[DataFrame, list[str]], DataFrame]  # (rows, helper columns to carry along)
+
+
+def narrowed(rows: DataFrame, where: Column | str | None, strata: list[str]) -> DataFrame | None:
+    """``rows`` filtered, or None when the predicate or the strata need columns that are added later."""
+    cond = as_predicate(where)
+    try:
+        out = rows if cond is None else rows.where(cond)
+        out.select(*strata).schema  # noqa: B018 - resolves the columns
+        return out
+    except AnalysisException:
+        return None
+
+
 def stratified_sample(df: DataFrame, cols: list[str], target_n: int, keys: list[str], seed: int = SEED,
-                      exact: bool = False, rates: DataFrame | None = None) -> DataFrame:
+                      exact: bool = False, rates: DataFrame | None = None, widen: Widen | None = None) -> DataFrame:
     """Sample balanced over the joint levels of ``cols``.
 
     A row is kept when the hash of its unique key falls below its stratum's
     rate: no sort, no state, the same rows on every run.  ``exact=True`` takes
     exactly round(rate * n) rows of each stratum instead, those of lowest hash.
+    ``widen`` adds columns that only the sampled rows need.
     """
     if exact:
         bins = hash_bins(df, cols, keys, seed)
         rates = strata_rates(df, cols, target_n, group_sizes(bins, cols)) if rates is None else rates
         takes = rates.select(*cols, F.round(F.col("rate") * F.col("n")).cast("bigint").alias("_take"))
-        return take_lowest_hash(df, cols, takes, keys, seed, bins=bins)
+        return take_lowest_hash(df, cols, takes, keys, seed, bins=bins, widen=widen)
     rates = strata_rates(df, cols, target_n) if rates is None else rates
+    if widen and rates.count() > BROADCAST_ROWS:
+        # The join will shuffle, and unwidened rows may carry whole histories: widen, and let them go, first.
+        df, widen = widen(df, []), None
     joined = join_small(df, rates.select(*cols, F.col("rate").alias("_rate")), cols)
-    return joined.where(hash_below(keys, seed, F.col("_rate"))).drop("_rate")
+    drawn = joined.where(hash_below(keys, seed, F.col("_rate"))).drop("_rate")
+    return widen(drawn, []) if widen else drawn
 
 
 def random_sample(df: DataFrame, target_n: int, keys: list[str], seed: int = SEED) -> DataFrame:
@@ -95,7 +117,8 @@ def group_sizes(bins: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def take_lowest_hash(df: DataFrame, cols: list[str], takes: DataFrame, keys: list[str], seed: int = SEED,
-                     group_rows: int = GROUP_ROWS, bins: DataFrame | None = None) -> DataFrame:
+                     group_rows: int = GROUP_ROWS, bins: DataFrame | None = None,
+                     widen: Widen | None = None) -> DataFrame:
     """Exactly ``_take`` rows of each group: those of lowest (hash, key).
 
     Counts per (group, hash bin) tell which bin holds the last wanted row.  Bins
@@ -107,7 +130,12 @@ def take_lowest_hash(df: DataFrame, cols: list[str], takes: DataFrame, keys: lis
     bins = hash_bins(df, cols, keys, seed) if bins is None else bins
     hashed = _with_bin(df.withColumn("_h", hash28(*keys, seed=seed)), 16)
     group = [*cols, "_bin16"]
-    kept, edge, left = _split_at_boundary(hashed, bins, cols, stage(takes, "takes"), "_bin16")
+    takes = stage(takes, "takes")
+    if widen and takes.count() > BROADCAST_ROWS:
+        df, widen = widen(df, []), None  # see stratified_sample
+        hashed = _with_bin(df.withColumn("_h", hash28(*keys, seed=seed)), 16)
+    kept, edge, left = _split_at_boundary(hashed, bins, cols, takes, "_bin16", widen)
+    columns = [c for c in kept.columns if c not in ("_h", "_bin16")]
     if (left.agg(F.max("_m")).first()[0] or 0) > group_rows:
         finer = _with_bin(edge, 4)
         more, edge, left = _split_at_boundary(finer, _count_bins(finer, group, 4), group, left.drop("_m"), "_bin4")
@@ -115,10 +143,11 @@ def take_lowest_hash(df: DataFrame, cols: list[str], takes: DataFrame, keys: lis
         group = [*group, "_bin4"]
     w = Window.partitionBy(*group).orderBy("_h", *keys)
     last = join_small(edge, left.drop("_m"), group).withColumn("_rn", F.row_number().over(w))
-    return kept.select(*df.columns).unionByName(last.where("_rn <= _take").select(*df.columns))
+    return kept.select(*columns).unionByName(last.where("_rn <= _take").select(*columns))
 
 
-def _split_at_boundary(rows: DataFrame, bins: DataFrame, group: list[str], takes: DataFrame, name: str):
+def _split_at_boundary(rows: DataFrame, bins: DataFrame, group: list[str], takes: DataFrame, name: str,
+                       widen: Widen | None = None):
     """Rows surely kept, rows of the boundary bins, and (group, bin, rows in it, rows still wanted)."""
     before = Window.partitionBy(*group).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
     run = bins.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
@@ -127,7 +156,10 @@ def _split_at_boundary(rows: DataFrame, bins: DataFrame, group: list[str], takes
     cut = run.where((F.col("_before") < F.col("_take")) & (F.col("_before") + F.col("_m") >= F.col("_take")))
     left = stage(cut.select(*group, name, "_m", (F.col("_take") - F.col("_before")).alias("_take")), "boundary")
     joined = join_small(rows, left.select(*group, F.col(name).alias("_cut")), group)
-    wanted = stage(joined.where(F.col(name) <= F.col("_cut")), "candidates")
+    wanted = joined.where(F.col(name) <= F.col("_cut"))
+    if widen:
+        wanted = widen(wanted, ["_h", name, "_cut"])
+    wanted = stage(wanted, "candidates")
     kept = wanted.where(F.col(name) < F.col("_cut")).drop("_cut")
     return kept, wanted.where(F.col(name) == F.col("_cut")).drop("_cut"), left
 

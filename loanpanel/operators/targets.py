@@ -17,6 +17,7 @@ from loanpanel.functions.expr import (
     months_apart,
     yes_no,
 )
+from loanpanel.operators.sampling import SEED, narrowed, stratified_sample
 from loanpanel.sources.profile import SourceProfile
 
 MAX_FORECAST = 180
@@ -69,9 +70,8 @@ def _payment() -> Column:
     return level_payment(F.col("_pay_r"), F.col("trg_upb_exp"), F.col("trg_rem_term"))
 
 
-def explode_targets(joined: DataFrame, profile: SourceProfile, where: Column | str | None = None,
-                    max_months: int = MAX_FORECAST, covid=COVID, first_period: int = FIRST_PERIOD) -> DataFrame:
-    """One row per (as-of row, target month) with target columns."""
+def target_rows(joined: DataFrame, profile: SourceProfile, max_months: int = MAX_FORECAST) -> DataFrame:
+    """One row per (as-of row, target month) with the outcome of that month."""
     trimmed = trim_history(joined, max_months)
     rows = trimmed.withColumn("mon", F.explode("monthly")).drop("monthly")
     rows = rows.withColumns({name: F.col(f"mon.{field}") for name, field in profile.monthly.items()}).drop("mon")
@@ -80,23 +80,46 @@ def explode_targets(joined: DataFrame, profile: SourceProfile, where: Column | s
         "trg_rem_term": F.col("term") - F.col("trg_age"),
     })
     rows = rows.where(F.col("fcst_month").between(0, max_months) & (F.col("trg_rem_term") > 0))
-    rate = F.col("trg_rate")
-    rows = rows.withColumns(expected_columns(F.col("fcst_month"), rate, rate / F.lit(1200.0)))
     rows = rows.withColumns({
-        "trg_payment": _payment(),
-        **calendar_columns(covid, first_period),
         "short_sale": yes_no(F.col("trg_zb") == "03"),
         "target_mod": flag(F.col("trg_mod") == "Y"),
         "target_assist": flag(profile.assisted()),
         "target_dq": F.least(F.greatest(F.col("trg_dq"), F.lit(0)), F.lit(12)),
         "target_death": F.when(F.col("trg_zb") == "00", 0).when(F.col("trg_zb") == "01", 1).otherwise(2),
-    }).drop("_pay_r")
-    rows = rows.withColumn("target_status", F.when(F.col("trg_zb") == "00", F.col("target_dq"))
+    })
+    return rows.withColumn("target_status", F.when(F.col("trg_zb") == "00", F.col("target_dq"))
                            .when(F.col("trg_zb") == "01", 13).otherwise(14))
+
+
+def target_features(rows: DataFrame, covid=COVID, first_period: int = FIRST_PERIOD) -> DataFrame:
+    """Scheduled balance, payment and calendar columns of target rows."""
+    rate = F.col("trg_rate")
+    rows = rows.withColumns(expected_columns(F.col("fcst_month"), rate, rate / F.lit(1200.0)))
+    return rows.withColumns({"trg_payment": _payment(), **calendar_columns(covid, first_period)}).drop("_pay_r")
+
+
+def explode_targets(joined: DataFrame, profile: SourceProfile, where: Column | str | None = None,
+                    max_months: int = MAX_FORECAST, covid=COVID, first_period: int = FIRST_PERIOD) -> DataFrame:
+    """All target rows with all their columns."""
+    rows = target_features(target_rows(joined, profile, max_months), covid, first_period)
     cond = as_predicate(where)
     return rows if cond is None else rows.where(cond)
 
 
+def sample_targets(joined: DataFrame, profile: SourceProfile, strata: list[str], n: int,
+                   where: Column | str | None = None, max_months: int = MAX_FORECAST, covid=COVID,
+                   first_period: int = FIRST_PERIOD, seed: int = SEED, exact: bool = False,
+                   rates: DataFrame | None = None) -> DataFrame:
+    """Pass 2: target rows sampled over ``strata``; balances and payments only for the sampled ones."""
+    keys = ["loan_id", "ao_dt", "trg_dt"]
+    narrow = narrowed(target_rows(joined, profile, max_months), where, strata)
+    if narrow is None:
+        rows = explode_targets(joined, profile, where, max_months, covid, first_period)
+        return stratified_sample(rows, strata, n, keys, seed, exact, rates)
+    return stratified_sample(narrow, strata, n, keys, seed, exact, rates,
+                             widen=lambda df, _: target_features(df, covid, first_period))
+
+
 def target_pairs(sample: DataFrame, loans: DataFrame, profile: SourceProfile, where: Column | str | None = None,
                  max_months: int = MAX_FORECAST, covid=COVID, first_period: int = FIRST_PERIOD) -> DataFrame:
     """All (as-of date, target date) rows of the sampled as-of dates."""

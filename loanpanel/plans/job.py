@@ -24,9 +24,16 @@ from loanpanel.operators.network import (
     export_scored,
     score_network,
 )
-from loanpanel.operators.panel import as_of_panel
+from loanpanel.operators.panel import AS_OF_COLUMNS, as_of_panel, sample_as_of
 from loanpanel.operators.sampling import SEED, strata_rates, stratified_sample
-from loanpanel.operators.targets import COVID, FIRST_PERIOD, explode_targets, join_history, target_window
+from loanpanel.operators.targets import (
+    COVID,
+    FIRST_PERIOD,
+    explode_targets,
+    join_history,
+    sample_targets,
+    target_window,
+)
 from loanpanel.session import tune
 from loanpanel.sources.profile import SourceProfile
 from loanpanel.sources.tables import source_query, stage, write_sorted
@@ -116,16 +123,19 @@ class Result:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def _draw(df: DataFrame, at: Stage, keys: list[str], block: DataBlock, label: str) -> DataFrame:
-    """Sample one pass and keep it: its own path when named, a staged table otherwise."""
-    rates = stage(strata_rates(df, at.strata, at.n), f"{label}-strata")
-    if at.strata_out:
-        rates.write.mode("overwrite").parquet(at.strata_out)
-    drawn = stratified_sample(df, at.strata, at.n, keys, block.seed, block.exact, rates)
+def _kept(at: Stage, drawn: DataFrame, label: str) -> DataFrame:
+    """The drawn sample, written: to its own path when named, to a staged table otherwise."""
     if not at.sample_out:
         return stage(drawn, label)
     drawn.write.mode("overwrite").parquet(at.sample_out)
-    return df.sparkSession.read.schema(drawn.schema).parquet(at.sample_out)
+    return drawn.sparkSession.read.schema(drawn.schema).parquet(at.sample_out)
+
+
+def _rates(at: Stage, rows: DataFrame, label: str) -> DataFrame:
+    rates = stage(strata_rates(rows, at.strata, at.n), f"{label}-strata")
+    if at.strata_out:
+        rates.write.mode("overwrite").parquet(at.strata_out)
+    return rates
 
 
 def build_data(block: DataBlock) -> DataFrame:
@@ -135,18 +145,22 @@ def build_data(block: DataBlock) -> DataFrame:
     the draw of pass 2 both explode that table, so the loan table is shuffled
     once however many scans follow.
     """
-    panel = as_of_panel(block.loans, block.profile, block.stage1.where)
-    first = _draw(panel, block.stage1, ["loan_id", "ao_dt"], block, "pass1")
+    one, two, profile = block.stage1, block.stage2, block.profile
+    era = {"covid": block.covid, "first_period": block.first_period}
+    panel = as_of_panel(block.loans, profile, one.where, tuple(c for c in one.strata if c not in AS_OF_COLUMNS))
+    first = _kept(one, sample_as_of(block.loans, profile, one.strata, one.n, one.where, seed=block.seed,
+                                    exact=block.exact, rates=_rates(one, panel, "pass1")), "pass1")
     if block.window_months:
-        pairs = target_window(first, block.loans, block.profile, block.window_months, block.stage2.where,
-                              block.censor_guard, block.covid, block.first_period)
-        pairs = stage(pairs, "window")
+        pairs = stage(target_window(first, block.loans, profile, block.window_months, two.where, block.censor_guard,
+                                    **era), "window")
+        drawn = stratified_sample(pairs, two.strata, two.n, ["loan_id", "ao_dt", "trg_dt"], block.seed, block.exact,
+                                  _rates(two, pairs, "pass2"))
     else:
-        joined = stage(join_history(first, block.loans, block.profile), "history")
-        pairs = explode_targets(joined, block.profile, block.stage2.where, covid=block.covid,
-                                first_period=block.first_period)
-    second = _draw(pairs, block.stage2, ["loan_id", "ao_dt", "trg_dt"], block, "pass2")
-    full = add_economics(second, block.econ, block.geo, block.base_month)
+        joined = stage(join_history(first, block.loans, profile), "history")
+        pairs = explode_targets(joined, profile, two.where, **era)
+        drawn = sample_targets(joined, profile, two.strata, two.n, two.where, seed=block.seed, exact=block.exact,
+                               rates=_rates(two, pairs, "pass2"), **era)
+    full = add_economics(_kept(two, drawn, "pass2"), block.econ, block.geo, block.base_month)
     write_sorted(full, block.out, block.sort_key)
     return full.sparkSession.read.schema(full.schema).parquet(block.out)
 

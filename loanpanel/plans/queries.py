@@ -202,16 +202,26 @@ def strata_rates(spark, sf):
     return rounded(out, {"rate": 9, "expected": 6})
 
 
+def sampled(spark, sf, exact):
+    out = panel.sample_as_of(loans(spark, sf), fx.SOURCE, ["state", "ao_dq_cap6"], N2, WHERE1, exact=exact)
+    return out.select("loan_id", "ao_dt", "state", "ao_dq_cap6", "ao_max_dq12", "ao_months_cur", "servicer")
+
+
 @query
 def stratified_sample(spark, sf):
-    return sampling.stratified_sample(as_of(spark, sf), ["state", "ao_dq_cap6"], N2, KEYS1).select(
-        "loan_id", "ao_dt", "state", "ao_dq_cap6")
+    return sampled(spark, sf, False)
 
 
 @query
 def stratified_sample_exact(spark, sf):
-    return sampling.stratified_sample(as_of(spark, sf), ["state", "ao_dq_cap6"], N2, KEYS1, exact=True).select(
-        "loan_id", "ao_dt", "state", "ao_dq_cap6")
+    return sampled(spark, sf, True)
+
+
+@query
+def history_strata_sample(spark, sf):
+    """Strata on a history feature, which must then be known before the draw."""
+    out = panel.sample_as_of(loans(spark, sf), fx.SOURCE, ["ao_max_dq12", "purpose"], N2, WHERE1)
+    return out.select("loan_id", "ao_dt", "ao_max_dq12", "purpose")
 
 
 @query
@@ -225,10 +235,9 @@ def per_slice_sample(spark, sf):
 
 
 def _two_stage(spark, sf):
-    first = stage(sampling.stratified_sample(as_of(spark, sf), ["state", "ao_dq_cap6"], N1, KEYS1), "pass1")
+    first = stage(panel.sample_as_of(loans(spark, sf), fx.SOURCE, ["state", "ao_dq_cap6"], N1, WHERE1), "pass1")
     joined = stage(targets.join_history(first, loans(spark, sf), fx.SOURCE), "history")
-    rows = targets.explode_targets(joined, fx.SOURCE, WHERE2, **ERA)
-    return sampling.stratified_sample(rows, ["fcst_month"], N2, KEYS2)
+    return targets.sample_targets(joined, fx.SOURCE, ["fcst_month"], N2, WHERE2, **ERA)
 
 
 @query
@@ -238,7 +247,9 @@ def two_stage_sample(spark, sf):
 
 @query
 def balanced_target_sample(spark, sf):
-    return sampling.stratified_sample(pairs(spark, sf), ["target_status"], N2, KEYS2).select(*KEYS2, "target_status")
+    joined = targets.join_history(as_of(spark, sf), loans(spark, sf), fx.SOURCE)
+    out = targets.sample_targets(joined, fx.SOURCE, ["target_status"], N2, **ERA)
+    return rounded(out.select(*KEYS2, "target_status", "trg_upb_exp"), {"trg_upb_exp": 3})
 
 
 # ---- economics ----
@@ -378,7 +389,7 @@ FIXED_NET = network.Network(
 
 def fixed_scores(spark, sf, net=FIXED_NET):
     defs = features.fit_features(model_loans(spark, sf), net.cts, [*net.cat, *net.emb])
-    return network.score_network(loans(spark, sf), net, defs)
+    return network.score_network(loans(spark, sf).drop("monthly"), net, defs)
 
 
 @query
