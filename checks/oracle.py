@@ -396,6 +396,12 @@ def oracle() -> dict[str, str]:
     out["fc_time"] = economic("""least(12, ao_dq + fcst_month) as trg_dq_max, trg_fc_days, trg_fc_type,
       round(trg_fc_time, 6) as trg_fc_time, round(fcl_pro_net / trg_prop_val, 6) as target_net_pro""")
     out["pti"] = economic("""round(least(100e0, 1200e0 * trg_payment / trg_income50), 4) as trg_pti50, trg_income50""")
+    out["window_training_table"] = sql("""select loan_id, ao_dt, trg_dt, f_index, l_index, end_age, target_pp,
+      target_dq120, round(trg_upb_exp, 3) as trg_upb_exp from drawn""",
+        PANEL, draw("panel", strata, keys1, N1, "first_pass", "r1"),
+        WINDOWED.replace("from panel p", "from first_pass p"),
+        f"\nopen_rows as (select * from windowed where {active})",
+        draw("open_rows", ["trg_dt"], keys2, N2, "drawn", "r2"))
     out["training_table"] = two_stage(
         """select loan_id, ao_dt, trg_dt, fcst_month, round(trg_upb_exp, 3) as trg_upb_exp, round(trg_hpi, 6) as trg_hpi,
         round(y20_hpi, 6) as y20_hpi, round(trg_lbr_growth, 5) as trg_lbr_growth, round(org_spread, 6) as org_spread

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanpanel.functions.expr import as_predicate, level_payment, monthly_rate, yes_no
-from loanpanel.operators.sampling import SEED, narrowed, stratified_sample
+from loanpanel.operators.sampling import SEED, narrowed, strata_rates, stratified_sample
 from loanpanel.sources.profile import QA_ALL_FAIL, QA_FIELDS, SourceProfile
+from loanpanel.sources.tables import BROADCAST_ROWS, stage
 
 LAG_MONTHS = 12
 CURRENT_CAP = 36
@@ -154,18 +155,51 @@ def as_of_panel(loans: DataFrame, profile: SourceProfile, where: Column | str |
     return _select(rows if cond is None else rows.where(cond), keep)
 
 
+def _only_dates(loans: DataFrame, keys: DataFrame) -> DataFrame:
+    """Loans of the drawn keys, each with its drawn as-of dates (at most one per month of its history)."""
+    dates = keys.groupBy("loan_id").agg(F.collect_set("ao_dt").alias("_dates"))
+    return loans.join(dates, "loan_id")
+
+
 def sample_as_of(loans: DataFrame, profile: SourceProfile, strata: list[str], n: int,
                  where: Column | str | None = None, keep: tuple[str, ...] = (), seed: int = SEED,
-                 exact: bool = False, rates: DataFrame | None = None) -> DataFrame:
+                 exact: bool = False, rates: DataFrame | None = None, history_months: int | None = None) -> DataFrame:
     """Pass 1: ``as_of_panel`` sampled over ``strata``, with history features of the sampled rows only.
 
-    The draw needs the strata and the key.  When neither the strata nor
-    ``where`` touch a history feature, those features are computed after it.
+    The draw needs the strata and the key, so it runs on rows that carry little:
+
+    * few strata: their rates are broadcast and the draw is a filter below the
+      features; the loan table is scanned, never shuffled;
+    * many strata (state x month x age x delinquency): only (key, strata) rows
+      meet the rates in a shuffle, then the drawn keys go back to their loans;
+    * strata or ``where`` on a history feature: the features come first.
+
+    ``history_months`` adds what pass 2 needs of the loan: its static columns,
+    and ``monthly`` from the as-of month on.  It is a slice of the array already
+    in the row, so pass 2 does without its join.
     """
     keys = ["loan_id", "ao_dt"]
     keep = (*keep, *[c for c in strata if c not in AS_OF_COLUMNS and c not in keep])
-    narrow = narrowed(as_of_values(as_of_rows(loans, profile), profile), where, strata)
+    if history_months is not None:
+        keep = (*keep, *[c for c in profile.static if c not in (*AS_OF_COLUMNS, *keep, "loan_id")], "monthly", "_offset")
+
+    def finish(rows: DataFrame, extra: list[str] = ()) -> DataFrame:
+        out = history_features(rows, profile)
+        if history_months is not None:
+            out = out.withColumns({"_offset": F.col("_pos"),
+                                   "monthly": F.slice("monthly", F.col("_pos") + 1, history_months + 1)})
+        return _select(out, (*keep, *extra))
+
+    rows = as_of_values(as_of_rows(loans, profile), profile)
+    narrow = narrowed(rows, where, strata)
     if narrow is None:
-        return stratified_sample(as_of_panel(loans, profile, where, keep), strata, n, keys, seed, exact, rates)
-    return stratified_sample(narrow, strata, n, keys, seed, exact, rates,
-                             widen=lambda df, extra: _select(history_features(df, profile), (*keep, *extra)))
+        full = history_features(rows, profile).where(as_predicate(where) if where is not None else F.lit(True))
+        thin = full.select(*dict.fromkeys([*keys, *strata]))
+    else:
+        thin = narrow.select(*dict.fromkeys([*keys, *strata]))
+    rates = stage(strata_rates(thin, strata, n), "rates") if rates is None else rates
+    if narrow is not None and rates.count() <= BROADCAST_ROWS:
+        return stratified_sample(narrow, strata, n, keys, seed, exact, rates, widen=finish)
+    drawn = stage(stratified_sample(thin, strata, n, keys, seed, exact, rates).select(*keys), "drawn")
+    again = as_of_values(as_of_rows(_only_dates(loans, drawn), profile), profile)
+    return finish(again.where(F.array_contains("_dates", F.col("ao_dt"))))

@@ -25,15 +25,21 @@ COVID = (dt.date(2020, 4, 1), dt.date(2022, 4, 1))
 FIRST_PERIOD = 2019
 
 
+def carried_columns(profile: SourceProfile) -> list[str]:
+    """What pass 2 keeps of an as-of row and its loan, besides the history."""
+    static = [c for c in profile.static if c != "loan_id"]
+    return ["loan_id", "ao_r", *[c for c in profile.carried if c not in static], *static]
+
+
 def join_history(sample: DataFrame, loans: DataFrame, profile: SourceProfile) -> DataFrame:
     """Sampled as-of rows with their loan's static columns and history.
 
-    The only shuffle of pass 2.  A loan has one row on one side and at most one
-    row per month on the other; skew left over is split by AQE at run time.
+    A loan has one row on one side and at most one row per month on the other;
+    skew left over is split by AQE at run time.  Samples drawn with
+    ``history_months`` carry all this already and need no join.
     """
     static = [c for c in profile.static if c != "loan_id"]
-    carried = [c for c in profile.carried if c not in static]
-    left = sample.select("loan_id", "ao_r", *carried)
+    left = sample.select(*[c for c in carried_columns(profile) if c not in static])
     return left.join(loans.select("loan_id", *static, "monthly"), "loan_id")
 
 
@@ -73,7 +79,7 @@ def _payment() -> Column:
 def target_rows(joined: DataFrame, profile: SourceProfile, max_months: int = MAX_FORECAST) -> DataFrame:
     """One row per (as-of row, target month) with the outcome of that month."""
     trimmed = trim_history(joined, max_months)
-    rows = trimmed.withColumn("mon", F.explode("monthly")).drop("monthly")
+    rows = trimmed.withColumn("mon", F.explode("monthly")).drop("monthly", "_offset")
     rows = rows.withColumns({name: F.col(f"mon.{field}") for name, field in profile.monthly.items()}).drop("mon")
     rows = rows.withColumns({
         "fcst_month": months_apart("ao_dt", "trg_dt"),
@@ -136,16 +142,31 @@ def target_window(sample: DataFrame, loans: DataFrame, profile: SourceProfile, m
                   first_period: int = FIRST_PERIOD) -> DataFrame:
     """Performance over the ``months`` that follow each sampled as-of date.
 
+    ``censor_guard`` drops as-of dates whose window runs past the last month of
+    the loan table.
+    """
+    if censor_guard:
+        sample = uncensored(sample, loans, months)
+    return window_rows(join_history(sample, loans, profile), months, where, covid, first_period)
+
+
+def uncensored(sample: DataFrame, loans: DataFrame, months: int) -> DataFrame:
+    return sample.where(F.col("ao_dt") <= F.add_months(F.lit(last_month(loans)), -months))
+
+
+def window_rows(joined: DataFrame, months: int, where: Column | str | None = None, covid=COVID,
+                first_period: int = FIRST_PERIOD) -> DataFrame:
+    """Window columns of as-of rows joined with their history.
+
     Nothing is exploded: events are looked up in the slice of the history from
     the as-of row to the window end, or to the end of the history when the loan
-    left earlier.  ``censor_guard`` drops as-of dates whose window runs past the
-    last month of the loan table.
+    left earlier.  A history cut at the as-of month tells how much was cut in
+    ``_offset``.
     """
     if not 1 <= months <= 60:
         raise ValueError("window must be 1..60 months")
-    if censor_guard:
-        sample = sample.where(F.col("ao_dt") <= F.add_months(F.lit(last_month(loans)), -months))
-    rows = join_history(sample, loans, profile).withColumns({
+    offset = F.col("_offset") if "_offset" in joined.columns else F.lit(0)
+    rows = joined.withColumns({
         "window": F.lit(months),
         "trg_dt": F.add_months("ao_dt", months),
         "trg_age": F.col("ao_age") + F.lit(months),
@@ -155,20 +176,22 @@ def target_window(sample: DataFrame, loans: DataFrame, profile: SourceProfile, m
     rows = rows.withColumn("fcst_month", months_apart("ao_dt", "trg_dt"))
     rows = rows.where(F.col("fcst_month").between(0, MAX_FORECAST) & (F.col("trg_rem_term") > 0))
     rows = rows.withColumns({
-        "f_index": F.array_position("_months", F.col("ao_dt")).cast("int"),
+        "_first": F.array_position("_months", F.col("ao_dt")).cast("int"),
         "_end": F.array_position("_months", F.col("trg_dt")).cast("int"),
     })
-    rows = rows.withColumn("l_index", F.when(F.col("_end") == 0, F.size("_months")).otherwise(F.col("_end")))
+    rows = rows.withColumn("_last", F.when(F.col("_end") == 0, F.size("_months")).otherwise(F.col("_end")))
     # One slice and one element of the history; every target reads these.
-    start = F.greatest(F.col("f_index"), F.lit(1))
+    start = F.greatest(F.col("_first"), F.lit(1))
     rows = rows.withColumns({
-        "_seen": F.slice("monthly", start, F.greatest(F.col("l_index") - start + 1, F.lit(0))),
-        "_last": F.try_element_at("monthly", F.col("l_index")),
-    }).drop("monthly", "_months", "_end")
-    rate, end_rate = F.col("ao_rate"), F.col("_last.cur_rate")
+        "f_index": F.col("_first") + offset,
+        "l_index": F.col("_last") + offset,
+        "_seen": F.slice("monthly", start, F.greatest(F.col("_last") - start + 1, F.lit(0))),
+        "_final": F.try_element_at("monthly", F.col("_last")),
+    }).drop("monthly", "_months", "_end", "_first", "_last", "_offset")
+    rate, end_rate = F.col("ao_rate"), F.col("_final.cur_rate")
     rows = rows.withColumns({
         "end_age": F.col("ao_age") + F.col("l_index") - F.col("f_index"),
-        "trg_zb": F.col("_last.zb"),
+        "trg_zb": F.col("_final.zb"),
         "trg_rate": F.when(end_rate == 0, rate).otherwise(end_rate),
         "target_pp": flag(F.array_contains("_seen.zb", "01")),
         "target_default": flag(F.array_contains("_seen.zb", "03") | F.array_contains("_seen.zb", "09")),
@@ -177,6 +200,6 @@ def target_window(sample: DataFrame, loans: DataFrame, profile: SourceProfile, m
         **expected_columns(F.lit(months), rate, rate / F.lit(1200.0)),
         **calendar_columns(covid, first_period),
     })
-    rows = rows.withColumn("trg_payment", _payment()).drop("_pay_r", "_seen", "_last")
+    rows = rows.withColumn("trg_payment", _payment()).drop("_pay_r", "_seen", "_final")
     cond = as_predicate(where)
     return rows if cond is None else rows.where(cond)

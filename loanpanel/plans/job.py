@@ -29,10 +29,12 @@ from loanpanel.operators.sampling import SEED, strata_rates, stratified_sample
 from loanpanel.operators.targets import (
     COVID,
     FIRST_PERIOD,
+    MAX_FORECAST,
+    carried_columns,
     explode_targets,
-    join_history,
     sample_targets,
-    target_window,
+    uncensored,
+    window_rows,
 )
 from loanpanel.session import tune
 from loanpanel.sources.profile import SourceProfile
@@ -141,22 +143,29 @@ def _rates(at: Stage, rows: DataFrame, label: str) -> DataFrame:
 def build_data(block: DataBlock) -> DataFrame:
     """Two-stage sample, then economics; the pair table is never stored.
 
-    As-of rows joined with their history are staged once.  The strata count and
-    the draw of pass 2 both explode that table, so the loan table is shuffled
-    once however many scans follow.
+    Pass 1 rows keep the part of their history that pass 2 can reach, so with a
+    moderate number of strata the loan table is scanned twice and never
+    shuffled.  The strata count and the draw of pass 2 both explode that staged
+    sample.
     """
     one, two, profile = block.stage1, block.stage2, block.profile
     era = {"covid": block.covid, "first_period": block.first_period}
-    panel = as_of_panel(block.loans, profile, one.where, tuple(c for c in one.strata if c not in AS_OF_COLUMNS))
-    first = _kept(one, sample_as_of(block.loans, profile, one.strata, one.n, one.where, seed=block.seed,
-                                    exact=block.exact, rates=_rates(one, panel, "pass1")), "pass1")
+    reach = block.window_months or MAX_FORECAST
+    extra = tuple(c for c in one.strata if c not in AS_OF_COLUMNS)
+    rates = _rates(one, as_of_panel(block.loans, profile, one.where, extra), "pass1")
+    rows = stage(sample_as_of(block.loans, profile, one.strata, one.n, one.where, seed=block.seed, exact=block.exact,
+                              rates=rates, history_months=reach), "pass1")
+    if one.sample_out:
+        rows.select("loan_id", *[c for c in (*AS_OF_COLUMNS, *extra) if c in rows.columns]).write.mode(
+            "overwrite").parquet(one.sample_out)
+    if block.window_months and block.censor_guard:
+        rows = uncensored(rows, block.loans, block.window_months)
+    joined = rows.select(*carried_columns(profile), "monthly", "_offset")
     if block.window_months:
-        pairs = stage(target_window(first, block.loans, profile, block.window_months, two.where, block.censor_guard,
-                                    **era), "window")
+        pairs = stage(window_rows(joined, block.window_months, two.where, **era), "window")
         drawn = stratified_sample(pairs, two.strata, two.n, ["loan_id", "ao_dt", "trg_dt"], block.seed, block.exact,
                                   _rates(two, pairs, "pass2"))
     else:
-        joined = stage(join_history(first, block.loans, profile), "history")
         pairs = explode_targets(joined, profile, two.where, **era)
         drawn = sample_targets(joined, profile, two.strata, two.n, two.where, seed=block.seed, exact=block.exact,
                                rates=_rates(two, pairs, "pass2"), **era)

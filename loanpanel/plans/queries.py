@@ -235,9 +235,9 @@ def per_slice_sample(spark, sf):
 
 
 def _two_stage(spark, sf):
-    first = stage(panel.sample_as_of(loans(spark, sf), fx.SOURCE, ["state", "ao_dq_cap6"], N1, WHERE1), "pass1")
-    joined = stage(targets.join_history(first, loans(spark, sf), fx.SOURCE), "history")
-    return targets.sample_targets(joined, fx.SOURCE, ["fcst_month"], N2, WHERE2, **ERA)
+    first = stage(panel.sample_as_of(loans(spark, sf), fx.SOURCE, ["state", "ao_dq_cap6"], N1, WHERE1,
+                                     history_months=targets.MAX_FORECAST), "pass1")
+    return targets.sample_targets(first, fx.SOURCE, ["fcst_month"], N2, WHERE2, **ERA)
 
 
 @query
@@ -307,6 +307,16 @@ def pti(spark, sf):
     return rounded(with_economics(spark, sf).select("loan_id", "ao_dt", "trg_pti50", "trg_income50"), {"trg_pti50": 4})
 
 
+@query
+def window_training_table(spark, sf):
+    """Pass 1 sample, 24-month window and its stratified draw, without a loan join."""
+    first = panel.sample_as_of(loans(spark, sf), fx.SOURCE, ["state", "ao_dq_cap6"], N1, WHERE1, history_months=WINDOW)
+    rows = stage(targets.window_rows(stage(first, "pass1"), WINDOW, "trg_zb IN ('00', '01', '03', '09')", **ERA), "window")
+    out = sampling.stratified_sample(rows, ["trg_dt"], N2, KEYS2)
+    return rounded(out.select(*KEYS2, "f_index", "l_index", "end_age", "target_pp", "target_dq120", "trg_upb_exp"),
+                   {"trg_upb_exp": 3})
+
+
 @query
 def training_table(spark, sf):
     """The whole three-pass build, as one job."""

@@ -152,3 +152,33 @@ def test_loan_quality_filter_runs_below_the_explode(spark, sf):
     from loanpanel.plans import queries as q
     text = plan(q.as_of(spark, sf))
     assert text.index("Generate") < text.index("array_contains(qa_field")
+
+
+def test_as_of_samples_agree_on_every_path(spark, sf, monkeypatch):
+    """Broadcast rates, shuffled rates and features-first draw the same rows, with the same history."""
+    from loanpanel.operators import panel
+    from loanpanel.plans import queries as q
+    loans = q.loans(spark, sf)
+
+    def draw(strata, exact):
+        out = panel.sample_as_of(loans, fx.SOURCE, strata, 500, q.WHERE1, exact=exact, history_months=30)
+        return rows(out.select(sorted(out.columns)))
+
+    for strata in (["state", "ao_dq_cap6"], ["ao_max_dq12", "fico"]):
+        for exact in (False, True):
+            few = draw(strata, exact)
+            with monkeypatch.context() as m:
+                m.setattr(panel, "BROADCAST_ROWS", 0)
+                assert draw(strata, exact) == few
+            full = q.as_of(spark, sf, keep=("fico",))
+            want = sampling.stratified_sample(full, strata, 500, q.KEYS1, exact=exact)
+            assert {(r["loan_id"], r["ao_dt"]) for r in want.collect()} == {
+                (r[0], r[1]) for r in panel.sample_as_of(
+                    loans, fx.SOURCE, strata, 500, q.WHERE1, exact=exact).select("loan_id", "ao_dt").collect()}
+
+
+def test_pass_one_does_not_shuffle_the_loan_table(spark, sf):
+    from loanpanel.operators import panel
+    from loanpanel.plans import queries as q
+    text = plan(panel.sample_as_of(q.loans(spark, sf), fx.SOURCE, ["state"], 500, q.WHERE1, history_months=180))
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
