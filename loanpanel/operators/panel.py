@@ -30,6 +30,15 @@ def good_loan(df: DataFrame) -> DataFrame:
     return kept.where("ao_rem_term > 0") if "ao_rem_term" in df.columns else kept
 
 
+def field_arrays(df: DataFrame) -> dict[str, Column]:
+    """The history as one array per field, ``_h_<field>``.
+
+    Fields that nothing reads are dropped from these, and with them from the
+    scan: an array of structs would be read whole once it is exploded.
+    """
+    return {f"_h_{f}": F.col(f"monthly.{f}") for f in df.schema["monthly"].dataType.elementType.names}
+
+
 def _loan_level_helpers(profile: SourceProfile) -> dict[str, Column]:
     """Short arrays made once per loan, read once per month.
 
@@ -38,30 +47,34 @@ def _loan_level_helpers(profile: SourceProfile) -> dict[str, Column]:
     * ``_chg``: months where the known servicer changes.  The last change before
       a month is the last known servicer before it.
     """
-    months, dqs = F.col("monthly.month"), F.col("monthly.dq")
+    months, dqs = F.col("_h_month"), F.col("_h_dq")
     current = F.filter(F.zip_with(months, dqs, lambda m, d: F.when(d == 0, m)), lambda m: m.isNotNull())
     helpers = {"_cur": F.slice(current, 1, CURRENT_CAP)}
     if profile.servicer_history:
-        pair = F.zip_with(months, F.col("monthly.servicer"),
+        pair = F.zip_with(months, F.col("_h_servicer"),
                           lambda m, s: F.struct(m.alias("month"), s.alias("servicer")))
         helpers["_known"] = F.filter(pair, lambda p: p["servicer"] != "unknown")
     return helpers
 
 
 def as_of_rows(loans: DataFrame, profile: SourceProfile) -> DataFrame:
-    """Explode the history of good loans; loans without history drop out.
+    """One row per month of the history of good loans; loans without history drop out.
 
     Loan-level QA runs before the explode.  Each row keeps its position in the
     history, so that later expressions slice a few entries instead of scanning
-    the whole array.
+    the whole array; ``mon`` is the entry itself.
     """
-    base = good_loan(loans).withColumns(_loan_level_helpers(profile))
+    fields = field_arrays(loans)
+    base = good_loan(loans).withColumns(fields)
+    base = base.withColumns(_loan_level_helpers(profile))
     if profile.servicer_history:
         previous = F.concat(F.array(F.lit("unknown")), F.col("_known.servicer"))
         changes = F.zip_with("_known", previous, lambda p, q: F.struct(
             p["month"].alias("month"), p["servicer"].alias("servicer"), q.alias("previous")))
         base = base.withColumn("_chg", F.filter(changes, lambda p: p["servicer"] != p["previous"])).drop("_known")
-    return base.select("*", F.posexplode("monthly").alias("_pos", "mon"))
+    rows = base.select("*", F.posexplode("_h_month").alias("_pos", "_month"))
+    entry = [F.get(F.col(name), F.col("_pos")).alias(name[3:]) for name in fields if name != "_h_month"]
+    return rows.withColumn("mon", F.struct(F.col("_month").alias("month"), *entry))
 
 
 def _recent_dq() -> Column:
@@ -69,8 +82,8 @@ def _recent_dq() -> Column:
     start = F.greatest(F.col("_pos") - F.lit(LAG_MONTHS - 1), F.lit(1))
     length = F.least(F.col("_pos"), F.lit(LAG_MONTHS))
     return F.zip_with(
-        F.slice(F.col("monthly.month"), start, length),
-        F.slice(F.col("monthly.dq"), start, length),
+        F.slice("_h_month", start, length),
+        F.slice("_h_dq", start, length),
         lambda m, d: F.when(m >= F.col("lag12"), d),
     )
 

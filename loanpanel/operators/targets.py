@@ -43,16 +43,6 @@ def join_history(sample: DataFrame, loans: DataFrame, profile: SourceProfile) ->
     return left.join(loans.select("loan_id", *static, "monthly"), "loan_id")
 
 
-def trim_history(joined: DataFrame, max_months: int = MAX_FORECAST) -> DataFrame:
-    """Cut the history to the months a target date can fall in, before the explode.
-
-    The history is sorted with one row per month, so the reachable months are
-    the as-of row and the ``max_months`` entries after it.
-    """
-    start = F.greatest(F.array_position(F.col("monthly.month"), F.col("ao_dt")).cast("int"), F.lit(1))
-    return joined.withColumn("monthly", F.slice("monthly", start, max_months + 1))
-
-
 def calendar_columns(covid=COVID, first_period: int = FIRST_PERIOD) -> dict[str, Column]:
     trg = F.col("trg_dt")
     first, last = (F.lit(d.year * 12 + d.month) for d in covid)
@@ -77,10 +67,23 @@ def _payment() -> Column:
 
 
 def target_rows(joined: DataFrame, profile: SourceProfile, max_months: int = MAX_FORECAST) -> DataFrame:
-    """One row per (as-of row, target month) with the outcome of that month."""
-    trimmed = trim_history(joined, max_months)
-    rows = trimmed.withColumn("mon", F.explode("monthly")).drop("monthly", "_offset")
-    rows = rows.withColumns({name: F.col(f"mon.{field}") for name, field in profile.monthly.items()}).drop("mon")
+    """One row per (as-of row, target month) with the outcome of that month.
+
+    The history is sorted with one row per month, so the reachable months are
+    the as-of row and the ``max_months`` entries after it: it is cut to those
+    before the explode.  One array per field lets the scan skip unread fields.
+    """
+    fields = sorted(set(profile.monthly.values()) - {"month"})
+    arrays = [f"_h_{f}" for f in ("month", *fields)]
+    flat = joined.withColumns({a: F.col(f"monthly.{a[3:]}") for a in arrays}).drop("monthly", "_offset")
+    start = F.greatest(F.array_position("_h_month", F.col("ao_dt")).cast("int"), F.lit(1))
+    flat = flat.withColumn("_start", start)
+    trimmed = flat.withColumns({a: F.slice(a, F.col("_start"), max_months + 1) for a in arrays})
+    rows = trimmed.select("*", F.posexplode("_h_month").alias("_pos", "_month"))
+    rows = rows.withColumns({
+        name: F.col("_month") if f == "month" else F.get(F.col(f"_h_{f}"), F.col("_pos"))
+        for name, f in profile.monthly.items()
+    }).drop("_pos", "_month", "_start", *arrays)
     rows = rows.withColumns({
         "fcst_month": months_apart("ao_dt", "trg_dt"),
         "trg_rem_term": F.col("term") - F.col("trg_age"),
@@ -171,35 +174,38 @@ def window_rows(joined: DataFrame, months: int, where: Column | str | None = Non
         "trg_dt": F.add_months("ao_dt", months),
         "trg_age": F.col("ao_age") + F.lit(months),
         "trg_rem_term": F.col("term") - F.col("ao_age") - F.lit(months),
-        "_months": F.col("monthly.month"),
-    })
+        **{f"_h_{f}": F.col(f"monthly.{f}") for f in ("month", "zb", "dq", "mod", "cur_rate")},
+    }).drop("monthly")
     rows = rows.withColumn("fcst_month", months_apart("ao_dt", "trg_dt"))
     rows = rows.where(F.col("fcst_month").between(0, MAX_FORECAST) & (F.col("trg_rem_term") > 0))
+
+    # Written as one projection: repeated parts are evaluated once, and arrays pass one step only.
+    def entries(field: str) -> Column:
+        return F.col(f"_h_{field}")
+
+    first = F.array_position(entries("month"), F.col("ao_dt")).cast("int")
+    end = F.array_position(entries("month"), F.col("trg_dt")).cast("int")
+    last = F.when(end == 0, F.size(entries("month"))).otherwise(end)
+    start = F.greatest(first, F.lit(1))
+    length = F.greatest(last - start + 1, F.lit(0))
+
+    def seen(field: str) -> Column:
+        return F.slice(entries(field), start, length)
+
+    rate, end_rate = F.col("ao_rate"), F.try_element_at(entries("cur_rate"), last)
     rows = rows.withColumns({
-        "_first": F.array_position("_months", F.col("ao_dt")).cast("int"),
-        "_end": F.array_position("_months", F.col("trg_dt")).cast("int"),
-    })
-    rows = rows.withColumn("_last", F.when(F.col("_end") == 0, F.size("_months")).otherwise(F.col("_end")))
-    # One slice and one element of the history; every target reads these.
-    start = F.greatest(F.col("_first"), F.lit(1))
-    rows = rows.withColumns({
-        "f_index": F.col("_first") + offset,
-        "l_index": F.col("_last") + offset,
-        "_seen": F.slice("monthly", start, F.greatest(F.col("_last") - start + 1, F.lit(0))),
-        "_final": F.try_element_at("monthly", F.col("_last")),
-    }).drop("monthly", "_months", "_end", "_first", "_last", "_offset")
-    rate, end_rate = F.col("ao_rate"), F.col("_final.cur_rate")
-    rows = rows.withColumns({
-        "end_age": F.col("ao_age") + F.col("l_index") - F.col("f_index"),
-        "trg_zb": F.col("_final.zb"),
+        "f_index": first + offset,
+        "l_index": last + offset,
+        "end_age": F.col("ao_age") + last - first,
+        "trg_zb": F.try_element_at(entries("zb"), last),
         "trg_rate": F.when(end_rate == 0, rate).otherwise(end_rate),
-        "target_pp": flag(F.array_contains("_seen.zb", "01")),
-        "target_default": flag(F.array_contains("_seen.zb", "03") | F.array_contains("_seen.zb", "09")),
-        "target_dq120": flag(F.array_max("_seen.dq") >= 4),
-        "target_mod": flag(F.array_contains("_seen.mod", "Y")),
+        "target_pp": flag(F.array_contains(seen("zb"), "01")),
+        "target_default": flag(F.array_contains(seen("zb"), "03") | F.array_contains(seen("zb"), "09")),
+        "target_dq120": flag(F.array_max(seen("dq")) >= 4),
+        "target_mod": flag(F.array_contains(seen("mod"), "Y")),
         **expected_columns(F.lit(months), rate, rate / F.lit(1200.0)),
         **calendar_columns(covid, first_period),
-    })
-    rows = rows.withColumn("trg_payment", _payment()).drop("_pay_r", "_seen", "_final")
+    }).drop("_offset", *[c for c in rows.columns if c.startswith("_h_")])
+    rows = rows.withColumn("trg_payment", _payment()).drop("_pay_r")
     cond = as_predicate(where)
     return rows if cond is None else rows.where(cond)
