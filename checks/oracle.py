@@ -352,11 +352,15 @@ def oracle() -> dict[str, str]:
                                    PANEL, draw("panel", strata, keys1, N2, "drawn", "rates"))
     out["history_strata_sample"] = sql("select loan_id, ao_dt, ao_max_dq12, purpose from drawn", PANEL,
                                        draw("panel", ["ao_max_dq12", "purpose"], keys1, N2, "drawn", "rates"))
-    out["stratified_sample_exact"] = sql(f"""select loan_id, ao_dt, state, ao_dq_cap6, ao_max_dq12, ao_months_cur, servicer from (
-      select p.*, round(r.rate * r.n) as take,
+    out["stratified_sample_exact"] = sql(f"""select loan_id, ao_dt, state, ao_dq_cap6, ao_max_dq12, ao_months_cur, servicer
+      from (select p.*, r.take,
         row_number() over (partition by p.state, p.ao_dq_cap6 order by {h28('loan_id', 'ao_dt')}, loan_id, ao_dt) as rn
-      from panel p join rates r on p.state = r.state and p.ao_dq_cap6 = r.ao_dq_cap6) where rn <= take""",
-                                         PANEL, rates("panel", "state, ao_dq_cap6", N2))
+      from panel p join takes r on p.state = r.state and p.ao_dq_cap6 = r.ao_dq_cap6) where rn <= take""",
+                                         PANEL, rates("panel", "state, ao_dq_cap6", N2), f"""
+whole as (select *, cast(floor(round(rate * n, 6)) as bigint) as w from rates),
+takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
+    partition by w < n order by {h28('state', 'ao_dq_cap6')}, state, ao_dq_cap6)
+    <= (select round(sum(rate * n)) - sum(w) from whole) then 1 else 0 end as take from whole)""")
     out["random_sample"] = sql(f"""select loan_id, ao_dt from panel
       where {h28('loan_id', 'ao_dt')} < least(1e0, {N2}e0 / (select count(*) from panel)) * 268435456""", PANEL)
     out["per_slice_sample"] = sql(f"""select loan_id, ao_dt, state from (select *, row_number() over (
@@ -494,6 +498,21 @@ def oracle() -> dict[str, str]:
     out["marginal_distribution"] = sql(f"""select slice, grp, count(*) as n, {five.format('feature', 5)} from grp
       group by 1, 2""", MARGINAL)
     out["marginal_levels"] = sql("select slice, grp, level, count(*) as n from grp group by 1, 2, 3", MARGINAL)
+    out["marginal_response"] = sql("""select slice, grp, round(at_, 6) as at, count(*) as n, """
+                                   + five.format("p0", 6).replace("quantile_cont(p0", "quantile_cont(p") + """
+      from (select *, 0.5e0 * z1 + 0.2e0 * z2 + 0.1e0 * o1 - 0.3e0 * o2 + 0.1e0 as h1,
+              -0.25e0 * z1 + 0.3e0 * z2 + 0.2e0 * o1 as h2,
+              0.1e0 * z1 - 0.4e0 * z2 + 0.3e0 * o1 + 0.2e0 * o2 - 0.1e0 as h3,
+              exp(0.4e0 * h1 + 0.1e0 * h2 - 0.5e0 * h3 + 0.05e0) as a0,
+              exp(-0.2e0 * h1 + 0.3e0 * h2 + 0.2e0 * h3 - 0.05e0) as a1, a0 / (a0 + a1) as p from moved)
+      group by slice, grp, at_""", NET, f"""
+b as (select loan_id, fico, z2, o1, o2, cast(num_borr as varchar) as slice, a0 / (a0 + a1) as fit from outs),
+smp as (select * from (select *, row_number() over (partition by slice order by {h28('loan_id')}, loan_id) as rn from b)
+        where rn <= 10000)""", quantile("smp", "slice", "fit", "mq"), f"""
+grp as (select s.*, 7 - ({group_no('s.fit', 'mq')}) as grp from smp s join mq using (slice)),
+span as (select slice, grp, quantile_cont(fico, 0.1) as lo, quantile_cont(fico, 0.9) as hi from grp group by 1, 2),
+grid as (select distinct slice, grp, lo + (hi - lo) * (i / 9e0) as at_ from span, range(10) r(i)),
+moved as (select g.*, at_, (at_ - mf) / sf as z1 from grp g join grid using (slice, grp), st)""")
     out["r_squared"] = sql("""select slicer as slice, count(*) as n,
       round(100 * (1 - avg((feature - feature * p0 * 2) * (feature - feature * p0 * 2)) / var_pop(feature)), 6) as r2
       from fx_scored group by 1""")

@@ -249,8 +249,7 @@ def marginal(df: DataFrame, feature: str, by: str | None, scorer: Callable[[Data
     groups = marginal_groups(df, by, ids, n, seed) if groups is None else groups
     grid = stage(feature_grid(groups, feature, continuous), "grid")
     moved = join_small(groups, grid, ["slice", "grp"]).withColumn("at", F.explode("grid")).drop("grid")
-    kind = groups.schema[feature].dataType
-    rescored = view(scorer(moved.withColumn(feature, F.col("at").cast(kind))), target_cols)
+    rescored = view(scorer(moved.withColumn(feature, F.col("at"))), target_cols)
     q = F.percentile("fit", F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]))
     five = rescored.groupBy("slice", "grp", "at").agg(F.count(F.lit(1)).alias("n"), q.alias("q"))
     response = five.select("slice", "grp", "at", "n", *[F.col("q")[i].alias(m) for i, m in

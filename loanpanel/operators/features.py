@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanpanel.functions.expr import safe_div
+from loanpanel.operators.running import CELLS_PER_TASK, row_positions
 from loanpanel.sources.tables import join_small, stage
 
 
@@ -65,17 +66,13 @@ def level_counts(df: DataFrame, cat: list[str]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def level_index(df: DataFrame, cat: list[str]) -> DataFrame:
-    """Levels numbered 0..K-1 in sorted order; the default is the most frequent one.
-
-    The window runs over distinct levels, not rows.
-    """
-    counts = level_counts(df, cat)
-    by_value = Window.partitionBy("feature").orderBy("ord", "level")
-    by_count = Window.partitionBy("feature").orderBy(F.desc("n"), "ord", "level")
-    return counts.select(
-        "feature", "level", (F.row_number().over(by_value) - 1).alias("idx"), "n",
-        (F.row_number().over(by_count) == 1).alias("is_default"))
+def level_index(df: DataFrame, cat: list[str], per_task: int = CELLS_PER_TASK) -> DataFrame:
+    """Levels numbered 0..K-1 in sorted order; the default is the most frequent one, the first of them on a tie."""
+    counts = stage(level_counts(df, cat), "level-counts")
+    numbered = row_positions(counts, ["feature"], ["ord", "level"], "idx", per_task)
+    modal = counts.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("o"), "ord", "level")).alias("_m"))
+    out = join_small(numbered, stage(modal, "modal"), ["feature"])  # one row per feature
+    return out.select("feature", "level", "idx", "n", F.col("level").eqNullSafe(F.col("_m.level")).alias("is_default"))
 
 
 def fit_features(df: DataFrame, cts: list[str], cat: list[str]) -> FeatureDefs:

@@ -162,6 +162,17 @@ def add_input_models(df: DataFrame, models: list[InputModel]) -> DataFrame:
     return out
 
 
+def input_columns(models: list[InputModel]) -> tuple[set[str], set[str]]:
+    """(source columns the models read, columns they make), submodels included."""
+    need: set[str] = set()
+    made: set[str] = set()
+    for m in models:
+        inner_need, inner_made = input_columns(m.inputs)
+        made |= inner_made | set(m.outputs)
+        need |= inner_need | set(m.net.features)
+    return need - made, made
+
+
 def with_outputs(df: DataFrame, outputs: dict[str, list[int]], probs: str = "probs") -> DataFrame:
     """Named sums of output columns, as probabilities."""
     return df.withColumns({name: output_sum(cols, probs) for name, cols in outputs.items()})

@@ -108,3 +108,27 @@ def rank_in_ties(rows: DataFrame, by: list[str], ids: list[str], per_task: int =
     range_col = F.floor(F.col("_tie.h") * F.lit(ranges) / F.lit(HASH_SPAN)).cast("int")
     ranked = running_totals(staged, by, "_tie", ["_one"], per_task, range_col)
     return ranked.withColumnRenamed("_one_before", "tie_rank").drop("_one", "_one_total", "_tie")
+
+
+def row_positions(df: DataFrame, by: list[str], order: list[str], out: str, per_task: int = CELLS_PER_TASK) -> DataFrame:
+    """0-based position of each row in its group, for any sortable columns that order it uniquely.
+
+    ``df`` must be staged.  Above ``per_task`` rows they are range-partitioned
+    and sorted, and the place of a row is its place in its partition plus the
+    sizes of the partitions before it.  The sorted rows are written with their
+    places, so that partition bounds drawn anew by a retry cannot disagree.
+    """
+    n = df.count()
+    if n <= per_task:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
+    parts = min(MAX_RANGES, n // per_task + 1)
+    ordered = df.repartitionByRange(parts, *by, *order).sortWithinPartitions(*by, *order)
+    placed = stage(ordered.withColumn("_id", F.monotonically_increasing_id()), "sorted").withColumns({
+        "_part": F.shiftright("_id", 33), "_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # At most MAX_RANGES rows.
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stage(sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "offsets")
+    rows = join_small(placed, offsets, ["_part"]).withColumn("_at", F.col("_before") + F.col("_pos"))
+    starts = stage(rows.groupBy(*by).agg(F.min("_at").alias("_start")), "starts")
+    return join_small(rows, starts, by).select(*df.columns, (F.col("_at") - F.col("_start")).cast("int").alias(out))

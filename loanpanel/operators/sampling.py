@@ -51,6 +51,24 @@ def strata_rates(df: DataFrame, cols: list[str], target_n: int, counts: DataFram
     return counts.select(*cols, "n", rate.alias("rate")).withColumn("expected", F.col("rate") * F.col("n"))
 
 
+def exact_takes(rates: DataFrame, cols: list[str], seed: int = SEED) -> DataFrame:
+    """Whole rows to take of each stratum, adding to the rounded sum of the expected ones.
+
+    Every stratum gives the whole part of its expectation; the rest is made up
+    by one more row from the strata of lowest hash that have one left.
+    """
+    whole = F.floor(F.round(F.col("rate") * F.col("n"), 6)).cast("bigint")
+    base = stage(rates.select(*cols, "n", (F.col("rate") * F.col("n")).alias("_e"), whole.alias("_take")), "whole")
+    expected, given = base.agg(F.sum("_e"), F.sum("_take")).first()
+    more = round(expected or 0) - (given or 0)
+    if more <= 0:
+        return base.select(*cols, "_take")
+    spare = base.where("_take < n").orderBy(hash28(*cols, seed=seed), *cols).limit(more)
+    added = stage(spare.select(*cols, F.lit(1).alias("_more")), "more")
+    return join_small(base, added, cols, "left").select(
+        *cols, (F.col("_take") + F.coalesce("_more", F.lit(0))).alias("_take"))
+
+
 def hash_below(keys: list[str], seed: int, rate: Column) -> Column:
     return hash28(*keys, seed=seed) < rate * F.lit(HASH_SPAN)
 
@@ -74,15 +92,14 @@ def stratified_sample(df: DataFrame, cols: list[str], target_n: int, keys: list[
     """Sample balanced over the joint levels of ``cols``.
 
     A row is kept when the hash of its unique key falls below its stratum's
-    rate: no sort, no state, the same rows on every run.  ``exact=True`` takes
-    exactly round(rate * n) rows of each stratum instead, those of lowest hash.
+    rate: no sort, no state, the same rows on every run.  ``exact=True`` takes a
+    fixed number of rows of each stratum instead, those of lowest hash.
     ``widen`` adds columns that only the sampled rows need.
     """
     if exact:
         bins = hash_bins(df, cols, keys, seed)
         rates = strata_rates(df, cols, target_n, group_sizes(bins, cols)) if rates is None else rates
-        takes = rates.select(*cols, F.round(F.col("rate") * F.col("n")).cast("bigint").alias("_take"))
-        return take_lowest_hash(df, cols, takes, keys, seed, bins=bins, widen=widen)
+        return take_lowest_hash(df, cols, exact_takes(rates, cols, seed), keys, seed, bins=bins, widen=widen)
     rates = strata_rates(df, cols, target_n) if rates is None else rates
     if widen and rates.count() > BROADCAST_ROWS:
         # The join will shuffle, and unwidened rows may carry whole histories: widen, and let them go, first.

@@ -22,6 +22,7 @@ from loanpanel.operators.network import (
     coalesce_target,
     continuous_target,
     export_scored,
+    input_columns,
     score_network,
 )
 from loanpanel.operators.panel import AS_OF_COLUMNS, as_of_panel, sample_as_of
@@ -182,13 +183,12 @@ def run(spark: SparkSession, job: Job) -> Result:
     result = Result(fitted=job.fitted)
     if job.data:
         result.data = build_data(job.data)
-    made = [name for m in job.input_models for name in m.outputs]
+    own, made = input_columns(job.input_models)
     target = job.model.target if job.model else job.target
     kind = job.model.kind if job.model else job.kind
 
     def rows(source: Source, features: list[str], more: list[str] = ()) -> DataFrame:
-        own = [f for m in job.input_models for f in m.net.features if f not in made]
-        need = needed_columns([*features, *own], target, keep=[*job.keep, *more], produced=made)
+        need = needed_columns([*features, *own], target, keep=[*job.keep, *more], produced=list(made))
         return add_input_models(source_query(spark, source, need), job.input_models)
 
     if job.model:

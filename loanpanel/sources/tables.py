@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000  # a joined side is broadcast only when it is counted and found below this
 SALTS = 32
@@ -87,7 +88,8 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inne
         out = big.join(F.broadcast(right), keys, how)
     else:
         # The salt comes from the row's own values, so a retried task draws the same one.
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in big.schema.fields]), F.lit(SALTS))
+        flat = [f"`{f.name}`" for f in big.schema.fields if isinstance(f.dataType, T.AtomicType)]
+        salt = F.pmod(F.xxhash64(*flat), F.lit(SALTS))
         left = big.withColumn("_salt", salt)
         right = right.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         keys = [left[c].eqNullSafe(right[f"_k_{c}"]) for c in on]

@@ -135,3 +135,16 @@ def test_slicing_on_a_continuous_feature_is_refused(spark, sf):
     rows = network.coalesce_target(fx.staged(spark, sf, "scored"), [0])
     with pytest.raises(ValueError):
         assess.assess_all(rows, [("x", [0], "feature")], ["id"], ["level"], ["feature"])
+
+
+def test_many_levels_are_numbered_like_few(spark, sf):
+    orders = fx.table(spark, sf, "orders")
+    cat = ["o_custkey", "o_orderpriority", "o_totalprice"]
+    few = features.level_index(orders, cat).orderBy("feature", "idx").collect()
+    assert features.level_index(orders, cat, per_task=200).orderBy("feature", "idx").collect() == few
+
+
+def test_nested_input_columns():
+    inner = network.InputModel(FIXED_NET, None, {"a": [0]})
+    outer = network.InputModel(network.Network(["a", "dti"], [], []), None, {"b": [0]}, [inner])
+    assert network.input_columns([outer]) == ({"fico", "ltv", "num_borr", "dti"}, {"a", "b"})
