@@ -59,10 +59,23 @@ def balance_after(balance: Column, payment: Column, rate: Column, months: Column
     return balance * growth - safe_div(payment * (growth - F.lit(1.0)), rate)
 
 
+def key_digest(*keys: Column | str, seed: int | str = 0) -> Column:
+    """md5 of the joined keys and a seed, as hexadecimal text: reproducible in any engine."""
+    return F.md5(F.concat_ws("|", *[col(k).cast("string") for k in keys], F.lit(str(seed))))
+
+
 def hash28(*keys: Column | str, seed: int | str = 0) -> Column:
-    """28-bit value of the md5 of the joined keys: reproducible in any engine."""
-    text = F.concat_ws("|", *[col(k).cast("string") for k in keys], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("bigint")
+    """The first 28 bits of the key digest, as a number."""
+    return F.conv(F.substring(key_digest(*keys, seed=seed), 1, 7), 16, 10).cast("bigint")
+
+
+def digest_bound(rate: Column) -> Column:
+    """Text b such that ``key_digest < b`` exactly when ``hash28 < rate * 2**28``.
+
+    Comparing text saves turning the digest of every row into a number.
+    """
+    bound = F.ceil(rate * F.lit(HASH_SPAN)).cast("bigint")
+    return F.when(bound >= HASH_SPAN, F.lit("g")).otherwise(F.lpad(F.lower(F.hex(bound)), 7, "0"))
 
 
 def sum_of(columns: list[Column]) -> Column:

@@ -1,8 +1,8 @@
-"""Fitting through pyspark.ml; every fit ends as a ``Network`` that scores anywhere.
+"""Fits; every one ends as a ``Network`` that scores anywhere.
 
-Softmax regression, sigmoid multilayer networks (hidden layers in pyspark.ml
-are sigmoid) and linear regression.  All of them fit with one distributed
-gradient aggregate per iteration.
+``fit_model`` goes through pyspark.ml: softmax regression, sigmoid multilayer
+networks and linear regression, with one distributed gradient aggregate per
+iteration.  ``fit_network`` takes layers pyspark.ml does not have.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from loanpanel.operators.features import FeatureDefs, apply_features, design, fit_features
 from loanpanel.operators.network import Network, network_output
+from loanpanel.operators.training import start_network
+from loanpanel.operators.training import train as fit_epochs
 from loanpanel.sources.tables import stage
 
 
@@ -49,11 +51,12 @@ class Fitted:
         return Fitted(Network.load(spark, f"{path}/network"), FeatureDefs.load(spark, f"{path}/features"))
 
 
-def design_table(df: DataFrame, defs: FeatureDefs, cts: list[str], cat: list[str], target: str, kind: str) -> DataFrame:
+def design_table(df: DataFrame, defs: FeatureDefs, cts: list[str], cat: list[str], target: str, kind: str,
+                 emb: list[str] = ()) -> DataFrame:
     """Staged (x array<double>, y double): the only columns a fit scans."""
     is_cat = kind == "cat"
-    ready = apply_features(df, defs, cts if is_cat else [*cts, target], [*cat, target] if is_cat else cat)
-    ready = design(ready, defs, cts, cat, out="x")
+    ready = apply_features(df, defs, cts if is_cat else [*cts, target], [*cat, *emb, *([target] if is_cat else [])])
+    ready = design(ready, defs, cts, cat, emb, "x")
     label = F.col(f"i_{target}") if is_cat else F.col(f"z_{target}")
     return stage(ready.select("x", label.cast("double").alias("y")), "design")
 
@@ -124,6 +127,30 @@ def fit_model(train: DataFrame, target: str, kind: str, cts: list[str], cat: lis
     return Fitted(net, defs, costs)
 
 
+def fit_network(train: DataFrame, target: str, kind: str, cts: list[str], cat: list[str], layers: list[tuple[int, str]],
+                emb: dict[str, int] | None = None, valid: DataFrame | None = None, epochs: int = 20, batch: int = 500,
+                rates: tuple[float, float] = (0.01, 0.001), l2: float = 0.0, patience: int | None = None,
+                start_from: Fitted | None = None, seed: int = 10) -> Fitted:
+    """Network of (size, activation) hidden ``layers`` with embedded features ``{name: dimension}``.
+
+    The output layer is added: softmax over the target's levels for "cat", one
+    linear value for "cts".  Costs are cross-entropy, or root mean square error
+    of the normalized target.
+    """
+    if valid is not None and not patience:
+        raise ValueError("validation needs a patience")
+    is_cat, emb = kind == "cat", dict(emb or {})
+    defs = start_from.defs if start_from else fit_features(
+        train, cts if is_cat else [*cts, target], [*cat, *emb, *([target] if is_cat else [])])
+    table = design_table(train, defs, cts, cat, target, kind, list(emb))
+    check = design_table(valid, defs, cts, cat, target, kind, list(emb)) if valid is not None else None
+    output = (defs.n_levels[target], "softmax") if is_cat else (1, "linear")
+    net = start_from.net if start_from else start_network(cts, cat, emb, defs.n_levels, [*layers, output], seed)
+    held = None if check is None else (lambda now: cost(check, now, kind))
+    best, costs = fit_epochs(table, net, kind, epochs, batch, rates, l2, held, patience)
+    return Fitted(best, defs, costs)
+
+
 def _fit_rounds(rows, table, check, sizes, cts, cat, max_iter, patience, steps, start_from, seed):
     weights = _to_weights(start_from.net) if start_from else None
     best, best_cost, best_at, costs = None, math.inf, 0, []

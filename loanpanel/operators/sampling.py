@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanpanel.functions.expr import HASH_SPAN, as_predicate, hash28
+from loanpanel.functions.expr import as_predicate, digest_bound, hash28, key_digest
 from loanpanel.sources.tables import BROADCAST_ROWS, join_small, stage
 
 SEED = 10
@@ -69,10 +69,6 @@ def exact_takes(rates: DataFrame, cols: list[str], seed: int = SEED) -> DataFram
         *cols, (F.col("_take") + F.coalesce("_more", F.lit(0))).alias("_take"))
 
 
-def hash_below(keys: list[str], seed: int, rate: Column) -> Column:
-    return hash28(*keys, seed=seed) < rate * F.lit(HASH_SPAN)
-
-
 Widen = Callable[[DataFrame, list[str]], DataFrame]  # (rows, helper columns to carry along)
 
 
@@ -104,8 +100,8 @@ def stratified_sample(df: DataFrame, cols: list[str], target_n: int, keys: list[
     if widen and rates.count() > BROADCAST_ROWS:
         # The join will shuffle, and unwidened rows may carry whole histories: widen, and let them go, first.
         df, widen = widen(df, []), None
-    joined = join_small(df, rates.select(*cols, F.col("rate").alias("_rate")), cols)
-    drawn = joined.where(hash_below(keys, seed, F.col("_rate"))).drop("_rate")
+    joined = join_small(df, rates.select(*cols, digest_bound(F.col("rate")).alias("_bound")), cols)
+    drawn = joined.where(key_digest(*keys, seed=seed) < F.col("_bound")).drop("_bound")
     return widen(drawn, []) if widen else drawn
 
 
@@ -113,7 +109,7 @@ def random_sample(df: DataFrame, target_n: int, keys: list[str], seed: int = SEE
     """Simple random sample: one stratum, so the rate is one number and nothing is joined."""
     n = df.count()
     rate = min(1.0, target_n / n) if n else 1.0
-    return df.where(hash_below(keys, seed, F.lit(rate)))
+    return df.where(key_digest(*keys, seed=seed) < digest_bound(F.lit(rate)))
 
 
 def _with_bin(rows: DataFrame, shift: int) -> DataFrame:

@@ -19,6 +19,7 @@ from loanpanel.functions.expr import (
 )
 from loanpanel.operators.sampling import SEED, narrowed, stratified_sample
 from loanpanel.sources.profile import SourceProfile
+from loanpanel.sources.tables import BROADCAST_ROWS, stage
 
 MAX_FORECAST = 180
 COVID = (dt.date(2020, 4, 1), dt.date(2022, 4, 1))
@@ -119,14 +120,23 @@ def sample_targets(joined: DataFrame, profile: SourceProfile, strata: list[str],
                    where: Column | str | None = None, max_months: int = MAX_FORECAST, covid=COVID,
                    first_period: int = FIRST_PERIOD, seed: int = SEED, exact: bool = False,
                    rates: DataFrame | None = None) -> DataFrame:
-    """Pass 2: target rows sampled over ``strata``; balances and payments only for the sampled ones."""
+    """Pass 2: target rows sampled over ``strata``; only the sampled ones get all their columns.
+
+    The pairs outnumber ``joined`` some thirty times, so the draw explodes their
+    keys and strata alone.  The drawn target dates then go back to their as-of
+    rows, at most ``max_months + 1`` to each.
+    """
     keys = ["loan_id", "ao_dt", "trg_dt"]
-    narrow = narrowed(target_rows(joined, profile, max_months), where, strata)
-    if narrow is None:
-        rows = explode_targets(joined, profile, where, max_months, covid, first_period)
-        return stratified_sample(rows, strata, n, keys, seed, exact, rates)
-    return stratified_sample(narrow, strata, n, keys, seed, exact, rates,
-                             widen=lambda df, _: target_features(df, covid, first_period))
+    pairs = narrowed(target_rows(joined, profile, max_months), where, strata)
+    if pairs is None:
+        pairs = explode_targets(joined, profile, where, max_months, covid, first_period)
+    thin = pairs.select(*dict.fromkeys([*keys, *strata]))
+    drawn = stage(stratified_sample(thin, strata, n, keys, seed, exact, rates).select(*keys), "drawn")
+    dates = drawn.groupBy("loan_id", "ao_dt").agg(F.collect_set("trg_dt").alias("_dates"))
+    small = drawn.count() <= BROADCAST_ROWS
+    picked = joined.join(F.broadcast(dates) if small else dates, ["loan_id", "ao_dt"])
+    rows = target_rows(picked, profile, max_months).where(F.array_contains("_dates", F.col("trg_dt"))).drop("_dates")
+    return target_features(rows, covid, first_period)
 
 
 def target_pairs(sample: DataFrame, loans: DataFrame, profile: SourceProfile, where: Column | str | None = None,

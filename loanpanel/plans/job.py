@@ -15,7 +15,7 @@ from loanpanel.operators.assess import assess_all
 from loanpanel.operators.calibrate import fit_bias
 from loanpanel.operators.econ import BASE_MONTH, add_economics
 from loanpanel.operators.features import needed_columns
-from loanpanel.operators.models import Fitted, fit_model
+from loanpanel.operators.models import Fitted, fit_model, fit_network
 from loanpanel.operators.network import (
     InputModel,
     add_input_models,
@@ -83,9 +83,13 @@ class ModelBlock:
     cts: list[str] = field(default_factory=list)
     cat: list[str] = field(default_factory=list)
     valid: Source | None = None
-    hidden: list[int] = field(default_factory=list)
+    hidden: list[int] = field(default_factory=list)  # sigmoid layers, fitted by pyspark.ml
+    layers: list[tuple[int, str]] = field(default_factory=list)  # (size, activation), fitted by epochs
+    emb: dict[str, int] = field(default_factory=dict)  # embedded feature: dimension; fitted by epochs
     l2: float = 0.0
-    max_iter: int = 100
+    max_iter: int = 100  # iterations, or epochs
+    batch_size: int = 5000
+    learning_rate: tuple[float, float] = (0.01, 0.001)
     patience: int | None = None
     start_from: Fitted | None = None
 
@@ -193,10 +197,14 @@ def run(spark: SparkSession, job: Job) -> Result:
 
     if job.model:
         m = job.model
-        features = [*m.cts, *m.cat]
+        features = [*m.cts, *m.cat, *m.emb]
         valid = rows(m.valid, features) if m.valid is not None else None
-        result.fitted = fit_model(rows(m.train, features), m.target, m.kind, m.cts, m.cat, valid, m.hidden, m.l2,
-                                  m.max_iter, m.patience, start_from=m.start_from)
+        if m.layers or m.emb:
+            result.fitted = fit_network(rows(m.train, features), m.target, m.kind, m.cts, m.cat, m.layers, m.emb, valid,
+                                        m.max_iter, m.batch_size, m.learning_rate, m.l2, m.patience, m.start_from)
+        else:
+            result.fitted = fit_model(rows(m.train, features), m.target, m.kind, m.cts, m.cat, valid, m.hidden, m.l2,
+                                      m.max_iter, m.patience, start_from=m.start_from)
         result.fitted.save(spark, f"{job.out_dir}/model")
     if (job.bias is not None or job.assess) and (result.fitted is None or target is None):
         raise ValueError("bias and assess need a model: set model, or fitted and target")

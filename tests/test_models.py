@@ -6,7 +6,7 @@ from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from loanpanel.operators import assess, calibrate, features, models, network
+from loanpanel.operators import assess, calibrate, features, models, network, training
 from loanpanel.plans.job import Job, run
 from loanpanel.plans.queries import FIXED_NET
 from loanpanel.sources import fixtures as fx
@@ -148,3 +148,40 @@ def test_nested_input_columns():
     inner = network.InputModel(FIXED_NET, None, {"a": [0]})
     outer = network.InputModel(network.Network(["a", "dti"], [], []), None, {"b": [0]}, [inner])
     assert network.input_columns([outer]) == ({"fico", "ltv", "num_borr", "dti"}, {"a", "b"})
+
+
+@pytest.mark.parametrize("is_cat", [True, False])
+def test_batch_gradient_by_differences(is_cat):
+    rng = np.random.default_rng(0)
+    net = training.start_network(["a", "b"], [], {"e": 2}, {"e": 3}, [(4, "sigmoid"), (3, "leaky_relu"),
+                                 (2, "softmax") if is_cat else (1, "linear")], 5)
+    shapes, acts = training._form(net)
+    flat = training.pack(net) + rng.normal(0, 0.1, training.pack(net).shape)
+    x = np.column_stack([rng.normal(size=(20, 2)), rng.integers(0, 3, 20)])
+    y = rng.integers(0, 2, 20).astype(float)
+    _, grad = training.batch_gradient(flat, shapes, acts, x, y, is_cat)
+    for i in range(len(flat)):
+        up, down = flat.copy(), flat.copy()
+        up[i] += 1e-6
+        down[i] -= 1e-6
+        loss = [training.batch_gradient(f, shapes, acts, x, y, is_cat)[0] / 20 for f in (up, down)]
+        assert grad[i] == pytest.approx((loss[0] - loss[1]) / 2e-6, abs=1e-5)
+
+
+def test_network_regression_learns_a_bend_and_continues(spark):
+    rows = spark.range(3000).withColumn("x", (F.col("id") % 100 - 50) / 25.0).withColumn("y", F.abs("x"))
+    rows = rows.repartition(4, "id")
+    line = models.fit_model(rows, "y", "cts", ["x"], [])
+    bend = models.fit_network(rows, "y", "cts", ["x"], [], [(8, "relu")], valid=rows, epochs=15, batch=20, patience=5)
+    assert line.costs[0][1] > 0.9 and min(c[2] for c in bend.costs) < 0.3
+    more = models.fit_network(rows, "y", "cts", ["x"], [], [], epochs=2, batch=20, rates=(1e-3, 1e-4), start_from=bend)
+    assert more.costs[-1][1] < 0.3
+
+
+def test_network_learns_through_an_embedding(spark):
+    rows = spark.range(2000).withColumn("g", F.concat(F.lit("k"), F.col("id") % 10))
+    rows = rows.withColumn("y", F.when(F.col("id") % 10 < 3, "a").otherwise("b")).repartition(4, "id")
+    fit = models.fit_network(rows, "y", "cat", [], [], [(4, "relu")], {"g": 2}, epochs=12, batch=20, l2=1e-6)
+    assert fit.costs[-1][1] < 0.1 and fit.net.emb == ["g"] and len(fit.net.tables[0]) == 10
+    scored = network.score_network(rows, fit.net, fit.defs)
+    assert scored.where((F.col("probs")[0] > 0.5) != (F.col("y") == "a")).isEmpty()

@@ -182,3 +182,12 @@ def test_pass_one_does_not_shuffle_the_loan_table(spark, sf):
     from loanpanel.plans import queries as q
     text = plan(panel.sample_as_of(q.loans(spark, sf), fx.SOURCE, ["state"], 500, q.WHERE1, history_months=180))
     assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
+def test_digest_bounds_match_the_number(spark):
+    from loanpanel.functions.expr import HASH_SPAN, digest_bound, key_digest
+    rates = [0.0, 1e-9, 0.1, 0.25, 0.5, 1 - 1e-9, 1.0]
+    df = spark.range(3000).withColumn("rate", F.explode(F.array(*[F.lit(r) for r in rates])))
+    a = df.where(hash28("id", seed=3) < F.col("rate") * HASH_SPAN)
+    b = df.where(key_digest("id", seed=3) < digest_bound(F.col("rate")))
+    assert rows(a) == rows(b) and b.where("rate = 1").count() == 3000
