@@ -78,10 +78,10 @@ hist as (
     l.term - t.age_fp_dt as ao_rem_term,
     case when t.cur_rate > 0 then t.cur_rate / 1200e0 else 0.001e0 / 1200e0 end as ao_r,
     max(least(t.dq, 6)) over lag12 as max12,
-    count(*) filter (where t.dq = 1) over lag12 as ao_times30,
-    count(*) filter (where t.dq = 2) over lag12 as ao_times60,
-    count(*) filter (where t.dq >= 3) over lag12 as ao_times90p,
-    least(36, count(*) filter (where t.dq = 0) over prior) as ao_months_cur,
+    cast(count(*) filter (where t.dq = 1) over lag12 as int) as ao_times30,
+    cast(count(*) filter (where t.dq = 2) over lag12 as int) as ao_times60,
+    cast(count(*) filter (where t.dq >= 3) over lag12 as int) as ao_times90p,
+    cast(least(36, count(*) filter (where t.dq = 0) over prior) as int) as ao_months_cur,
     coalesce(last_value(case when t.servicer <> 'unknown' then t.servicer end ignore nulls) over prior, 'other') as servicer
   from fx_loan l join fx_month t using (loan_id)
   window lag12 as (partition by l.loan_id order by year(t.month) * 12 + month(t.month)
@@ -105,7 +105,7 @@ PAIRS = """
 raw_pairs as (
   select p.*, t.month as trg_dt, t.dq as trg_dq, t.cur_rate as trg_rate, t.mod as trg_mod, t.zb as trg_zb,
     t.bap as trg_bap, t.age_fp_dt as trg_age, p.term - t.age_fp_dt as trg_rem_term,
-    datediff('month', p.ao_dt, t.month) as fcst_month,
+    cast(datediff('month', p.ao_dt, t.month) as int) as fcst_month,
     case when t.cur_rate > 0 then t.cur_rate / 1200e0 else 0.01e0 / 1200e0 end as trg_r
   from {sample} p join fx_month t using (loan_id)
   where t.month >= p.ao_dt and datediff('month', p.ao_dt, t.month) <= 180 and p.term - t.age_fp_dt > 0),
@@ -124,7 +124,8 @@ pairs as (
 
 WINDOWED = f"""
 pos as (
-  select *, row_number() over (partition by loan_id order by month) as i, count(*) over (partition by loan_id) as size
+  select *, cast(row_number() over (partition by loan_id order by month) as int) as i,
+    cast(count(*) over (partition by loan_id) as int) as size
   from fx_month),
 ends as (
   select p.*, a.i as f_index, coalesce(e.i, a.size) as l_index, cast(p.ao_dt + interval {WINDOW} month as date) as trg_dt,
@@ -388,10 +389,10 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
       left join e y on y.zip3 = w.zip3 and y.month = date '1998-01-01' where {active}) t,
       lateral (values ('trg', l1), ('ao', l2), ('org', l3), ('y20', l4), ('any', l5)) u(lookup, lost)""",
                              PANEL, WINDOWED, ECON)
-    out["prop_values"] = economic("""msa_loc_name, round(ln(trg_prop_val), 9) as log_trg_prop_val,
-      round(ln(ao_prop_val), 9) as log_ao_prop_val, round(ln(y20_prop_val), 9) as log_y20_prop_val,
+    out["prop_values"] = economic("""msa_loc_name, round(ln(trg_prop_val), 7) as log_trg_prop_val,
+      round(ln(ao_prop_val), 7) as log_ao_prop_val, round(ln(y20_prop_val), 7) as log_y20_prop_val,
       round(100e0 * ao_upb / ao_prop_val, 3) as ao_eltv, round(100e0 * trg_upb_exp / trg_prop_val, 3) as trg_eltv,
-      round(trg_d_hpi, 9) as trg_d_hpi""")
+      round(trg_d_hpi, 7) as trg_d_hpi""")
     out["refi_incentive"] = economic("""round(rt15_wt, 4) as rt15_wt, round(org_spread, 4) as org_spread,
       round(new_rate, 4) as new_rate, round(new_payment, 4) as new_payment,
       round(12e0 * (trg_payment - new_payment), 4) as trg_refi_incentive""")

@@ -74,10 +74,12 @@ Widen = Callable[[DataFrame, list[str]], DataFrame]  # (rows, helper columns to
 
 def narrowed(rows: DataFrame, where: Column | str | None, strata: list[str]) -> DataFrame | None:
     """``rows`` filtered, or None when the predicate or the strata need columns that are added later."""
+    if not set(strata) <= set(rows.columns):
+        return None
     cond = as_predicate(where)
     try:
         out = rows if cond is None else rows.where(cond)
-        out.select(*strata).schema  # noqa: B018 - resolves the columns
+        out.schema  # noqa: B018 - resolves the predicate
         return out
     except AnalysisException:
         return None

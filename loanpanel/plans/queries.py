@@ -280,7 +280,7 @@ def prop_values(spark, sf):
     """Values on a log scale: dollar values end in exact halves, where engines round differently."""
     values = [F.log(c).alias(f"log_{c}") for c in ("trg_prop_val", "ao_prop_val", "y20_prop_val")]
     out = with_economics(spark, sf).select("loan_id", "ao_dt", "msa_loc_name", "ao_eltv", "trg_eltv", "trg_d_hpi", *values)
-    return rounded(out, {c: 3 if c.endswith("eltv") else 9 for c in out.columns[3:]})
+    return rounded(out, {c: 3 if c.endswith("eltv") else 7 for c in out.columns[3:]})
 
 
 @query
