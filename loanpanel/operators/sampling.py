@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanpanel.functions.expr import as_predicate, digest_bound, hash28, key_digest
+from loanpanel.operators.running import row_positions
 from loanpanel.sources.tables import BROADCAST_ROWS, join_small, stage
 
 SEED = 10
@@ -63,8 +64,9 @@ def exact_takes(rates: DataFrame, cols: list[str], seed: int = SEED) -> DataFram
     more = round(expected or 0) - (given or 0)
     if more <= 0:
         return base.select(*cols, "_take")
-    spare = base.where("_take < n").orderBy(hash28(*cols, seed=seed), *cols).limit(more)
-    added = stage(spare.select(*cols, F.lit(1).alias("_more")), "more")
+    spare = base.where("_take < n").select(*cols, hash28(*cols, seed=seed).alias("_h"), F.lit(0).alias("_g"))
+    placed = row_positions(stage(spare, "spare"), ["_g"], ["_h", *cols], "_at")
+    added = stage(placed.where(F.col("_at") < more).select(*cols, F.lit(1).alias("_more")), "more")
     return join_small(base, added, cols, "left").select(
         *cols, (F.col("_take") + F.coalesce("_more", F.lit(0))).alias("_take"))
 

@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.functions.expr import log_odds
 from loanpanel.operators import assess, calibrate, econ, features, models, network, panel, running, sampling, targets
 from loanpanel.plans.job import AssessBlock, DataBlock, Job, ModelBlock, Stage, run
 from loanpanel.session import tune
