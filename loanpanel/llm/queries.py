@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.llm import language_id, quality_model, quality_rules, sharding
+import public_tokenizers
+
+from loanpanel.llm import language_id, mixing, packing, pii, quality_model, quality_rules, sharding, simhash, url_filter
 from loanpanel.llm.common import crc_of_id
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +24,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_packing(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op2_personal_data(spark, sf_dir):
+    found = pii.find_personal(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        pii.as_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op3_url_filter(spark, sf_dir):
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -31,6 +59,11 @@ def op6_quality_classifier(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op7_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
