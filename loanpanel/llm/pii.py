@@ -124,14 +124,18 @@ def candidates(text: Column, prefix: str = "") -> Column:
         pattern = (MORE if prefix else BASE)[kind]
         none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>)")
         found = F.when(hints(text)[prefix + kind], matches(text, pattern)).otherwise(none)
-        out.append(F.transform(found, lambda m, number=number, kind=kind: F.struct(
-            m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"),
-            F.lit(not prefix).alias("base") & passes(kind, m["value"]) if not prefix else
-            F.lit(False).alias("base"), m["value"].alias("value"), m["before"].alias("before"),
-            m["after"].alias("after"))))
+        out.append(F.transform(found, _named(number, kind, not prefix)))
     return F.concat(*out)
 
 
+def _named(number: int, kind: str, checked: bool):
+    """Match to candidate: its kind, and whether it is a base span."""
+    return lambda m: F.struct(
+        m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"),
+        (passes(kind, m["value"]) if checked else F.lit(False)).alias("base"), m["value"].alias("value"),
+        m["before"].alias("before"), m["after"].alias("after"))
+
+
 # ---- features, boosted trees, threshold ----
 
 FEATURES = ("kind", "digits", "letters", "separators", "luhn", "parts", "plus", "at", "left", "right", "cue")

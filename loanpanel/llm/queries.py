@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
-from loanpanel.llm import language_id, mixing, packing, pii, quality_model, quality_rules, sharding, simhash, url_filter
+import corpus_pipeline
+from loanpanel.llm import language_id, mixing, packing, pii, quality_model, quality_rules, sharding, simhash, topk, url_filter
 from loanpanel.llm.common import crc_of_id
+from loanpanel.llm.oracle import TOP_SQL, URL_SQL
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _is(kind: int):
+    return lambda span: span["kind"] == kind
+
+
 @query
 def op1_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -33,8 +38,7 @@ def op1_packing(spark, sf_dir):
 @query
 def op2_personal_data(spark, sf_dir):
     found = pii.find_personal(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-              for k, kind in enumerate(pii.KINDS)]
+    counts = [F.array_size(F.filter("base", _is(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         pii.as_text(F.col("spans")).alias("spans"))
 
@@ -44,6 +48,11 @@ def op3_url_filter(spark, sf_dir):
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op5_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -82,9 +91,15 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_queries)
 
 
 def corpus_oracle() -> dict[str, str]:
-    return {}
+    return {"op3_url_filter": URL_SQL, "op4_exact_top_k": TOP_SQL} | (
+        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
