@@ -132,7 +132,7 @@ def mix_documents(docs: DataFrame, weight: Column | None = None, seed: int = 7)
     cut = (part > 0) & (part < F.col("_mix_size"))
     whole = F.col("_mix_epochs") + ((part > 0) & ~cut).cast("long")
     words = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), part.cast("string"), F.lit("}+"))
-    shortened = F.when(F.col("_mix_cut"), F.regexp_extract(F.col("text"), words, F.lit(0))).otherwise(F.col("text"))
+    shortened = F.when(F.col("_mix_cut"), F.call_function("regexp_extract", F.col("text"), words, F.lit(0))).otherwise(F.col("text"))
     flags = F.concat(F.array_repeat(F.lit(False), whole.cast("int")), F.array_repeat(F.lit(True), cut.cast("int")))
     rows = chosen.select("*", F.explode(flags).alias("_mix_cut")).withColumn("text", shortened)
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
