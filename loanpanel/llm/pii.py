@@ -31,7 +31,8 @@ BASE = {
     # The first part starts where its run of characters does, or where the last match ended.
     "email": rf"(?:(?<!{LOCAL})|\G){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    # A run of digits that is as long as it gets and holds 14 to 19; others would be dropped anyway.
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 MORE = {
@@ -52,29 +53,65 @@ CHUNK = 1024  # characters; texts are redacted in chunks so that no span is soug
 
 # ---- spans of one text ----
 
+SPAN = "struct<start:bigint,end:bigint,value:string,before:string,after:string>"
+STEP = 64  # running results are formed in blocks of so many items, and over the blocks
+
+
+def nothing(item: str) -> Column:
+    return F.expr(f"cast(array() as array<{item}>)")
+
+
+def with_value(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, op, zero: Column) -> Column:
+    """For each item of an array the result of ``op`` over the items before it.
+
+    An aggregate copies its state at each step, so the results cannot be collected along one; items only look
+    back to the start of their block, and blocks to the first one.
+    """
+    def blocks_of(v: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / STEP).cast("int")),
+                           lambda j: F.aggregate(F.slice(v, j * STEP + 1, F.lit(STEP)), zero, op))
+        starts = with_value(sums, lambda t: F.transform(t, lambda _, j: F.aggregate(F.slice(t, F.lit(1), j), zero, op)))
+
+        def place(s: Column) -> Column:
+            return F.transform(v, lambda _, i: F.aggregate(
+                F.slice(v, (i - i % STEP) + 1, i % STEP), s[F.floor(i / STEP).cast("int")], op))
+        return F.when(F.size(v) > 0, with_value(starts, place)).otherwise(F.slice(v, F.lit(1), F.lit(0)))
+
+    return with_value(values, blocks_of)
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, lambda a, x: a + x, F.lit(0).cast("long"))
+
+
+def running_max(values: Column) -> Column:
+    return running(values, lambda a, x: F.greatest(a, x), F.lit(0).cast("long"))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """All matches in order: ``start, end`` in code points, ``value``, and what stands ``before`` and ``after``.
 
     Splitting and extracting walk the same matches, so places are running sums of lengths.
     """
-    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>)")
-    both = F.struct(between.alias("between"), found.alias("found"))
-
-    def walk(pair: Column) -> Column:
-        def step(acc: Column, k: Column) -> Column:
-            gap, value = pair["between"][k - 1], pair["found"][k - 1]
-            start = acc["at"] + F.length(gap)
-            end = start + F.length(value)
-            span = F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), value.alias("value"),
-                            F.substring(gap, -NEAR, NEAR).alias("before"),
-                            F.substring(pair["between"][k], 1, 1).alias("after"))
-            return F.struct(end.cast("long").alias("at"), F.array_append(acc["out"], span).alias("out"))
-        start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
-        return F.when(F.size(pair["found"]) > 0, F.aggregate(
-            F.sequence(F.lit(1), F.size(pair["found"])), start, step, lambda acc: acc["out"])).otherwise(empty)
-
-    return F.transform(F.array(both), walk)[0]
+    def place(found: Column) -> Column:
+        def spans(gaps: Column) -> Column:
+            lengths = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda v, g: (
+                F.length(v) + F.length(g)).cast("long"))
+
+            def span(at: Column, i: Column) -> Column:
+                start = at + F.length(gaps[i])
+                return F.struct(start.alias("start"), (start + F.length(found[i])).alias("end"), found[i].alias("value"),
+                                F.substring(gaps[i], -NEAR, NEAR).alias("before"),
+                                F.substring(gaps[i + 1], 1, 1).alias("after"))
+            return F.transform(running_sum(lengths), span)
+        return F.when(F.size(found) > 0, with_value(F.split(text, pattern, -1), spans)).otherwise(nothing(SPAN))
+
+    return with_value(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), place)
 
 
 def digits(value: Column) -> Column:
@@ -121,10 +158,8 @@ def candidates(text: Column, prefix: str = "") -> Column:
     """All spans of the base patterns (``prefix`` empty) or the further generators, unchecked, one array per kind."""
     out = []
     for number, kind in enumerate(KINDS):
-        pattern = (MORE if prefix else BASE)[kind]
-        none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>)")
-        found = F.when(hints(text)[prefix + kind], matches(text, pattern)).otherwise(none)
-        out.append(F.transform(found, _named(number, kind, not prefix)))
+        found = F.when(hints(text)[prefix + kind], matches(text, (MORE if prefix else BASE)[kind]))
+        out.append(F.transform(F.coalesce(found, nothing(SPAN)), _named(number, kind, not prefix)))
     return F.concat(*out)
 
 
@@ -241,41 +276,43 @@ def _best_cuts(graded: DataFrame, names: list[str]) -> dict[int, tuple]:
 
 # ---- results ----
 
-def _selected(text: Column, trees: list[tuple], threshold: float) -> tuple[Column, Column]:
-    """Base spans, and further candidates at or above the threshold; sorted (start, kind, end) structs."""
-    def brief(spans: Column) -> Column:
-        return F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
-    unchecked = candidates(text)
-    base = F.array_sort(brief(F.filter(unchecked, lambda c: c["base"])))
+BRIEF = "struct<start:bigint,kind:int,end:bigint>"
+
+
+def _brief(spans: Column) -> Column:
+    return F.array_sort(F.transform(spans, lambda c: F.struct(
+        c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))))
+
+
+def _added(text: Column, unchecked: Column, trees: list[tuple], threshold: float) -> Column:
+    """Candidates that pass no check and score at or above the threshold."""
     if not trees or math.isinf(threshold):
-        return base, F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)")
-    more = F.filter(F.concat(F.filter(unchecked, lambda c: ~c["base"]), candidates(text, "more ")),
-                    lambda c: F.round(margin(trees, features(c)), 3) >= threshold)
-    return base, F.array_sort(brief(more))
+        return nothing(BRIEF)
+    rest = F.concat(F.filter(unchecked, lambda c: ~c["base"]), candidates(text, "more "))
+
+    def scores(c: Column) -> Column:
+        return with_value(F.array(*[f.cast("int") for f in features(c)]),
+                          lambda x: F.round(margin(trees, [x[k] for k in range(len(FEATURES))]), 3) >= threshold)
+    return _brief(F.filter(rest, scores))
 
 
 def _united(base: Column, more: Column) -> Column:
-    """Base spans and those of ``more`` that overlap no span kept before them and no base span."""
-    flagged = F.array_sort(F.concat(
-        F.transform(base, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("extra"), s["kind"].alias("kind"),
-                                             s["end"].alias("end"))),
-        F.transform(more, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("extra"), s["kind"].alias("kind"),
-                                             s["end"].alias("end")))))
-    empty = F.expr("cast(array() as array<struct<start:bigint,extra:int,kind:int,end:bigint>>)")
-    zero = F.struct(F.lit(0).cast("long").alias("reach"), empty.alias("out"))
-
-    def sweep(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc["out"], F.lit(-1))
-        hit = F.coalesce((last["extra"] == 1) & (last["end"] > s["start"]), F.lit(False))
-        room = F.when(hit & (s["extra"] == 0), F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1)).otherwise(acc["out"])
-        out = F.when((s["extra"] == 1) & (s["start"] < acc["reach"]), acc["out"]).otherwise(F.array_append(room, s))
-        return F.struct(F.greatest(acc["reach"], F.when((s["extra"] == 1) & (s["start"] < acc["reach"]), acc["reach"])
-                                   .otherwise(s["end"])).alias("reach"), out.alias("out"))
-
-    kept = F.aggregate(flagged, zero, sweep, lambda acc: acc["out"])
-    united = F.array_sort(F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"),
-                                                               s["end"].alias("end"))))
-    return F.when(F.size(more) > 0, united).otherwise(base)
+    """Base spans, and those of ``more`` that overlap no base span and no span of either that starts before them."""
+    def flagged(spans: Column, extra: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(extra).alias("extra"),
+                                                     s["kind"].alias("kind"), s["end"].alias("end")))
+
+    def choose(spans: Column) -> Column:
+        far = F.lit(1 << 62)
+        reach = running_max(F.transform(spans, lambda s: s["end"]))
+        begins = F.reverse(F.transform(spans, lambda s: F.when(s["extra"] == 0, s["start"]).otherwise(far)))
+        following = F.reverse(running(begins, lambda a, x: F.least(a, x), far))
+        kept = F.filter(F.arrays_zip(spans.alias("s"), reach.alias("reach"), following.alias("next")), lambda z: (
+            z["s"]["extra"] == 0) | ((z["s"]["start"] >= z["reach"]) & (z["s"]["end"] <= z["next"])))
+        return _brief(F.transform(kept, lambda z: z["s"]))
+
+    both = F.array_sort(F.concat(flagged(base, 0), flagged(more, 1)))
+    return F.when(F.size(more) > 0, with_value(both, choose)).otherwise(base)
 
 
 def as_text(spans: Column) -> Column:
@@ -288,12 +325,12 @@ def as_text(spans: Column) -> Column:
 def spans_of(text: Column, trees: list[tuple], threshold: float) -> Column:
     """Struct of ``base`` and ``spans`` arrays of one text; texts without a candidate's characters skip the work."""
     text = F.coalesce(text, F.lit(""))
-    base, more = _selected(text, trees, threshold)
-    found = F.transform(F.array(F.struct(base.alias("base"), more.alias("more"))), lambda s: F.struct(
-        s["base"].alias("base"), _united(s["base"], s["more"]).alias("spans")))[0]
-    none = F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)")
+    found = with_value(candidates(text), lambda unchecked: with_value(
+        F.struct(_brief(F.filter(unchecked, lambda c: c["base"])).alias("base"),
+                 _added(text, unchecked, trees, threshold).alias("more")),
+        lambda s: F.struct(s["base"].alias("base"), _united(s["base"], s["more"]).alias("spans"))))
     return F.when(text.rlike("[0-9@]|(?:\\(at\\)|\\[at\\]|\\x20dot\\x20)"), found).otherwise(
-        F.struct(none.alias("base"), none.alias("spans")))
+        F.struct(nothing(BRIEF).alias("base"), nothing(BRIEF).alias("spans")))
 
 
 def find_personal(docs: DataFrame, model: tuple[list[tuple], float] | None = None) -> DataFrame:
@@ -305,36 +342,30 @@ def find_personal(docs: DataFrame, model: tuple[list[tuple], float] | None = Non
 def redact(docs: DataFrame, model: tuple[list[tuple], float] | None = None) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; ``n_chars`` follows the new text."""
     found = spans_of(F.col("text"), *(model or fit(docs)))["spans"]
-    text = F.transform(F.array(F.struct(F.col("text").alias("text"), found.alias("spans"))),
-                       lambda d: F.when(F.size(d["spans"]) > 0, _without(d["text"], d["spans"])).otherwise(d["text"]))[0]
+    text = with_value(found, lambda spans: F.when(F.size(spans) > 0, _without(F.col("text"), spans)).otherwise(F.col("text")))
     out = docs.withColumn("text", text)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def _without(text: Column, spans: Column) -> Column:
     """The text around the merged spans, with a mark for each."""
-    empty = F.expr("cast(array() as array<string>)")
-    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def build(d: Column) -> Column:
+    def build(chunks: Column) -> Column:
         def cut(start: Column, end: Column) -> Column:
             first, last = F.floor(start / CHUNK).cast("int"), F.floor((end - 1) / CHUNK).cast("int")
-            head = F.substring(d[0]["chunks"][first], (start % CHUNK + 1).cast("int"), F.lit(CHUNK))
-            tail = F.substring(d[0]["chunks"][last], F.lit(1), ((end - 1) % CHUNK + 1).cast("int"))
-            one = F.substring(d[0]["chunks"][first], (start % CHUNK + 1).cast("int"), (end - start).cast("int"))
-            middle = F.array_join(F.slice(d[0]["chunks"], first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+            from_first = (start % CHUNK + 1).cast("int")
+            head = F.substring(chunks[first], from_first, F.lit(CHUNK))
+            tail = F.substring(chunks[last], F.lit(1), ((end - 1) % CHUNK + 1).cast("int"))
+            middle = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+            one = F.substring(chunks[first], from_first, (end - start).cast("int"))
             return F.when(end <= start, "").when(first == last, one).otherwise(F.concat(head, middle, tail))
 
-        def step(acc: Column, s: Column) -> Column:
-            fresh = s["start"] >= acc["at"]
-            piece = F.concat(cut(acc["at"], s["start"]), F.element_at(marks, s["kind"] + 1))
-            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                            F.when(fresh, F.array_append(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
-
-        zero = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
-        return F.aggregate(d[0]["spans"], zero, step, lambda acc: F.concat(
-            F.array_join(acc["out"], ""), cut(acc["at"], d[0]["size"])))
+        size = F.length(text).cast("long")
+        ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda s: s["end"]))
+        marked = F.concat(spans, F.array(F.struct(size.alias("start"), F.lit(None).cast("int").alias("kind"), size.alias("end"))))
+        reach = F.slice(running_max(F.concat(ends, F.array(size))), F.lit(2), F.size(spans) + 1)
+        return F.array_join(F.zip_with(marked, reach, lambda s, at: F.when(s["start"] >= at, F.concat(
+            cut(at, s["start"]), F.coalesce(F.get(marks, s["kind"]), F.lit(""))))), "")
 
-    pair = F.struct(chunks.alias("chunks"), spans.alias("spans"), F.length(text).cast("long").alias("size"))
-    return F.transform(F.array(F.array(pair)), build)[0]
+    return with_value(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), build)
