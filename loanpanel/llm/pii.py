@@ -322,29 +322,34 @@ def as_text(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def spans_of(text: Column, trees: list[tuple], threshold: float) -> Column:
-    """Struct of ``base`` and ``spans`` arrays of one text; texts without a candidate's characters skip the work."""
-    text = F.coalesce(text, F.lit(""))
-    found = with_value(candidates(text), lambda unchecked: with_value(
-        F.struct(_brief(F.filter(unchecked, lambda c: c["base"])).alias("base"),
-                 _added(text, unchecked, trees, threshold).alias("more")),
-        lambda s: F.struct(s["base"].alias("base"), _united(s["base"], s["more"]).alias("spans"))))
-    return F.when(text.rlike("[0-9@]|(?:\\(at\\)|\\[at\\]|\\x20dot\\x20)"), found).otherwise(
-        F.struct(nothing(BRIEF).alias("base"), nothing(BRIEF).alias("spans")))
+def with_spans(docs: DataFrame, model: tuple[list[tuple], float]) -> DataFrame:
+    """The documents with the columns ``_pii_base`` and ``_pii_spans``.
+
+    One projection after the other, so that each result is computed once; texts without
+    a candidate's characters skip the work.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    likely = text.rlike(r"[0-9@]|(?:\(at\)|\[at\]|\x20dot\x20)")
+    out = docs.withColumn("_pii_all", F.when(likely, candidates(text)))
+    out = out.withColumn("_pii_base", F.coalesce(_brief(F.filter("_pii_all", lambda c: c["base"])), nothing(BRIEF)))
+    out = out.withColumn("_pii_more", F.coalesce(F.when(likely, _added(text, F.col("_pii_all"), *model)), nothing(BRIEF)))
+    return out.withColumn("_pii_spans", _united(F.col("_pii_base"), F.col("_pii_more"))).drop("_pii_all", "_pii_more")
 
 
 def find_personal(docs: DataFrame, model: tuple[list[tuple], float] | None = None) -> DataFrame:
     """``doc_id``, ``base`` spans and all ``spans`` of every document, as arrays of (start, kind, end)."""
-    found = spans_of(F.col("text"), *(model or fit(docs)))
-    return docs.select("doc_id", found.alias("_found")).select("doc_id", "_found.base", "_found.spans")
+    found = with_spans(docs.select("doc_id", "text"), model or fit(docs))
+    return found.select("doc_id", F.col("_pii_base").alias("base"), F.col("_pii_spans").alias("spans"))
 
 
 def redact(docs: DataFrame, model: tuple[list[tuple], float] | None = None) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; ``n_chars`` follows the new text."""
-    found = spans_of(F.col("text"), *(model or fit(docs)))["spans"]
-    text = with_value(found, lambda spans: F.when(F.size(spans) > 0, _without(F.col("text"), spans)).otherwise(F.col("text")))
-    out = docs.withColumn("text", text)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+    text, spans = F.col("text"), F.col("_pii_spans")
+    out = with_spans(docs, model or fit(docs)).withColumn(
+        "text", F.when(F.size(spans) > 0, _without(text, spans)).otherwise(text))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
 
 
 def _without(text: Column, spans: Column) -> Column:
