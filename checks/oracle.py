@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-N1, N2, WINDOW, SEED = 20_000, 10_000, 24, 10
+N1, N2, WINDOW, SEED, LEVEL_SEED = 20_000, 10_000, 24, 10, 11
 
 # The tables the queries are read from, as common table expressions.
 TABLES = """
@@ -149,6 +149,23 @@ windowed as (
     case when n.trg_dt between date '1999-04-01' and date '2001-04-01' then 'Y' else 'N' end as covid
   from ends n join events v using (loan_id, ao_dt) join pos t on t.loan_id = n.loan_id and t.i = n.l_index)"""
 
+# Windows of histories with months missing, by dates alone.
+GAPS = f"""
+gap as (select * from fx_month where (year(month) * 12 + month(month) + loan_id) % 9 <> 4),
+gends as (
+  select p.loan_id, p.ao_dt, p.ao_age, e.month is not null as ends, cast(p.ao_dt + interval {WINDOW} month as date) as trg_dt
+  from panel p join gap a on a.loan_id = p.loan_id and a.month = p.ao_dt
+  left join gap e on e.loan_id = p.loan_id and e.month = cast(p.ao_dt + interval {WINDOW} month as date)
+  where p.term - p.ao_age - {WINDOW} > 0),
+gw as (
+  select loan_id, ao_dt, cast(count(*) filter (month <= ao_dt) as int) as f_index, cast(count(*) as int) as l_index,
+    cast(max(ao_age) + count(*) filter (month > ao_dt) as int) as end_age, arg_max(zb, month) as trg_zb,
+    max(case when month >= ao_dt and zb = '01' then 1 else 0 end) as target_pp,
+    max(case when month >= ao_dt and zb in ('03', '09') then 1 else 0 end) as target_default,
+    max(case when month >= ao_dt and dq >= 4 then 1 else 0 end) as target_dq120,
+    max(case when month >= ao_dt and mod = 'Y' then 1 else 0 end) as target_mod
+  from gends n join gap t using (loan_id) where not ends or month <= trg_dt group by loan_id, ao_dt)"""
+
 ECON = """
 e as (
   select zip3, month, avg(zip3_hpi) as hpi, sum(unemp_rate * lbr_force) / sum(lbr_force) as unemp_rate,
@@ -274,7 +291,7 @@ outs as (select *, exp(0.4e0 * h1 + 0.1e0 * h2 - 0.5e0 * h3 + 0.05e0) as a0,
           exp(-0.2e0 * h1 + 0.3e0 * h2 + 0.2e0 * h3 - 0.05e0) as a1 from hid)"""
 
 MARGINAL = binary(slice_="slicer") + f""",
-smp as (select * from (select *, row_number() over (partition by slice order by {h28('id')}, id) as rn from b)
+smp as (select * from (select *, row_number() over (partition by slice order by {h28('id', seed=LEVEL_SEED)}, id) as rn from b)
         where rn <= 1000),
 {quantile('smp', 'slice', 'fit', 'mq').lstrip()},
 grp as (select s.*, 7 - ({group_no('s.fit', 'mq')}) as grp from smp s join mq using (slice))"""
@@ -365,7 +382,14 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
     out["random_sample"] = sql(f"""select loan_id, ao_dt from panel
       where {h28('loan_id', 'ao_dt')} < least(1e0, {N2}e0 / (select count(*) from panel)) * 268435456""", PANEL)
     out["per_slice_sample"] = sql(f"""select loan_id, ao_dt, state from (select *, row_number() over (
-      partition by state order by {h28('loan_id', 'ao_dt')}, loan_id, ao_dt) as rn from panel) where rn <= 500""", PANEL)
+      partition by state order by {h28('loan_id', 'ao_dt', seed=LEVEL_SEED)}, loan_id, ao_dt) as rn from panel) where rn <= 500""", PANEL)
+    out["sample_after_sample"] = sql(f"""select loan_id, ao_dt, state, ao_dq_cap6 from (select *, row_number() over (
+      partition by state order by {h28('loan_id', 'ao_dt', seed=LEVEL_SEED)}, loan_id, ao_dt) as rn from first) where rn <= 100""",
+                                     PANEL, draw("panel", ["state", "ao_dq_cap6"], ["loan_id", "ao_dt"], N2, "first", "rates"))
+    out["history_disorder"] = out["ao_history"]
+    out["nest_repeats"] = out["nested_history"]
+    gaps = sql("""select w.*, p.path from gw w, (select unnest(['loan join', 'sampled']) as path) p""", PANEL, GAPS)
+    out["window_gaps"] = gaps
     out["two_stage_sample"] = two_stage(
         "select loan_id, ao_dt, trg_dt, fcst_month, trg_dq, ao_dq_cap6 from second_pass")
     out["balanced_target_sample"] = sql("select loan_id, ao_dt, trg_dt, target_status, round(trg_upb_exp, 3) as trg_upb_exp from drawn", PANEL, pairs,
@@ -455,6 +479,7 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
     out["log_odds_feature"] = sql("""select loan_id, round(ln(a0 / a1), 7) as lo_first, round(ln(a1 / a0), 7) as lo_last
       from outs""", NET)
     out["nested_input_models"] = sql("select loan_id, round(2 * ln(a0 / a1) + 1, 7) as lo2 from outs", NET)
+    out["saved_input_models"] = out["nested_input_models"]
     out["export_scored"] = sql("""select id, level, round(p0, 9) as first, round(p1 + p2, 9) as rest from fx_scored""")
 
     out["bias_start"] = sql(" union all ".join(
@@ -508,7 +533,7 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
               exp(-0.2e0 * h1 + 0.3e0 * h2 + 0.2e0 * h3 - 0.05e0) as a1, a0 / (a0 + a1) as p from moved)
       group by slice, grp, at_""", NET, f"""
 b as (select loan_id, fico, z2, o1, o2, cast(num_borr as varchar) as slice, a0 / (a0 + a1) as fit from outs),
-smp as (select * from (select *, row_number() over (partition by slice order by {h28('loan_id')}, loan_id) as rn from b)
+smp as (select * from (select *, row_number() over (partition by slice order by {h28('loan_id', seed=LEVEL_SEED)}, loan_id) as rn from b)
         where rn <= 10000)""", quantile("smp", "slice", "fit", "mq"), f"""
 grp as (select s.*, 7 - ({group_no('s.fit', 'mq')}) as grp from smp s join mq using (slice)),
 span as (select slice, grp, quantile_cont(fico, 0.1) as lo, quantile_cont(fico, 0.9) as hi from grp group by 1, 2),

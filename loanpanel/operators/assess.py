@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loanpanel.operators.network import coalesce_target
 from loanpanel.operators.running import CELLS_PER_TASK, group_quantiles, rank_in_ties, running_totals
-from loanpanel.operators.sampling import SEED, sample_per_level
+from loanpanel.operators.sampling import LEVEL_SEED, sample_per_level
 from loanpanel.sources.tables import join_small, stage
 
 OVERALL = "no_groups"
@@ -196,7 +196,7 @@ def r_squared(df: DataFrame, by: str | None = None) -> DataFrame:
         (100.0 * (1.0 - F.try_divide(F.avg(miss * miss), F.var_pop("obs")))).alias("r2"))
 
 
-def marginal_groups(df: DataFrame, by: str | None, ids: list[str], n: int = MARGINAL_ROWS, seed: int = SEED,
+def marginal_groups(df: DataFrame, by: str | None, ids: list[str], n: int = MARGINAL_ROWS, seed: int = LEVEL_SEED,
                     per_task: int = CELLS_PER_TASK) -> DataFrame:
     """Staged sample of ``n`` rows per slice with ``grp``: 1 the highest model output, 6 the lowest."""
     sample = stage(sample_per_level(_sliced(df, by), ["slice"], n, ids, seed), "marginal")
@@ -239,7 +239,7 @@ def feature_grid(groups: DataFrame, feature: str, continuous: bool) -> DataFrame
 
 
 def marginal(df: DataFrame, feature: str, by: str | None, scorer: Callable[[DataFrame], DataFrame],
-             target_cols: list[int], ids: list[str], continuous: bool, n: int = MARGINAL_ROWS, seed: int = SEED,
+             target_cols: list[int], ids: list[str], continuous: bool, n: int = MARGINAL_ROWS, seed: int = LEVEL_SEED,
              groups: DataFrame | None = None, view=coalesce_target) -> tuple[DataFrame, DataFrame]:
     """(response, distribution) of one feature, per slice and output group.
 

@@ -88,18 +88,21 @@ def normalized(c: str, stats: dict[str, tuple[float, float]]) -> Column:
 
 
 def apply_features(df: DataFrame, defs: FeatureDefs, cts: list[str] | None = None,
-                   cat: list[str] | None = None) -> DataFrame:
+                   cat: list[str] | None = None, label: str | None = None) -> DataFrame:
     """Add ``z_<c>`` for continuous and ``i_<c>`` for categorical columns.
 
-    An unseen level takes the index of the default level.
+    An unseen level takes the index of the default level, but for the ``label``, where it stays NULL.  Starts no
+    Spark job: the definitions know the number of levels.
     """
     cts = list(defs.stats) if cts is None else cts
     cat = list(defs.n_levels) if cat is None else cat
     out = df.withColumns({f"z_{c}": normalized(c, defs.stats) for c in cts}) if cts else df
     for c in cat:
         own = defs.levels.where(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("idx").alias("_i"))
-        out = join_small(out.withColumn("_level", F.col(c).cast("string")), own, ["_level"], "left")
-        out = out.withColumn(f"i_{c}", F.coalesce("_i", F.lit(defs.defaults[c]))).drop("_i", "_level")
+        out = join_small(out.withColumn("_level", F.col(c).cast("string")), own, ["_level"], "left",
+                         rows=defs.n_levels[c])
+        index = F.col("_i") if c == label else F.coalesce("_i", F.lit(defs.defaults[c]))
+        out = out.withColumn(f"i_{c}", index).drop("_i", "_level")
     return out
 
 

@@ -19,46 +19,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanpanel.operators.features import FeatureDefs, apply_features, design, fit_features
-from loanpanel.operators.network import Network, network_output
+from loanpanel.operators.network import InputModel, Network, load_inputs, network_output, save_inputs
 from loanpanel.operators.training import start_network
 from loanpanel.operators.training import train as fit_epochs
 from loanpanel.sources.tables import stage
 
 
+COSTS = "step int, train_cost double, valid_cost double"
+
+
 @dataclass
 class Fitted:
-    """Network, feature definitions and the cost table (step, train, valid)."""
+    """Network, feature definitions, the cost table (step, train, valid) and the models that feed it."""
 
     net: Network
     defs: FeatureDefs
     costs: list[tuple[int, float, float | None]] = field(default_factory=list)
+    inputs: list[InputModel] = field(default_factory=list)
 
     @property
     def best_step(self) -> int:
-        at = 2 if self.costs[0][2] is not None else 1
-        return min(self.costs, key=lambda c: c[at])[0]
+        held_out = [c for c in self.costs if c[2] is not None]
+        return min(held_out, key=lambda c: c[2])[0] if held_out else min(self.costs, key=lambda c: c[1])[0]
 
     def cost_table(self, spark: SparkSession) -> DataFrame:
-        table = spark.createDataFrame(self.costs, "step int, train_cost double, valid_cost double")
+        table = spark.createDataFrame(self.costs, COSTS)
         return table.withColumn("best", F.col("step") == self.best_step)
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.net.save(spark, f"{path}/network")
         self.defs.save(f"{path}/features")
+        spark.createDataFrame(self.costs, COSTS).coalesce(1).write.mode("overwrite").parquet(f"{path}/costs")
+        save_inputs(spark, self.inputs, path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "Fitted":
-        return Fitted(Network.load(spark, f"{path}/network"), FeatureDefs.load(spark, f"{path}/features"))
+        costs = [tuple(r) for r in spark.read.parquet(f"{path}/costs").orderBy("step").collect()]
+        return Fitted(Network.load(spark, f"{path}/network"), FeatureDefs.load(spark, f"{path}/features"), costs,
+                      load_inputs(spark, path))
 
 
 def design_table(df: DataFrame, defs: FeatureDefs, cts: list[str], cat: list[str], target: str, kind: str,
                  emb: list[str] = ()) -> DataFrame:
-    """Staged (x array<double>, y double): the only columns a fit scans."""
-    is_cat = kind == "cat"
-    ready = apply_features(df, defs, cts if is_cat else [*cts, target], [*cat, *emb, *([target] if is_cat else [])])
+    """Staged (x array<double>, y double): the only columns a fit scans.
+
+    Rows without a target are left out.  A class that the definitions do not know is an error: it has no
+    output to be compared with.
+    """
+    is_cat, df = kind == "cat", df.where(F.col(target).isNotNull())
+    ready = apply_features(df, defs, cts if is_cat else [*cts, target], [*cat, *emb, *([target] if is_cat else [])],
+                           target if is_cat else None)
     ready = design(ready, defs, cts, cat, emb, "x")
     label = F.col(f"i_{target}") if is_cat else F.col(f"z_{target}")
-    return stage(ready.select("x", label.cast("double").alias("y")), "design")
+    out = stage(ready.select("x", label.cast("double").alias("y")), "design")
+    if is_cat and (unknown := out.where("y is null").count()):
+        raise ValueError(f"{unknown} rows have a {target} that is not among the {defs.n_levels[target]} known classes")
+    return out
 
 
 def cost(table: DataFrame, net: Network, kind: str) -> float:
@@ -105,7 +121,7 @@ def fit_model(train: DataFrame, target: str, kind: str, cts: list[str], cat: lis
         raise ValueError("validation needs a patience")
     is_cat = kind == "cat"
     defs = start_from.defs if start_from else fit_features(
-        train, cts if is_cat else [*cts, target], [*cat, target] if is_cat else cat)
+        train.where(F.col(target).isNotNull()), cts if is_cat else [*cts, target], [*cat, target] if is_cat else cat)
     table = design_table(train, defs, cts, cat, target, kind)
     check = design_table(valid, defs, cts, cat, target, kind) if valid is not None else None
     rows = table.select(array_to_vector("x").alias("features"), F.col("y").alias("label")).persist()
@@ -121,7 +137,10 @@ def fit_model(train: DataFrame, target: str, kind: str, cts: list[str], cat: lis
                 m = LinearRegression(regParam=l2, maxIter=max_iter, standardization=False).fit(rows)
                 layer = ([[c] for c in m.coefficients.toArray().tolist()], [m.intercept], "linear")
             net = Network(cts, cat, [layer])
-            costs = [(max_iter, cost(table, net, kind), cost(check, net, kind) if check is not None else None)]
+            end = (m.summary.totalIterations, cost(table, net, kind), cost(check, net, kind) if check is not None else None)
+            # What the optimizer minimized at each step: the cost of the training rows, and the penalty when l2 > 0.
+            steps_before = list(m.summary.objectiveHistory)[:end[0]] if is_cat else []
+            costs = [*((k, float(c), None) for k, c in enumerate(steps_before)), end]
     finally:
         rows.unpersist()
     return Fitted(net, defs, costs)
@@ -141,7 +160,8 @@ def fit_network(train: DataFrame, target: str, kind: str, cts: list[str], cat: l
         raise ValueError("validation needs a patience")
     is_cat, emb = kind == "cat", dict(emb or {})
     defs = start_from.defs if start_from else fit_features(
-        train, cts if is_cat else [*cts, target], [*cat, *emb, *([target] if is_cat else [])])
+        train.where(F.col(target).isNotNull()), cts if is_cat else [*cts, target],
+        [*cat, *emb, *([target] if is_cat else [])])
     table = design_table(train, defs, cts, cat, target, kind, list(emb))
     check = design_table(valid, defs, cts, cat, target, kind, list(emb)) if valid is not None else None
     output = (defs.n_levels[target], "softmax") if is_cat else (1, "linear")

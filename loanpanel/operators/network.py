@@ -152,6 +152,22 @@ class InputModel:
     inputs: list["InputModel"] = field(default_factory=list)
 
 
+def save_inputs(spark: SparkSession, inputs: list[InputModel], path: str) -> None:
+    """Input models below ``path``, each with its own input models."""
+    for k, m in enumerate(inputs):
+        m.net.save(spark, f"{path}/input-{k}/network")
+        m.defs.save(f"{path}/input-{k}/features")
+        save_inputs(spark, m.inputs, f"{path}/input-{k}")
+    named = json.dumps([m.outputs for m in inputs])
+    spark.createDataFrame([(named,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/inputs")
+
+
+def load_inputs(spark: SparkSession, path: str) -> list[InputModel]:
+    named = json.loads(spark.read.text(f"{path}/inputs").first()[0])
+    return [InputModel(Network.load(spark, f"{path}/input-{k}/network"), FeatureDefs.load(spark, f"{path}/input-{k}/features"),
+                       outputs, load_inputs(spark, f"{path}/input-{k}")) for k, outputs in enumerate(named)]
+
+
 def add_input_models(df: DataFrame, models: list[InputModel]) -> DataFrame:
     """Add every model's named outputs, as log odds, innermost models first."""
     out = df

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loanpanel.functions.expr import as_predicate, level_payment, monthly_rate, yes_no
 from loanpanel.operators.sampling import SEED, narrowed, strata_rates, stratified_sample
 from loanpanel.sources.profile import QA_ALL_FAIL, QA_FIELDS, SourceProfile
-from loanpanel.sources.tables import BROADCAST_ROWS, stage
+from loanpanel.sources.tables import BROADCAST_ROWS, checked_months, stage
 
 LAG_MONTHS = 12
 CURRENT_CAP = 36
@@ -36,7 +36,8 @@ def field_arrays(df: DataFrame) -> dict[str, Column]:
     Fields that nothing reads are dropped from these, and with them from the
     scan: an array of structs would be read whole once it is exploded.
     """
-    return {f"_h_{f}": F.col(f"monthly.{f}") for f in df.schema["monthly"].dataType.elementType.names}
+    fields = {f"_h_{f}": F.col(f"monthly.{f}") for f in df.schema["monthly"].dataType.elementType.names}
+    return fields | {"_h_month": checked_months(F.col("monthly.month"), F.col("loan_id"))}
 
 
 def _loan_level_helpers(profile: SourceProfile) -> dict[str, Column]:
@@ -188,7 +189,8 @@ def sample_as_of(loans: DataFrame, profile: SourceProfile, strata: list[str], n:
     * strata or ``where`` on a history feature: the features come first.
 
     ``history_months`` adds what pass 2 needs of the loan: its static columns,
-    and ``monthly`` from the as-of month on.  It is a slice of the array already
+    and ``monthly`` from the as-of month on, to that many months later, or to its end when
+    the history lacks that month: a window then ends with the history.  It is a slice of the array already
     in the row, so pass 2 does without its join.
     """
     keys = ["loan_id", "ao_dt"]
@@ -199,8 +201,9 @@ def sample_as_of(loans: DataFrame, profile: SourceProfile, strata: list[str], n:
     def finish(rows: DataFrame, extra: list[str] = ()) -> DataFrame:
         out = history_features(rows, profile)
         if history_months is not None:
-            out = out.withColumns({"_offset": F.col("_pos"),
-                                   "monthly": F.slice("monthly", F.col("_pos") + 1, history_months + 1)})
+            complete = F.array_contains("_h_month", F.add_months("ao_dt", history_months))
+            entries = F.when(complete, F.lit(history_months + 1)).otherwise(F.size("_h_month"))
+            out = out.withColumns({"_offset": F.col("_pos"), "monthly": F.slice("monthly", F.col("_pos") + 1, entries)})
         return _select(out, (*keep, *extra))
 
     rows = as_of_values(as_of_rows(loans, profile), profile)

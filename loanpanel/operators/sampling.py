@@ -13,6 +13,7 @@ from loanpanel.operators.running import row_positions
 from loanpanel.sources.tables import BROADCAST_ROWS, join_small, stage
 
 SEED = 10
+LEVEL_SEED = 11  # samples per level hash another text, so that a sample of a sample does not follow the first draw
 GROUP_ROWS = 1_000_000  # a boundary group above this is refined once more before it is ranked
 
 
@@ -181,8 +182,11 @@ def _split_at_boundary(rows: DataFrame, bins: DataFrame, group: list[str], takes
     return kept, wanted.where(F.col(name) == F.col("_cut")).drop("_cut"), left
 
 
-def sample_per_level(df: DataFrame, by: list[str], n: int, keys: list[str], seed: int = SEED) -> DataFrame:
-    """``n`` random rows of every level of ``by`` (all of a level's rows when it has fewer)."""
+def sample_per_level(df: DataFrame, by: list[str], n: int, keys: list[str], seed: int = LEVEL_SEED) -> DataFrame:
+    """``n`` random rows of every level of ``by`` (all of a level's rows when it has fewer).
+
+    Independent of the strata draws, whose low hashes say nothing about this one's.
+    """
     bins = hash_bins(df, by, keys, seed)
     takes = group_sizes(bins, by).select(*by, F.least(F.col("n"), F.lit(n)).cast("bigint").alias("_take"))
     return take_lowest_hash(df, by, takes, keys, seed, bins=bins)

@@ -19,7 +19,7 @@ from loanpanel.functions.expr import (
 )
 from loanpanel.operators.sampling import SEED, narrowed, stratified_sample
 from loanpanel.sources.profile import SourceProfile
-from loanpanel.sources.tables import BROADCAST_ROWS, stage
+from loanpanel.sources.tables import BROADCAST_ROWS, checked_months, stage
 
 MAX_FORECAST = 180
 COVID = (dt.date(2020, 4, 1), dt.date(2022, 4, 1))
@@ -76,7 +76,8 @@ def target_rows(joined: DataFrame, profile: SourceProfile, max_months: int = MAX
     """
     fields = sorted(set(profile.monthly.values()) - {"month"})
     arrays = [f"_h_{f}" for f in ("month", *fields)]
-    flat = joined.withColumns({a: F.col(f"monthly.{a[3:]}") for a in arrays}).drop("monthly", "_offset")
+    flat = joined.withColumns({a: F.col(f"monthly.{a[3:]}") for a in arrays[1:]} | {
+        "_h_month": checked_months(F.col("monthly.month"), F.col("loan_id"))}).drop("monthly", "_offset")
     start = F.greatest(F.array_position("_h_month", F.col("ao_dt")).cast("int"), F.lit(1))
     flat = flat.withColumn("_start", start)
     trimmed = flat.withColumns({a: F.slice(a, F.col("_start"), max_months + 1) for a in arrays})
@@ -184,7 +185,8 @@ def window_rows(joined: DataFrame, months: int, where: Column | str | None = Non
         "trg_dt": F.add_months("ao_dt", months),
         "trg_age": F.col("ao_age") + F.lit(months),
         "trg_rem_term": F.col("term") - F.col("ao_age") - F.lit(months),
-        **{f"_h_{f}": F.col(f"monthly.{f}") for f in ("month", "zb", "dq", "mod", "cur_rate")},
+        "_h_month": checked_months(F.col("monthly.month"), F.col("loan_id")),
+        **{f"_h_{f}": F.col(f"monthly.{f}") for f in ("zb", "dq", "mod", "cur_rate")},
     }).drop("monthly")
     rows = rows.withColumn("fcst_month", months_apart("ao_dt", "trg_dt"))
     rows = rows.where(F.col("fcst_month").between(0, MAX_FORECAST) & (F.col("trg_rem_term") > 0))

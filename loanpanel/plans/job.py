@@ -187,13 +187,14 @@ def run(spark: SparkSession, job: Job) -> Result:
     result = Result(fitted=job.fitted)
     if job.data:
         result.data = build_data(job.data)
-    own, made = input_columns(job.input_models)
+    inputs = job.input_models or (job.fitted.inputs if job.fitted else [])
+    own, made = input_columns(inputs)
     target = job.model.target if job.model else job.target
     kind = job.model.kind if job.model else job.kind
 
     def rows(source: Source, features: list[str], more: list[str] = ()) -> DataFrame:
         need = needed_columns([*features, *own], target, keep=[*job.keep, *more], produced=list(made))
-        return add_input_models(source_query(spark, source, need), job.input_models)
+        return add_input_models(source_query(spark, source, need), inputs)
 
     if job.model:
         m = job.model
@@ -205,6 +206,7 @@ def run(spark: SparkSession, job: Job) -> Result:
         else:
             result.fitted = fit_model(rows(m.train, features), m.target, m.kind, m.cts, m.cat, valid, m.hidden, m.l2,
                                       m.max_iter, m.patience, start_from=m.start_from)
+        result.fitted.inputs = inputs
         result.fitted.save(spark, f"{job.out_dir}/model")
     if (job.bias is not None or job.assess) and (result.fitted is None or target is None):
         raise ValueError("bias and assess need a model: set model, or fitted and target")
@@ -212,9 +214,10 @@ def run(spark: SparkSession, job: Job) -> Result:
         f = result.fitted
         if f.net.layers[-1][2] != "softmax":
             raise ValueError("bias correction needs a softmax output")
-        scored = _scored(rows(job.bias, f.net.features), f, target)
+        # Written: every Newton step reads it, and scoring is the dear part.
+        scored = stage(_scored(rows(job.bias, f.net.features), f, target).select("probs", "obs_class"), "bias")
         result.shift, _ = fit_bias(scored, f.net.n_out)
-        result.fitted = Fitted(f.net.with_bias(result.shift), f.defs, f.costs)
+        result.fitted = Fitted(f.net.with_bias(result.shift), f.defs, f.costs, inputs)
         result.fitted.save(spark, f"{job.out_dir}/model-bias")
     if job.assess:
         result.tables = _assess(job.assess, result.fitted, rows, target, kind, job.keep)

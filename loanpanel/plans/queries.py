@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanpanel.functions.expr import month_index
 from loanpanel.operators import assess, calibrate, econ, features, models, network, panel, running, sampling, targets
 from loanpanel.plans.job import AssessBlock, DataBlock, Job, ModelBlock, Stage, run
 from loanpanel.session import tune
 from loanpanel.sources import fixtures as fx
-from loanpanel.sources.tables import shared_dir, source_query, stage
+from loanpanel.sources.tables import nest_history, ordered_history, shared_dir, source_query, stage
 
 WHERE1 = "ao_age >= 0 AND ao_dq >= 0 AND ao_dq <= 24 AND ao_upb > 10000 AND mon.zb = '00'"
 WHERE2 = "AND trg_zb = '00' AND fcst_month > 0"
@@ -188,6 +190,46 @@ def censor_guard(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("target_dq120").alias("dq120"))
 
 
+@query
+def window_gaps(spark, sf):
+    """Windows of histories with months missing, with a loan join and from a sample that carries its history."""
+    gapped = loans(spark, sf).withColumn("monthly", F.filter(
+        "monthly", lambda m: F.pmod(month_index(m["month"]) + F.col("loan_id"), F.lit(9)) != 4))
+    panel_rows = panel.as_of_panel(gapped, fx.SOURCE, WHERE1)
+    direct = targets.target_window(panel_rows, gapped, fx.SOURCE, WINDOW, None, False, **ERA)
+    first = panel.sample_as_of(gapped, fx.SOURCE, ["state"], 1 << 40, WHERE1, history_months=WINDOW)
+    carried = targets.window_rows(stage(first, "gaps"), WINDOW, None, **ERA)
+    cols = ["loan_id", "ao_dt", "f_index", "l_index", "end_age", "trg_zb", "target_pp", "target_default", "target_dq120",
+            "target_mod"]
+    return direct.select(F.lit("loan join").alias("path"), *cols).unionByName(
+        carried.select(F.lit("sampled").alias("path"), *cols))
+
+
+def disordered(spark, sf):
+    """Histories last month first, every seventh month once more with a smaller balance."""
+    again = F.filter("monthly", lambda m: month_index(m["month"]) % 7 == 0)
+    names = loans(spark, sf).schema["monthly"].dataType.elementType.names
+    less = F.transform(again, lambda m: F.struct(*[(m[f] - 1 if f == "upb" else m[f]).alias(f) for f in names]))
+    return loans(spark, sf).withColumn("monthly", F.concat(less, F.reverse("monthly")))
+
+
+@query
+def history_disorder(spark, sf):
+    """History features of a table whose histories are out of order and hold repeats."""
+    clean = ordered_history(disordered(spark, sf), "largest")
+    return panel.as_of_panel(clean, fx.SOURCE).select(
+        "loan_id", "ao_dt", "lag12", "ao_max_dq12", "ao_times30", "ao_times60", "ao_times90p", "ao_months_cur",
+        "ao_prior30", "ao_prior60", "ao_prior90p")
+
+
+@query
+def nest_repeats(spark, sf):
+    """A tape with repeated rows, nested by a stated rule."""
+    tape = disordered(spark, sf).select("loan_id", F.inline("monthly"))
+    nested = nest_history(tape, on_repeat="largest").select("loan_id", F.posexplode("monthly").alias("pos", "m"))
+    return rounded(nested.select("loan_id", "pos", "m.month", "m.age_fp_dt", "m.upb", "m.dq", "m.mod", "m.zb"), {"upb": 2})
+
+
 # ---- sampling ----
 
 @query
@@ -211,6 +253,13 @@ def stratified_sample(spark, sf):
     return sampled(spark, sf, False)
 
 
+@query
+def sample_after_sample(spark, sf):
+    """Rows per level out of a stratified sample: the second draw does not follow the first."""
+    first = sampling.stratified_sample(as_of(spark, sf).select(*KEYS1, "state", "ao_dq_cap6"), ["state", "ao_dq_cap6"], N2, KEYS1)
+    return sampling.sample_per_level(first, ["state"], 100, KEYS1)
+
+
 @query
 def stratified_sample_exact(spark, sf):
     return sampled(spark, sf, True)
@@ -321,7 +370,7 @@ def training_table(spark, sf):
     """The whole three-pass build, as one job."""
     block = DataBlock(
         loans(spark, sf), fx.SOURCE, fx.staged(spark, sf, "econ"), Stage(["state", "ao_dq_cap6"], N1, WHERE1),
-        Stage(["fcst_month"], N2, WHERE2), f"{shared_dir(spark)}/loanpanel/training-{dt.datetime.now():%H%M%S%f}",
+        Stage(["fcst_month"], N2, WHERE2), f"{shared_dir(spark)}/loanpanel/training-{uuid.uuid4().hex}",
         base_month=BASE_MONTH, sort_key="loan_id", **ERA)
     out = run(spark, Job("build", shared_dir(spark), data=block)).data
     return rounded(out.select(*KEYS2, "fcst_month", "trg_upb_exp", "trg_hpi", "y20_hpi", "trg_lbr_growth", "org_spread"),
@@ -437,9 +486,25 @@ def nested_input_models(spark, sf):
     return rounded(network.add_input_models(base, [outer]).select("loan_id", "lo2"), {"lo2": 7})
 
 
+@query
+def saved_input_models(spark, sf):
+    """The same nested models after the outer one was saved and read again with all that feed it."""
+    defs = features.fit_features(model_loans(spark, sf), FIXED_NET.cts, FIXED_NET.cat)
+    inner = network.InputModel(FIXED_NET, defs, {"lo": [0]})
+    outer_net = network.Network(["lo"], [], [([[2.0, 0.0]], [1.0, 0.0], "softmax")])
+    outer_defs = features.FeatureDefs({"lo": (0.0, 1.0)}, defs.levels)
+    path = f"{shared_dir(spark)}/loanpanel/model-{uuid.uuid4().hex}"
+    models.Fitted(outer_net, outer_defs, [(0, 1.0, None)], [inner]).save(spark, path)
+    outer = models.Fitted.load(spark, path)
+    fed = network.add_input_models(loans(spark, sf), outer.inputs)
+    scored = network.score_network(fed, outer.net, outer.defs, "_out")
+    odds = F.log(F.col("_out")[0] / F.col("_out")[1])
+    return rounded(scored.select("loan_id", odds.alias("lo2")), {"lo2": 7})
+
+
 @query
 def export_scored(spark, sf):
-    path = f"{shared_dir(spark)}/loanpanel/export-{dt.datetime.now():%H%M%S%f}"
+    path = f"{shared_dir(spark)}/loanpanel/export-{uuid.uuid4().hex}"
     network.export_scored(scored(spark, sf).drop("month"), {"first": [0], "rest": [1, 2]}, path)
     return rounded(spark.read.parquet(path).select("id", "level", "first", "rest"), {"first": 9, "rest": 9})
 
@@ -611,7 +676,7 @@ def model_network_regression(spark, sf):
 @query
 def job_hazard(spark, sf):
     """Two-stage build, softmax fit on the delinquency class, assessment by slice."""
-    base = f"{shared_dir(spark)}/loanpanel/hazard-{dt.datetime.now():%H%M%S%f}"
+    base = f"{shared_dir(spark)}/loanpanel/hazard-{uuid.uuid4().hex}"
     block = DataBlock(
         loans(spark, sf), fx.SOURCE, fx.staged(spark, sf, "econ"), Stage(["state", "ao_dq_cap6"], N1, WHERE1),
         Stage(["fcst_month"], N2, WHERE2), f"{base}/table", base_month=BASE_MONTH, sort_key="loan_id", **ERA)
@@ -630,7 +695,7 @@ def job_hazard(spark, sf):
 @query
 def job_window(spark, sf):
     """Score of any prepayment within 24 months."""
-    base = f"{shared_dir(spark)}/loanpanel/window-{dt.datetime.now():%H%M%S%f}"
+    base = f"{shared_dir(spark)}/loanpanel/window-{uuid.uuid4().hex}"
     block = DataBlock(
         loans(spark, sf), fx.SOURCE, fx.staged(spark, sf, "econ"), Stage(["state", "ao_dq_cap6"], N1, WHERE1),
         Stage(["trg_dt"], N2, "trg_zb IN ('00', '01', '03', '09')"), f"{base}/table", base_month=BASE_MONTH,
@@ -648,7 +713,7 @@ def job_window(spark, sf):
 @query
 def job_regression(spark, sf):
     """Net proceeds over property value at exit: as-of date and target date are the same month."""
-    base = f"{shared_dir(spark)}/loanpanel/proceeds-{dt.datetime.now():%H%M%S%f}"
+    base = f"{shared_dir(spark)}/loanpanel/proceeds-{uuid.uuid4().hex}"
     block = DataBlock(
         loans(spark, sf), fx.SOURCE, fx.staged(spark, sf, "econ"), Stage(["state"], N1, "mon.zb IN ('03', '09')"),
         Stage(["ao_zb"], N2, "fcst_month = 0"), f"{base}/table", base_month=BASE_MONTH, **ERA)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000  # a joined side is broadcast only when it is counted and found below this
 SALTS = 32
+_own_dirs: dict[str, str] = {}  # folder of each local session that names none
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,9 +25,9 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="loanpanel-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if spark.sparkContext.applicationId not in _own_dirs:
+        _own_dirs[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="loanpanel-")
+    return _own_dirs[spark.sparkContext.applicationId]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -55,36 +56,88 @@ def read_econ(spark: SparkSession, path: str, fmt: str = "parquet", **options) -
     return read_loans(spark, path, fmt, **options)
 
 
-def nest_history(tape: DataFrame, key: str = "loan_id", order: str = "month", unique: bool = False) -> DataFrame:
+def nest_history(tape: DataFrame, key: str = "loan_id", order: str = "month", unique: bool = False,
+                 on_repeat: str = "error") -> DataFrame:
     """Flat monthly tape to one row per loan with ``monthly`` sorted by month.
 
-    A loan has one row per month.  Repeated rows of a (loan, month) are first
-    reduced to the largest one, with a map-side partial maximum, so a loan that
+    A loan has one row per month.  ``on_repeat`` says what happens to several rows of a
+    (loan, month): ``"error"`` stops the job and names the loan, ``"largest"`` keeps the row that is largest
+    column by column.  Either way they are first reduced with a map-side partial result, so a loan that
     fills a third of the tape with repeats reaches the final task as at most one
     row per calendar month.  ``unique=True`` skips that step, and its shuffle,
     for tapes known to be unique.
     """
+    _known_rule(on_repeat)
     rest = [c for c in tape.columns if c not in (key, order)]
     flat = tape
     if not unique:
-        flat = tape.groupBy(key, order).agg(F.max(F.struct(*rest)).alias("_v")).select(key, order, "_v.*")
+        flat = tape.groupBy(key, order).agg(F.max(F.struct(*rest)).alias("_v"), F.count(F.lit(1)).alias("_n"))
+        if on_repeat == "error":
+            flat = flat.withColumn(order, F.when(F.col("_n") > 1, _repeated(F.col(key))).otherwise(F.col(order)))
+        flat = flat.select(key, order, "_v.*")
     history = F.array_sort(F.collect_list(F.struct(order, *rest)))
     return flat.groupBy(key).agg(history.alias("monthly"))
 
 
+def _known_rule(on_repeat: str) -> None:
+    if on_repeat not in ("error", "largest"):
+        raise ValueError("on_repeat is 'error' or 'largest'")
+
+
+def _repeated(loan: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("a month is repeated in the history of loan "), F.coalesce(
+        loan.cast("string"), F.lit("NULL"))))
+
+
+def ordered_history(loans: DataFrame, on_repeat: str = "error") -> DataFrame:
+    """Loans with ``monthly`` sorted by month and one entry per month.
+
+    For tables whose order is not known.  ``on_repeat`` as in ``nest_history``; ``"largest"`` keeps the
+    entry that is largest field by field.
+    """
+    _known_rule(on_repeat)
+    names = [f for f in loans.schema["monthly"].dataType.elementType.names if f != "month"]
+    by_month = F.array_sort(F.transform("monthly", lambda m: F.struct(
+        m["month"].alias("month"), F.struct(*[m[f].alias(f) for f in names]).alias("rest"))))
+
+    def single(entries: Column) -> Column:
+        # The last of the entries of a month is its largest one.
+        last = F.filter(entries, lambda m, i: F.coalesce(
+            F.get(entries, i + 1)["month"] != m["month"], F.lit(True)))
+        if on_repeat == "error":
+            last = F.when(F.size(last) < F.size(entries), _repeated(F.col("loan_id"))).otherwise(last)
+        return last
+
+    kept = F.transform(F.array(by_month), single)[0]
+    fields = loans.schema["monthly"].dataType.elementType.names
+    back = F.transform(kept, lambda m: F.struct(
+        *[(m["month"] if f == "month" else m["rest"][f]).alias(f) for f in fields]))
+    return loans.withColumn("monthly", back)
+
+
+def checked_months(months: Column, loan: Column) -> Column:
+    """The months of a history; the job stops at one that is out of order or has a month twice.
+
+    Expressions that look a few entries ahead or back rely on that order.  Reads the months alone.
+    """
+    wrong = F.raise_error(F.concat(F.lit("sort the history with ordered_history first: loan "), F.coalesce(
+        loan.cast("string"), F.lit("NULL")))).cast("array<date>")
+    return F.when(months.isNull() | (F.array_sort(F.array_distinct(months)) == months), months).otherwise(wrong)
+
+
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-               limit: int = BROADCAST_ROWS) -> DataFrame:
+               limit: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """Join a small keyed table to a big one, whatever the key skew.
 
-    ``small`` holds one row per key and is cheap to count (a staged table).
-    Below ``limit`` rows it is broadcast.  Above, both sides are shuffled on
+    ``small`` holds one row per key and is cheap to count (a staged table); ``rows`` saves the count
+    where it is known.  Below ``limit`` rows it is broadcast.  Above, both sides are shuffled on
     the keys plus a salt, so that one key with a third of ``big`` still spreads
     over ``SALTS`` tasks.  NULL keys match each other.
     """
     add = [c for c in small.columns if c not in on]
     right = small.select(*[F.col(c).alias(f"_k_{c}") for c in on], *add)
     keys = [big[c].eqNullSafe(right[f"_k_{c}"]) for c in on]
-    if small.count() <= limit:
+    if (small.count() if rows is None else rows) <= limit:
         out = big.join(F.broadcast(right), keys, how)
     else:
         # The salt comes from the row's own values, so a retried task draws the same one.

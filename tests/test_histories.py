@@ -193,7 +193,7 @@ def test_economic_edges(spark):
 def test_repeated_months_nest_once(spark):
     rows = history([0] * 3)
     tape = spark.createDataFrame([(0, *r) for r in rows * 3], "loan_id bigint, " + MONTH)
-    assert nest_history(tape).select(F.size("monthly")).first()[0] == 3
+    assert nest_history(tape, on_repeat="largest").select(F.size("monthly")).first()[0] == 3
 
 
 def test_a_profile_is_data():
