@@ -91,10 +91,11 @@ def gradient(batch: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
         return lambda columns: sums(*columns)
 
     summed = map_texts(batch.select("label", "found"), "at long, g long", begin).groupBy("at").agg(F.sum("g").alias("g"))
-    rows = summed.toPandas()
+    rows = summed.toArrow()
     shared.destroy()
-    order = np.argsort(rows["at"].to_numpy())
-    return rows["at"].to_numpy()[order], rows["g"].to_numpy()[order] / POINT
+    at, g = rows["at"].to_numpy(), rows["g"].to_numpy()
+    order = np.argsort(at)
+    return at[order], g[order] / POINT
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_ROWS) -> np.ndarray:
