@@ -123,11 +123,11 @@ pairs as (
   from raw_pairs)"""
 
 WINDOWED = f"""
-pos as (
+pos as materialized (
   select *, cast(row_number() over (partition by loan_id order by month) as int) as i,
     cast(count(*) over (partition by loan_id) as int) as size
   from fx_month),
-ends as (
+ends as materialized (
   select p.*, a.i as f_index, coalesce(e.i, a.size) as l_index, cast(p.ao_dt + interval {WINDOW} month as date) as trg_dt,
     {WINDOW} as window_, p.ao_age + {WINDOW} as trg_age, p.term - p.ao_age - {WINDOW} as trg_rem_term
   from panel p join pos a on a.loan_id = p.loan_id and a.month = p.ao_dt

@@ -174,8 +174,10 @@ def write_sorted(df: DataFrame, path: str, key: str | None = None, partitions: i
     """
     if key:
         parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # Every column after the key takes part in the range, so rows of one hot key can be split.
+        # A hash of the other columns takes part in the range, so rows of one hot key can be split.
+        df = stage(df, "unsorted")  # the range bounds are sampled from it first: without this its plan runs twice
         others = [f.name for f in df.schema.fields
                   if f.name != key and f.dataType.typeName() not in ("map", "variant")]
-        df = df.repartitionByRange(parts, key, *others).sortWithinPartitions(key)
+        tie = [F.xxhash64(*others)] if others else []
+        df = df.repartitionByRange(parts, key, *tie).sortWithinPartitions(key)
     df.write.mode("overwrite").parquet(path)
