@@ -61,17 +61,20 @@ class Fitted:
 
 def design_table(df: DataFrame, defs: FeatureDefs, cts: list[str], cat: list[str], target: str, kind: str,
                  emb: list[str] = ()) -> DataFrame:
-    """Staged (x array<double>, y double): the only columns a fit scans.
+    """Staged (x array<double>, y double, key long): the only columns a fit scans.
+
+    ``key`` is a hash of the values before they are normalized, the same in every run.
 
     Rows without a target are left out.  A class that the definitions do not know is an error: it has no
     output to be compared with.
     """
     is_cat, df = kind == "cat", df.where(F.col(target).isNotNull())
+    df = df.withColumn("_key", F.xxhash64(*cts, *cat, *emb, target))
     ready = apply_features(df, defs, cts if is_cat else [*cts, target], [*cat, *emb, *([target] if is_cat else [])],
                            target if is_cat else None)
     ready = design(ready, defs, cts, cat, emb, "x")
     label = F.col(f"i_{target}") if is_cat else F.col(f"z_{target}")
-    out = stage(ready.select("x", label.cast("double").alias("y")), "design")
+    out = stage(ready.select("x", label.cast("double").alias("y"), F.col("_key").alias("key")), "design")
     if is_cat and (unknown := out.where("y is null").count()):
         raise ValueError(f"{unknown} rows have a {target} that is not among the {defs.n_levels[target]} known classes")
     return out
@@ -147,13 +150,13 @@ def fit_model(train: DataFrame, target: str, kind: str, cts: list[str], cat: lis
 
 
 def fit_network(train: DataFrame, target: str, kind: str, cts: list[str], cat: list[str], layers: list[tuple[int, str]],
-                emb: dict[str, int] | None = None, valid: DataFrame | None = None, epochs: int = 20, batch: int = 500,
+                emb: dict[str, int] | None = None, valid: DataFrame | None = None, epochs: int = 20, batch: int | None = None,
                 rates: tuple[float, float] = (0.01, 0.001), l2: float = 0.0, patience: int | None = None,
                 start_from: Fitted | None = None, seed: int = 10) -> Fitted:
     """Network of (size, activation) hidden ``layers`` with embedded features ``{name: dimension}``.
 
     The output layer is added: softmax over the target's levels for "cat", one
-    linear value for "cts".  Costs are cross-entropy, or root mean square error
+    linear value for "cts".  A step takes ``batch`` rows, by default a tenth of all.  Costs are cross-entropy, or root mean square error
     of the normalized target.
     """
     if valid is not None and not patience:

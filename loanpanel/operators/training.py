@@ -1,9 +1,8 @@
 """Fitting networks with rectified layers, embeddings, weight decay or a linear output.
 
-One epoch is one Spark job.  Every task starts from the same weights, takes
-mini-batch steps over its own rows and returns its weights times its row count;
-Spark sums them by position and the quotient starts the next epoch.  The driver
-holds one weight vector, whatever the number of rows or tasks.
+Rows are dealt to batches by a hash of their source values.  One step is one Spark job over one batch: tasks sum
+the gradient of their rows, Spark adds the sums by weight, and the driver moves the one weight
+vector it holds.  The steps, and so the fit, are the same for any number of partitions or tasks.
 """
 
 from __future__ import annotations
@@ -18,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanpanel.operators.network import LEAK, Network, _activate
+from loanpanel.sources.tables import stage
 
 # Executors get these functions themselves: they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS, LOSS = -1, -2  # positions of the row count and the summed loss beside the weights
+PIECE = 100_000  # rows of a batch that one task writes
 
 
 def start_network(cts: list[str], cat: list[str], emb: dict[str, int], levels: dict[str, int],
@@ -76,10 +77,12 @@ def _slope(out: np.ndarray, act: str) -> np.ndarray:
     return np.ones_like(out)
 
 
-def batch_gradient(flat, shapes, acts, x, y, is_cat) -> tuple[float, np.ndarray]:
-    """Summed loss of a batch and the gradient of its mean."""
+def batch_gradient(flat, shapes, acts, x, y, is_cat, copies=None) -> tuple[float, np.ndarray]:
+    """Summed loss of the rows, each counted ``copies`` times, and the gradient of their mean loss."""
     layers, tables = _unpack(flat, shapes, acts)
     k, n = len(tables), len(x)
+    copies = np.ones(n) if copies is None else copies
+    share = copies / copies.sum()
     index = x[:, x.shape[1] - k:].astype(int)
     h = np.hstack([x[:, :x.shape[1] - k], *[t[index[:, j]] for j, t in enumerate(tables)]])
     outs = [h]
@@ -87,14 +90,14 @@ def batch_gradient(flat, shapes, acts, x, y, is_cat) -> tuple[float, np.ndarray]
         outs.append(_activate(outs[-1] @ w + b, act))
     if is_cat:
         picked = outs[-1][np.arange(n), y.astype(int)]
-        loss = float(-np.log(np.maximum(picked, 1e-300)).sum())
+        loss = float(copies @ -np.log(np.maximum(picked, 1e-300)))
         delta = outs[-1].copy()
         delta[np.arange(n), y.astype(int)] -= 1.0
-        delta /= n
+        delta *= share[:, None]
     else:
         miss = outs[-1][:, 0] - y
-        loss = float((miss * miss).sum())
-        delta = (2.0 / n * miss)[:, None]
+        loss = float(copies @ (miss * miss))
+        delta = (2.0 * share * miss)[:, None]
     grad = np.zeros_like(flat)
     g_layers, g_tables = _unpack(grad, shapes, acts)
     for i in range(len(layers) - 1, -1, -1):
@@ -110,44 +113,75 @@ def batch_gradient(flat, shapes, acts, x, y, is_cat) -> tuple[float, np.ndarray]
     return loss, grad
 
 
-def _epoch(start, shapes, acts, is_cat, batch, rate, l2):
-    """Task body: mini-batch steps with running first and second moments."""
-    def steps(batches):
-        flat, m, v, t, rows, loss = start.copy(), np.zeros_like(start), np.zeros_like(start), 0, 0, 0.0
+def in_batches(table: DataFrame, batch: int | None) -> tuple[DataFrame, int]:
+    """``x, y, copies, batch`` in a folder per batch, and the number of batches, each of about ``batch`` rows (a tenth of all).
+
+    The batch follows from ``key``, as ``x`` may differ in its last bits from run to run.
+    Equal rows are counted once and their copies are dealt evenly over the batches, so rows that repeat
+    cannot fill one.
+    """
+    alike = stage(table.groupBy("x", "y", "key").agg(F.count(F.lit(1)).alias("n")), "alike")
+    total = alike.agg(F.sum("n")).first()[0] or 0
+    n_batches = max(1, math.ceil(total / batch)) if batch else 10
+    own = F.pmod(F.col("key"), F.lit(n_batches))
+    turn = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("n"), F.lit(n_batches)) - 1)).alias("turn")
+    dealt = alike.select("x", "y", "key", "n", turn).select(
+        "x", "y", "key", (F.floor(F.col("n") / n_batches) + (F.col("turn") < F.col("n") % n_batches).cast("long")).alias("copies"),
+        F.pmod(own + F.col("turn"), F.lit(n_batches)).cast("int").alias("batch"))
+    pieces = math.ceil(total / n_batches / PIECE) or 1
+    dealt = dealt.repartition("batch", F.pmod(F.xxhash64("key", F.lit("piece")), F.lit(pieces)))
+    return stage(dealt.drop("key"), "batches", by="batch"), n_batches
+
+
+def _sums(flat, shapes, acts, is_cat):
+    """Task body: gradient, loss and number of the task's rows, summed."""
+    def add(batches):
+        grad, rows, loss = np.zeros_like(flat), 0.0, 0.0
         for part in batches:
+            if not part.num_rows:
+                continue
             x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-            y = part.column(1).to_numpy(zero_copy_only=False)
-            for lo in range(0, len(y), batch):
-                err, g = batch_gradient(flat, shapes, acts, x[lo:lo + batch], y[lo:lo + batch], is_cat)
-                g += 2.0 * l2 * flat
-                t, loss = t + 1, loss + err
-                m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-                flat -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-            rows += len(y)
+            y, copies = (part.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+            err, g = batch_gradient(flat, shapes, acts, x, y, is_cat, copies.astype(float))
+            grad, rows, loss = grad + g * copies.sum(), rows + copies.sum(), loss + err
         if rows:
             at = np.concatenate([np.arange(len(flat)), [ROWS, LOSS]]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(np.concatenate([flat * rows, [rows, loss]]))], names=["at", "value"])
-    return steps
+                [pa.array(at), pa.array(np.concatenate([grad, [rows, loss]]))], names=["at", "value"])
+    return add
 
 
-def train(table: DataFrame, net: Network, kind: str, epochs: int, batch: int, rates: tuple[float, float], l2: float,
+def train(table: DataFrame, net: Network, kind: str, epochs: int, batch: int | None, rates: tuple[float, float], l2: float,
           check_cost, patience: int | None) -> tuple[Network, list[tuple[int, float, float | None]]]:
-    """Best network and the cost of every epoch on (x, y) rows.
+    """Best network and the cost of every epoch on (x, y, key) rows.
 
+    A step moves the weights by the gradient of one batch, scaled by running first and second moments.  An epoch is as
+    many Spark jobs as there are batches.
     The learning rate runs from the first to the second of ``rates``.  With
     ``check_cost`` the best epoch is the one of lowest validation cost, and the
     fit ends ``patience`` epochs after it.
     """
     shapes, acts = _form(net)
+    dealt, n_batches = in_batches(table, batch)
     flat, best, best_cost, best_at, costs = pack(net), net, math.inf, 0, []
+    m, v, t = np.zeros_like(flat), np.zeros_like(flat), 0
     for e in range(1, epochs + 1):
         rate = rates[0] + (rates[1] - rates[0]) * (e - 1) / max(epochs - 1, 1)
-        body = _epoch(flat, shapes, acts, kind == "cat", batch, rate, l2)
-        sums = table.select("x", "y").mapInArrow(body, "at int, value double").groupBy("at").agg(
-            F.sum("value").alias("value")).toPandas().set_index("at")["value"]  # one row per weight
-        flat = sums.loc[range(len(flat))].to_numpy() / sums[ROWS]
-        loss = sums[LOSS] / sums[ROWS]
+        rows = loss = 0.0
+        for b in range(n_batches):
+            body = _sums(flat, shapes, acts, kind == "cat")
+            sums = dealt.where(F.col("batch") == b).select("x", "y", "copies").mapInArrow(
+                body, "at int, value double").groupBy("at").agg(
+                F.sum("value").alias("value")).toPandas().set_index("at")["value"]  # one row per weight
+            if sums.empty:
+                continue
+            g = sums.loc[range(len(flat))].to_numpy() / sums[ROWS] + 2.0 * l2 * flat
+            t, rows, loss = t + 1, rows + sums[ROWS], loss + sums[LOSS]
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            flat = flat - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        if not rows:
+            raise ValueError("no rows to fit on")
+        loss /= rows
         now = unpack(flat, net)
         held = check_cost(now) if check_cost else None
         costs.append((e, float(loss if kind == "cat" else math.sqrt(loss)), held))

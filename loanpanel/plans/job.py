@@ -88,7 +88,7 @@ class ModelBlock:
     emb: dict[str, int] = field(default_factory=dict)  # embedded feature: dimension; fitted by epochs
     l2: float = 0.0
     max_iter: int = 100  # iterations, or epochs
-    batch_size: int = 5000
+    batch_size: int | None = None  # rows of a step, which is one Spark job; a tenth of all by default
     learning_rate: tuple[float, float] = (0.01, 0.001)
     patience: int | None = None
     start_from: Fitted | None = None

@@ -662,15 +662,14 @@ def model_network(spark, sf):
     base = loans(spark, sf).withColumn("y", F.when((F.col("fico") > 650) & (F.col("ltv") > 75), "hi").otherwise("lo"))
     train, valid, _ = features.bucket_split(base)
     return models.fit_network(train, "y", "cat", ["fico", "ltv"], ["purpose"], [(8, "relu"), (4, "relu")],
-                              {"state": 2}, valid, 10, 100, l2=1e-6, patience=3).cost_table(spark)
+                              {"state": 2}, valid, 10, l2=1e-6, patience=3).cost_table(spark)
 
 
 @query
 def model_network_regression(spark, sf):
     base = loans(spark, sf).withColumn("y", F.abs(F.col("fico") - 700) + F.col("ltv"))
     train, valid, _ = features.bucket_split(base)
-    return models.fit_network(train, "y", "cts", ["fico", "ltv"], [], [(8, "relu")], None, valid, 10, 50,
-                              patience=3).cost_table(spark)
+    return models.fit_network(train, "y", "cts", ["fico", "ltv"], [], [(8, "relu")], None, valid, 10, patience=3).cost_table(spark)
 
 
 @query

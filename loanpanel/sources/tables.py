@@ -30,15 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[spark.sparkContext.applicationId]
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, in a folder per value of ``by`` if given, and read it back.
 
     Cuts the lineage, fixes the rows for every later scan, survives the loss of
     executors and gives Catalyst real sizes for its join choices.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loanpanel/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*([by] if by else [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -172,16 +172,17 @@ def test_network_regression_learns_a_bend_and_continues(spark):
     rows = spark.range(3000).withColumn("x", (F.col("id") % 100 - 50) / 25.0).withColumn("y", F.abs("x"))
     rows = rows.repartition(4, "id")
     line = models.fit_model(rows, "y", "cts", ["x"], [])
-    bend = models.fit_network(rows, "y", "cts", ["x"], [], [(8, "relu")], valid=rows, epochs=15, batch=20, patience=5)
+    bend = models.fit_network(rows, "y", "cts", ["x"], [], [(8, "relu")], valid=rows, epochs=60, batch=1000,
+                              rates=(0.05, 0.01), patience=5)
     assert line.costs[0][1] > 0.9 and min(c[2] for c in bend.costs) < 0.3
-    more = models.fit_network(rows, "y", "cts", ["x"], [], [], epochs=2, batch=20, rates=(1e-3, 1e-4), start_from=bend)
+    more = models.fit_network(rows, "y", "cts", ["x"], [], [], epochs=2, batch=1000, rates=(1e-3, 1e-4), start_from=bend)
     assert more.costs[-1][1] < 0.3
 
 
 def test_network_learns_through_an_embedding(spark):
     rows = spark.range(2000).withColumn("g", F.concat(F.lit("k"), F.col("id") % 10))
     rows = rows.withColumn("y", F.when(F.col("id") % 10 < 3, "a").otherwise("b")).repartition(4, "id")
-    fit = models.fit_network(rows, "y", "cat", [], [], [(4, "relu")], {"g": 2}, epochs=12, batch=20, l2=1e-6)
+    fit = models.fit_network(rows, "y", "cat", [], [], [(4, "relu")], {"g": 2}, epochs=60, batch=1000, rates=(0.05, 0.01), l2=1e-6)
     assert fit.costs[-1][1] < 0.1 and fit.net.emb == ["g"] and len(fit.net.tables[0]) == 10
     scored = network.score_network(rows, fit.net, fit.defs)
     assert scored.where((F.col("probs")[0] > 0.5) != (F.col("y") == "a")).isEmpty()
@@ -206,3 +207,23 @@ def test_unknown_classes_are_refused_and_missing_targets_left_out(spark):
     other = spark.createDataFrame([(1.0, "c")], "x double, y string")
     with pytest.raises(ValueError, match="1 rows have a y"):
         models.fit_model(train, "y", "cat", ["x"], [], other)
+
+
+def test_network_fit_does_not_depend_on_partitions(spark):
+    rows = spark.range(600).selectExpr("id", "(id % 97) / 10.0 AS x", "id % 3 AS g", "IF(id % 97 > 40, 'a', 'b') AS y")
+    rows = rows.unionByName(rows.where("id < 5").crossJoin(spark.range(60).select()))  # rows that repeat
+    fits = [models.fit_network(rows.repartition(n, "id"), "y", "cat", ["x"], [], [(4, "relu")], {"g": 2}, epochs=3,
+                               batch=300, rates=(0.05, 0.05)) for n in (1, 4, 16)]
+    for other in fits[1:]:
+        assert np.allclose(training.pack(other.net), training.pack(fits[0].net), atol=1e-9)
+        assert np.allclose([c[1] for c in other.costs], [c[1] for c in fits[0].costs], atol=1e-9)
+
+
+def test_batches_hold_all_copies_evenly(spark):
+    table = spark.range(1000).selectExpr("array(double(IF(id < 400, 0, id))) AS x", "0.0D AS y",
+                                         "xxhash64(IF(id < 400, 0, id)) AS key")
+    dealt, n = training.in_batches(table, 100)
+    sizes = {r["batch"]: r["n"] for r in dealt.groupBy("batch").agg(F.sum("copies").alias("n")).collect()}
+    assert n == 10 and sum(sizes.values()) == 1000 and set(sizes) == set(range(10))
+    hot = dealt.where("x[0] = 0").select("batch", "copies").collect()
+    assert {(r["batch"], r["copies"]) for r in hot} == {(b, 40) for b in range(10)}
