@@ -218,7 +218,7 @@ def rates(rows: str, cols: str, n: int, name: str = "rates") -> str:
   select n, ({n} - coalesce(sum(n) over (order by n rows between unbounded preceding and 1 preceding), 0))
     / cast(count(*) over () - row_number() over (order by n) + 1 as double) as cap from {name}_n),
 {name} as (
-  select *, coalesce(least(1e0, (select cap from {name}_run where cap <= n order by n limit 1) / n), 1e0) as rate
+  select *, coalesce(least(1e0, (select cap from {name}_run where cap <= n order by n, cap desc limit 1) / n), 1e0) as rate
   from {name}_n)"""
 
 
@@ -370,6 +370,15 @@ def oracle() -> dict[str, str]:
                                    PANEL, draw("panel", strata, keys1, N2, "drawn", "rates"))
     out["history_strata_sample"] = sql("select loan_id, ao_dt, ao_max_dq12, purpose from drawn", PANEL,
                                        draw("panel", ["ao_max_dq12", "purpose"], keys1, N2, "drawn", "rates"))
+    four = ["state", "ao_dt", "ao_age", "ao_dq_cap6"]
+    out["four_strata_sample"] = sql("select loan_id, ao_dt, state, ao_age, ao_dq_cap6 from drawn",
+                                    PANEL, draw("panel", four, keys1, N2, "drawn", "rates"))
+    out["sample_tables"] = sql("""select state, ao_dq_cap6, r.n, round(rate, 9) as rate, coalesce(d.n, 0) as drawn
+      from rates r left join (select state, ao_dq_cap6, count(*) as n from drawn group by all) d using (state, ao_dq_cap6)""",
+                               PANEL, draw("panel", strata, keys1, N1, "drawn", "rates"))
+    out["read_tables"] = sql("""select 'loans' as source, zip3, count(distinct loan_id) as n, count(*) as entries
+      from fx_loan join fx_month using (loan_id) group by zip3
+      union all select 'econ', zip3, count(*), count(distinct month) from fx_econ group by zip3""")
     out["stratified_sample_exact"] = sql(f"""select loan_id, ao_dt, state, ao_dq_cap6, ao_max_dq12, ao_months_cur, servicer
       from (select p.*, r.take,
         row_number() over (partition by p.state, p.ao_dq_cap6 order by {h28('loan_id', 'ao_dt')}, loan_id, ao_dt) as rn
@@ -404,6 +413,10 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
       a.fc_type as ao_fc_type from panel p join e a on a.zip3 = p.zip3 and a.month = p.ao_dt
       join e o on o.zip3 = p.zip3 and o.month = p.fp_dt join e y on y.zip3 = p.zip3 and y.month = date '1998-01-01'""",
                                  PANEL, ECON)
+    out["zip_lookup"] = sql("""select p.loan_id, p.ao_dt, round(a.unemp_rate, 6) as ao_unemp_rate,
+      round(o.unemp_rate, 6) as org_unemp_rate, round(a.lbr_force, 2) as ao_lbr_force, o.fc_type as org_fc_type
+      from panel p join fx_econ a on a.zip = p.loan_id and a.month = p.ao_dt
+      join fx_econ o on o.zip = p.loan_id and o.month = p.fp_dt""", PANEL)
     out["econ_losses"] = sql(f"""select u.lookup, u.lost, n as n_rows from (
       select count(*) as n, count(*) filter (where b.month is null) as l1, count(*) filter (where c.month is null) as l2,
         count(*) filter (where d.month is null) as l3, count(*) filter (where y.month is null) as l4,
@@ -539,6 +552,11 @@ grp as (select s.*, 7 - ({group_no('s.fit', 'mq')}) as grp from smp s join mq us
 span as (select slice, grp, quantile_cont(fico, 0.1) as lo, quantile_cont(fico, 0.9) as hi from grp group by 1, 2),
 grid as (select distinct slice, grp, lo + (hi - lo) * (i / 9e0) as at_ from span, range(10) r(i)),
 moved as (select g.*, at_, (at_ - mf) / sf as z1 from grp g join grid using (slice, grp), st)""")
+    out["linear_fit"] = sql("""select count(*) as n, round(regr_slope(rate, fico), 7) as slope,
+      round(regr_intercept(rate, fico), 5) as intercept, round(100 * regr_r2(rate, fico), 4) as r2
+      from fx_loan where bucket < 10""")
+    out["softmax_rates"] = sql("""select purpose, count(*) as n, round(avg(cast(fico + ltv > 780 as int)), 3) as p_hi,
+      round(avg(cast(fico + ltv <= 780 as int)), 3) as p_lo from fx_loan where bucket < 10 group by 1""")
     out["r_squared"] = sql("""select slicer as slice, count(*) as n,
       round(100 * (1 - avg((feature - feature * p0 * 2) * (feature - feature * p0 * 2)) / var_pop(feature)), 6) as r2
       from fx_scored group by 1""")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loanpanel.operators.network import coalesce_target
 from loanpanel.operators.running import CELLS_PER_TASK, group_quantiles, rank_in_ties, running_totals
 from loanpanel.operators.sampling import LEVEL_SEED, sample_per_level
-from loanpanel.sources.tables import join_small, stage
+from loanpanel.sources.tables import BROADCAST_ROWS, join_small, stage
 
 OVERALL = "no_groups"
 CUTS = [0.1, 0.25, 0.5, 0.75, 0.9]
@@ -160,7 +160,7 @@ def segment(df: DataFrame, categorical: list[str], continuous: list[str] = (), b
         cuts = group_quantiles(values.select("slice", "s.*"), ["slice", "feature"], "value", CUTS, per_task)
         per_slice = stage(cuts.groupBy("slice").agg(F.map_from_entries(
             F.collect_list(F.struct("feature", "q"))).alias("cuts")), "cuts")  # one entry per listed feature
-        rows = join_small(rows, per_slice, ["slice"], "left")
+        rows = join_small(rows, per_slice, ["slice"], "left", BROADCAST_ROWS // len(continuous))  # a row has the cuts of all
         entries += [F.struct(F.lit(c).alias("feature"), group_name(
             quantile_group(F.col(c).cast("double"), F.col("cuts")[c])).alias("segment")) for c in continuous]
     long = rows.select("slice", "fit", "obs", F.explode(F.array(*entries)).alias("s"))

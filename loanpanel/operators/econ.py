@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanpanel.functions.expr import level_payment, safe_div
-from loanpanel.sources.tables import join_small, stage
+from loanpanel.sources.tables import BROADCAST_ROWS, join_small, stage
 
 BASE_MONTH = dt.date(2020, 1, 1)
 ECON_COLUMNS = (
@@ -37,25 +37,43 @@ def rollup_econ(econ: DataFrame, geo: str = "zip3") -> DataFrame:
 
 
 def multi_date_join(df: DataFrame, ref: DataFrame, dates: dict[str, str], geo: str = "zip3", month: str = "month",
-                    columns: tuple[str, ...] | None = None, how: str = "inner") -> DataFrame:
+                    columns: tuple[str, ...] | None = None, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
     """Look ``ref`` up at (geo, date) for each ``{prefix: date column}``.
 
     ``ref`` is a staged table with one row per (geo, month).  When it is small
     enough to broadcast, the lookups are hash probes inside the scan of ``df``
-    and share one broadcast; otherwise each is a salted shuffle join.
+    and share one broadcast.  Otherwise each geo's months are gathered in one row first and one shuffle join
+    serves all dates.
     """
     columns = columns or tuple(c for c in ref.columns if c not in (geo, month))
+    if ref.count() > limit:
+        return _by_geo_join(df, ref, dates, geo, month, columns, how)
     lookup = ref.select(F.col(geo), F.col(month).alias("_date"), *columns)
     out = df
     for prefix, date_col in dates.items():
         before = out.columns
         renamed = out.withColumn("_date", F.col(date_col))
         values = lookup.select(geo, "_date", *[F.col(c).alias(f"{prefix}_{c}") for c in columns])
-        out = join_small(renamed, values, [geo, "_date"], how)
+        out = join_small(renamed, values, [geo, "_date"], how, rows=0)  # counted above
         out = out.select(*before, *[f"{prefix}_{c}" for c in columns])
     return out
 
 
+def _by_geo_join(df: DataFrame, ref: DataFrame, dates: dict[str, str], geo: str, month: str, columns: tuple[str, ...],
+                 how: str) -> DataFrame:
+    """The lookups through one row per geo, which holds its months as a map: a calendar's length."""
+    entry = F.struct(F.col(month).alias("key"), F.struct(*columns).alias("value"))
+    calendar = stage(ref.where(F.col(month).isNotNull()).groupBy(geo).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_months")), "calendars")
+    out = join_small(df, calendar, [geo], how, limit=0)
+    found = {p: F.try_element_at("_months", F.col(d).cast(ref.schema[month].dataType)) for p, d in dates.items()}
+    out = out.select(*df.columns, *[v.alias(f"_{p}") for p, v in found.items()])
+    if how == "inner":
+        for p in dates:
+            out = out.where(F.col(f"_{p}").isNotNull())
+    return out.select(*df.columns, *[F.col(f"_{p}")[c].alias(f"{p}_{c}") for p in dates for c in columns])
+
+
 def base_month_join(df: DataFrame, ref: DataFrame, geo: str = "zip3", base_month: dt.date = BASE_MONTH,
                     prefix: str = BASE, columns: tuple[str, ...] = ECON_COLUMNS, how: str = "inner") -> DataFrame:
     """Look ``ref`` up by geo alone, at one fixed month."""
@@ -63,15 +81,16 @@ def base_month_join(df: DataFrame, ref: DataFrame, geo: str = "zip3", base_month
     return join_small(df, at_base.select(geo, *[F.col(c).alias(f"{prefix}_{c}") for c in columns]), [geo], how)
 
 
-def join_economics(pairs: DataFrame, econ: DataFrame, geo: str = "zip3", base_month: dt.date = BASE_MONTH) -> DataFrame:
+def join_economics(pairs: DataFrame, econ: DataFrame, geo: str = "zip3", base_month: dt.date = BASE_MONTH,
+                   limit: int = BROADCAST_ROWS) -> DataFrame:
     """Economic columns at the target, as-of, first-pay and base months.
 
     Inner joins: a row without a match at any of the four dates disappears
     (see ``econ_losses``).  ``econ`` is the rolled-up table, staged.
     """
-    out = multi_date_join(pairs, econ, {"trg": DATES["trg"]}, geo, columns=(*ECON_COLUMNS, "msa_name_loc"))
-    out = out.withColumnRenamed("trg_msa_name_loc", "msa_loc_name")
-    out = multi_date_join(out, econ, {k: v for k, v in DATES.items() if k != "trg"}, geo, columns=ECON_COLUMNS)
+    out = multi_date_join(pairs, econ, DATES, geo, columns=(*ECON_COLUMNS, "msa_name_loc"), limit=limit)
+    out = out.withColumnRenamed("trg_msa_name_loc", "msa_loc_name").drop(
+        *[f"{p}_msa_name_loc" for p in DATES if p != "trg"])
     return base_month_join(out, econ, geo, base_month)
 
 

@@ -105,7 +105,7 @@ def stratified_sample(df: DataFrame, cols: list[str], target_n: int, keys: list[
     if widen and rates.count() > BROADCAST_ROWS:
         # The join will shuffle, and unwidened rows may carry whole histories: widen, and let them go, first.
         df, widen = widen(df, []), None
-    joined = join_small(df, rates.select(*cols, digest_bound(F.col("rate")).alias("_bound")), cols)
+    joined = join_small(df, rates.select(*cols, digest_bound(F.col("rate")).alias("_bound")), cols, sizes=rates)
     drawn = joined.where(key_digest(*keys, seed=seed) < F.col("_bound")).drop("_bound")
     return widen(drawn, []) if widen else drawn
 

@@ -14,7 +14,7 @@ from loanpanel.operators import assess, calibrate, econ, features, models, netwo
 from loanpanel.plans.job import AssessBlock, DataBlock, Job, ModelBlock, Stage, run
 from loanpanel.session import tune
 from loanpanel.sources import fixtures as fx
-from loanpanel.sources.tables import nest_history, ordered_history, shared_dir, source_query, stage
+from loanpanel.sources.tables import nest_history, ordered_history, read_econ, read_loans, shared_dir, source_query, stage
 
 WHERE1 = "ao_age >= 0 AND ao_dq >= 0 AND ao_dq <= 24 AND ao_upb > 10000 AND mon.zb = '00'"
 WHERE2 = "AND trg_zb = '00' AND fcst_month > 0"
@@ -265,6 +265,39 @@ def stratified_sample_exact(spark, sf):
     return sampled(spark, sf, True)
 
 
+@query
+def four_strata_sample(spark, sf):
+    """Nearly as many strata as rows: state, as-of date, age and delinquency."""
+    out = panel.sample_as_of(loans(spark, sf), fx.SOURCE, ["state", "ao_dt", "ao_age", "ao_dq_cap6"], N2, WHERE1)
+    return out.select("loan_id", "ao_dt", "state", "ao_age", "ao_dq_cap6")
+
+
+@query
+def sample_tables(spark, sf):
+    """The strata table and the first-pass sample that a data job keeps, read again: rate and rows drawn per stratum."""
+    base = f"{shared_dir(spark)}/loanpanel/kept-{uuid.uuid4().hex}"
+    strata = ["state", "ao_dq_cap6"]
+    run(spark, Job("kept tables", base, data=DataBlock(
+        loans(spark, sf), fx.SOURCE, fx.staged(spark, sf, "econ"),
+        Stage(strata, N1, WHERE1, f"{base}/sample", f"{base}/strata"), Stage(["fcst_month"], N2, WHERE2), f"{base}/table",
+        base_month=BASE_MONTH, **ERA)))
+    drawn = spark.read.parquet(f"{base}/sample").groupBy(*strata).agg(F.count(F.lit(1)).alias("drawn"))
+    kept = spark.read.parquet(f"{base}/strata").join(drawn, strata, "left")
+    return rounded(kept.select(*strata, "n", "rate", F.coalesce("drawn", F.lit(0)).alias("drawn")), {"rate": 9})
+
+
+@query
+def read_tables(spark, sf):
+    """Loan and economic tables through their readers: rows per geography."""
+    base = f"{shared_dir(spark)}/loanpanel/tables-{uuid.uuid4().hex}"
+    loans(spark, sf).write.parquet(f"{base}/loans")
+    fx.staged(spark, sf, "econ").write.parquet(f"{base}/econ")
+    counts = [read(spark, f"{base}/{name}").groupBy("zip3").agg(F.count(F.lit(1)).alias("n"), entries.alias("entries")).select(
+        F.lit(name).alias("source"), "zip3", "n", "entries") for name, read, entries in (
+        ("loans", read_loans, F.sum(F.size("monthly")).cast("bigint")), ("econ", read_econ, F.countDistinct("month")))]
+    return counts[0].unionByName(counts[1])
+
+
 @query
 def history_strata_sample(spark, sf):
     """Strata on a history feature, which must then be known before the draw."""
@@ -318,6 +351,16 @@ def multi_date_join(spark, sf):
     return rounded(out, {c: 6 for c in ("ao_hpi", "org_hpi", "y20_hpi", "ao_unemp_rate", "org_unemp_rate")})
 
 
+@query
+def zip_lookup(spark, sf):
+    """A table per zip code and month, gathered to one row per zip code: the way of tables too large to broadcast."""
+    base = as_of(spark, sf, keep=("fp_dt",)).select("loan_id", "ao_dt", F.col("loan_id").alias("zip"), "fp_dt")
+    out = econ.multi_date_join(base, fx.staged(spark, sf, "econ"), {"ao": "ao_dt", "org": "fp_dt"}, "zip",
+                               columns=("unemp_rate", "lbr_force", "fc_type"), limit=0)
+    out = out.select("loan_id", "ao_dt", "ao_unemp_rate", "org_unemp_rate", "ao_lbr_force", "org_fc_type")
+    return rounded(out, {"ao_unemp_rate": 6, "org_unemp_rate": 6, "ao_lbr_force": 2})
+
+
 @query
 def econ_losses(spark, sf):
     return econ.econ_losses(windowed(spark, sf), rolled_econ(spark, sf), "zip3", BASE_MONTH)
@@ -632,7 +675,35 @@ def r_squared(spark, sf):
     return rounded(assess.r_squared(rows, "slicer"), {"r2": 6})
 
 
-# ---- fits (no SQL equivalent) ----
+# ---- fits ----
+
+@query
+def linear_fit(spark, sf):
+    """Slope and intercept on the scale of the columns, and R-squared, of a line fitted to all model loans."""
+    rows = model_loans(spark, sf)
+    fitted = models.fit_model(rows, "rate", "cts", ["fico"], [])
+    (mx, sx), (my, sy) = fitted.defs.stats["fico"], fitted.defs.stats["rate"]
+    weights, bias, _ = fitted.net.layers[0]
+    slope = weights[0][0] * sy / sx
+    line = rows.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.lit(slope).alias("slope"), F.lit(my + bias[0] * sy - slope * mx).alias("intercept"))
+    scored = network.continuous_target(network.score_network(rows, fitted.net, fitted.defs), "rate", fitted.defs.stats)
+    out = line.crossJoin(F.broadcast(assess.r_squared(scored).select("r2")))  # one row each
+    return rounded(out, {"slope": 7, "intercept": 5, "r2": 4})
+
+
+@query
+def softmax_rates(spark, sf):
+    """Mean probability of each class by level: an unpenalized softmax fit with the level as a feature meets the class rates."""
+    rows = model_loans(spark, sf).withColumn("y", F.when(F.col("fico") + F.col("ltv") > 780, "hi").otherwise("lo"))
+    fitted = models.fit_model(rows, "y", "cat", ["rate"], ["purpose"])
+    scored = network.score_network(rows, fitted.net, fitted.defs)
+    out = scored.groupBy("purpose").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("probs")[0]).alias("p_hi"),
+                                        F.avg(F.col("probs")[1]).alias("p_lo"))
+    return rounded(out, {"p_hi": 3, "p_lo": 3})
+
+
+# ---- fits without a closed form ----
 
 @query
 def model_softmax(spark, sf):

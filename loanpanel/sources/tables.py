@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000  # a joined side is broadcast only when it is counted and found below this
-SALTS = 32
+HOT_ROWS = 1_000_000  # rows of one key that a task of a shuffled join takes
 _own_dirs: dict[str, str] = {}  # folder of each local session that names none
 
 
@@ -125,29 +125,39 @@ def checked_months(months: Column, loan: Column) -> Column:
     return F.when(months.isNull() | (F.array_sort(F.array_distinct(months)) == months), months).otherwise(wrong)
 
 
-def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-               limit: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
+def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", limit: int = BROADCAST_ROWS,
+               rows: int | None = None, sizes: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join a small keyed table to a big one, whatever the key skew.
 
     ``small`` holds one row per key and is cheap to count (a staged table); ``rows`` saves the count
-    where it is known.  Below ``limit`` rows it is broadcast.  Above, both sides are shuffled on
-    the keys plus a salt, so that one key with a third of ``big`` still spreads
-    over ``SALTS`` tasks.  NULL keys match each other.
+    where it is known.  Below ``limit`` rows it is broadcast.  Above, both sides are shuffled on the keys.  A key
+    with more than ``hot_rows`` rows of ``big`` is divided by a salt and its one row copied to each part; there
+    are few of them, and other keys are not copied.  ``sizes`` (keys and ``n``) saves counting the keys of
+    ``big``.  NULL keys match each other.
     """
     add = [c for c in small.columns if c not in on]
     right = small.select(*[F.col(c).alias(f"_k_{c}") for c in on], *add)
     keys = [big[c].eqNullSafe(right[f"_k_{c}"]) for c in on]
     if (small.count() if rows is None else rows) <= limit:
-        out = big.join(F.broadcast(right), keys, how)
-    else:
-        # The salt comes from the row's own values, so a retried task draws the same one.
-        flat = [f"`{f.name}`" for f in big.schema.fields if isinstance(f.dataType, T.AtomicType)]
-        salt = F.pmod(F.xxhash64(*flat), F.lit(SALTS))
-        left = big.withColumn("_salt", salt)
-        right = right.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        keys = [left[c].eqNullSafe(right[f"_k_{c}"]) for c in on]
-        out = left.join(right, [*keys, left["_salt"] == right["_salt_r"]], how).drop("_salt", "_salt_r")
-    return out.drop(*[f"_k_{c}" for c in on])
+        return big.join(F.broadcast(right), keys, how).drop(*[f"_k_{c}" for c in on])
+    counted = big.groupBy(*on).agg(F.count(F.lit(1)).alias("n")) if sizes is None else sizes
+    hot = stage(counted.where(F.col("n") > hot_rows).select(
+        *[F.col(c).alias(f"_h_{c}") for c in on], F.ceil(F.col("n") / hot_rows).cast("int").alias("_parts")), "hot-keys")
+    if hot.isEmpty():
+        return big.join(right, keys, how).drop(*[f"_k_{c}" for c in on])
+    listed = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
+
+    def parted(side: DataFrame, prefix: str) -> DataFrame:
+        found = side.join(listed, [side[prefix + c].eqNullSafe(hot[f"_h_{c}"]) for c in on], "left")
+        return found.withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop(*[f"_h_{c}" for c in on])
+
+    # The salt comes from the row's own values, so a retried task draws the same one.
+    flat = [f"`{f.name}`" for f in big.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    left = parted(big, "").withColumn("_salt", F.pmod(F.xxhash64(*flat), F.col("_parts")).cast("int")).drop("_parts")
+    right = parted(right, "_k_").withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    keys = [left[c].eqNullSafe(right[f"_k_{c}"]) for c in on]
+    out = left.join(right, [*keys, left["_salt"] == right["_salt_r"]], how)
+    return out.drop("_salt", "_salt_r", *[f"_k_{c}" for c in on])
 
 
 def source_query(spark: SparkSession, source: DataFrame | str, needed: list[str] | None = None,

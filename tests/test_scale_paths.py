@@ -70,8 +70,10 @@ def test_salted_join_matches_broadcast(hot):
     small = stage(keyed.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "small")
     a, b = join_small(keyed, small, ["g"]), join_small(keyed, small, ["g"], limit=0)
     assert rows(a) == rows(b) and a.count() == 6000
-    c = join_small(keyed, small.where("g = 'hot'"), ["g"], "left", limit=0)
-    assert c.count() == 6000 and tables.SALTS > 1
+    assert rows(a) == rows(join_small(keyed, small, ["g"], limit=0, hot_rows=100))
+    assert rows(a) == rows(join_small(keyed, small, ["g"], limit=0, hot_rows=100, sizes=small))
+    c = join_small(keyed, small.where("g = 'hot'"), ["g"], "left", limit=0, hot_rows=100)
+    assert c.count() == 6000
 
 
 def test_salt_spreads_a_hot_key(spark, hot):
@@ -79,7 +81,7 @@ def test_salt_spreads_a_hot_key(spark, hot):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        parts = join_small(hot, small, ["g"], limit=0).where("g = 'hot'").groupBy(F.spark_partition_id()).count()
+        parts = join_small(hot, small, ["g"], limit=0, hot_rows=100).where("g = 'hot'").groupBy(F.spark_partition_id()).count()
         assert parts.count() >= 6 and parts.agg(F.max("count")).first()[0] < 800
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -191,3 +193,16 @@ def test_digest_bounds_match_the_number(spark):
     a = df.where(hash28("id", seed=3) < F.col("rate") * HASH_SPAN)
     b = df.where(key_digest("id", seed=3) < digest_bound(F.col("rate")))
     assert rows(a) == rows(b) and b.where("rate = 1").count() == 3000
+
+
+def test_economics_agree_below_and_above_the_broadcast_limit(spark, sf):
+    from loanpanel.operators import econ
+    from loanpanel.plans import queries as q
+    rolled = q.rolled_econ(spark, sf)
+    base = stage(q.windowed(spark, sf), "base")
+    few, many = (econ.join_economics(base, rolled, "zip3", q.BASE_MONTH, limit) for limit in (500_000, 0))
+    assert few.columns == many.columns and rows(few) == rows(many) and few.count() > 0
+    wide = base.select("zip3", "ao_dt", F.add_months("trg_dt", 600).alias("trg_dt"))
+    few, many = (econ.multi_date_join(wide, rolled, {"a": "ao_dt", "t": "trg_dt"}, columns=("hpi", "month"), how="left",
+                                      limit=limit) for limit in (500_000, 0))
+    assert rows(few) == rows(many) and few.where("t_month IS NULL").count() == few.count()
