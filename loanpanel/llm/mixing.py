@@ -5,9 +5,9 @@ complete epochs is a fraction of an epoch: a weighted sample without replacement
 -ln(u) / quality, and documents are taken in the order of their keys until the words are used up.  Only the last document
 is cut, between two words, so that a source gives its target to the word.
 
-Keys come from hashes of the row, so reruns agree.  No source is sorted as a whole: words are summed in ``BINS`` ranges
-of the key first, and only the range in which the words run out is put in order.  What a document gives then follows from its own key and one row per
-source.
+Keys come from hashes of the row, so reruns agree.  No source is sorted as a whole: words are summed in ranges
+of the key, and the range in which the words run out is divided again until it has at most ``CUT_ROWS`` rows; only these
+are put in order.  What a document gives then follows from its own key and one row per source.
 
 Cases: a NULL source is a source, the last one.  NULL and empty texts have size 0 and give nothing.  NULL ids are ids like any other.  Rows
 alike in id and text have the same key and give the same; if the words run out among them they share what is left.
@@ -26,7 +26,8 @@ from loanpanel.sources.tables import join_small
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)  # of the sources in the order of their names, repeating
 BUDGET, CAP = 1.5, 2
-BINS = 1024
+DIGIT, DIGITS = 10, 5  # bits of a key's place that one round divides by, and rounds
+CUT_ROWS = 1 << 20  # rows of a range that are put in order
 TYPICAL_WORD = 6.0  # characters of a word of prose, its space included
 
 
@@ -72,9 +73,18 @@ def _plan(rows: DataFrame) -> DataFrame:
 
     Documents with keys below ``cut_key`` are in the fraction, those at it give ``cut_words``.
     """
-    bin_of = F.least(F.floor((1 - F.exp(-F.col("_mix_key"))) * BINS), F.lit(BINS - 1))
-    rows = rows.select("source", F.col("_mix_size").alias("size"), F.col("_mix_key").alias("key"), bin_of.alias("bin"))
-    bins = written(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")), "bins")
+    # Rises with the key, from 0 to the highest number of DIGIT * DIGITS bits.
+    place = F.floor(F.col("_mix_key") / (1 + F.col("_mix_key")) * F.lit(float((1 << DIGIT * DIGITS) - 1))).cast("long")
+    rows = rows.select("source", F.col("_mix_size").alias("size"), F.col("_mix_key").alias("key"), place.alias("place"))
+
+    def bin_of(level: int) -> Column:
+        return F.shiftright("place", DIGIT * (DIGITS - level))
+
+    def binned(rows: DataFrame, level: int) -> DataFrame:
+        return written(rows.groupBy("source", bin_of(level).alias("bin")).agg(
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "bins")
+
+    bins = binned(rows, 1)
     targets = source_targets(bins.groupBy("source").agg(F.sum("words").alias("source_size")))
     epochs = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long")
     targets = targets.withColumn("epochs", epochs)
@@ -86,9 +96,18 @@ def _plan(rows: DataFrame) -> DataFrame:
         return df.withColumn("before", F.coalesce(F.sum("words").over(over), F.lit(0)))
 
     ends = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words"))
-    last_bin = written(join_small(running(bins, "bin"), targets.select("source", "rest"), ["source"]).where(ends).select(
-        "source", F.col("bin").alias("cut_bin"), (F.col("rest") - F.col("before")).alias("rest")), "cut-bins")
-    near = join_small(rows, last_bin, ["source"]).where(F.col("bin") == F.col("cut_bin"))
+
+    def cut_bins(bins: DataFrame, wanted: DataFrame) -> DataFrame:
+        return written(join_small(running(bins, "bin"), wanted.select("source", "rest"), ["source"]).where(ends).select(
+            "source", F.col("bin").alias("cut_bin"), "n", (F.col("rest") - F.col("before")).alias("rest")), "cut-bins")
+
+    last, near, level = cut_bins(bins, targets), rows, 1
+    while True:
+        near = join_small(near, last.select("source", "cut_bin", "rest"), ["source"]).where(bin_of(level) == F.col("cut_bin"))
+        if level == DIGITS or (last.agg(F.max("n")).first()[0] or 0) <= CUT_ROWS:
+            break
+        near, level = written(near.select("source", "size", "key", "place"), "near"), level + 1
+        last = cut_bins(binned(near, level), last)
     near = near.groupBy("source", "rest", "key").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("alike"))
     cut = running(near, "key").where(ends).select(
         "source", F.col("key").alias("cut_key"),

@@ -337,6 +337,16 @@ def test_mixing(spark, tables):
             assert abs(t - target[s]) <= 1, (s, t, target[s])
 
 
+def test_a_mixture_is_cut_alike_in_few_and_many_rounds(small, monkeypatch):
+    want = sorted(mixing.mix(small).collect(), key=str)
+    for digit, digits, rows in ((10, 5, 0), (2, 4, 5), (1, 3, 0)):
+        with monkeypatch.context() as m:
+            m.setattr(mixing, "DIGIT", digit)
+            m.setattr(mixing, "DIGITS", digits)
+            m.setattr(mixing, "CUT_ROWS", rows)
+            assert sorted(mixing.mix(small).collect(), key=str) == want
+
+
 def test_mixed_documents_hold_the_words_taken(spark, small):
     taken = {r["doc_id"]: r["taken"] for r in mixing.mix(small).collect()}
     got = {}
