@@ -107,8 +107,12 @@ def apply_features(df: DataFrame, defs: FeatureDefs, cts: list[str] | None = Non
 
 
 def one_hot(index: Column, size: int) -> Column:
-    """array<double> with 1.0 at ``index``."""
-    return F.array(*[F.when(index == i, F.lit(1.0)).otherwise(F.lit(0.0)) for i in range(size)])
+    """array<double> with 1.0 at ``index``: one expression, whatever the number of levels."""
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0), n)
+
+    hit = F.concat(zeros(index.cast("int")), F.array(F.lit(1.0)), zeros((F.lit(size - 1) - index).cast("int")))
+    return F.when(index.between(0, size - 1), hit).otherwise(zeros(F.lit(size)))
 
 
 def design(df: DataFrame, defs: FeatureDefs, cts: list[str], cat: list[str], emb: list[str] = (),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loanpanel.operators.assess import assess_all
 from loanpanel.operators.calibrate import fit_bias
 from loanpanel.operators.econ import BASE_MONTH, add_economics
-from loanpanel.operators.features import needed_columns
+from loanpanel.operators.features import apply_features, needed_columns
 from loanpanel.operators.models import Fitted, fit_model, fit_network
 from loanpanel.operators.network import (
     InputModel,
@@ -228,13 +228,8 @@ def _scored(df: DataFrame, fitted: Fitted, target: str, kind: str = "cat") -> Da
     scored = score_network(df, fitted.net, fitted.defs)
     if kind != "cat":
         return scored
-    level = F.col(target).cast("string")
-    own = fitted.defs.levels.where(F.col("feature") == target)
-    classes = {r["level"]: r["idx"] for r in own.select("level", "idx").collect()}  # one entry per model class
-    index = F.lit(None).cast("int")
-    for name, i in classes.items():
-        index = F.when(level.eqNullSafe(name), F.lit(i)).otherwise(index)
-    return scored.withColumn("obs_class", index)
+    # NULL for a class that the model does not know.
+    return apply_features(scored, fitted.defs, [], [target], target).withColumnRenamed(f"i_{target}", "obs_class")
 
 
 def _assess(block: AssessBlock, fitted: Fitted, rows, target: str, kind: str, keep: list[str]) -> dict[str, DataFrame]:
