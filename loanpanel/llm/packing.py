@@ -12,7 +12,6 @@ An empty table gives no pieces.  A long text is tokenized whole and its pieces a
 
 from __future__ import annotations
 
-import functools
 import json
 
 import numpy as np
@@ -37,7 +36,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-@functools.lru_cache(maxsize=1)  # a worker process serves many tasks
 def load_encoder(path: str) -> tiktoken.Encoding:
     """The byte-level tokenizer file at ``path``, run by the faster of the two public libraries.
 
