@@ -40,15 +40,15 @@ def load_encoder(path: str) -> tiktoken.Encoding:
     """The byte-level tokenizer file at ``path``, run by the faster of the two public libraries.
 
     Its vocabulary numbers the merges in order, so ranks and ids are the same, and
-    both libraries give equal ids (tested over whole tables).  Strings of special tokens in a text are ordinary text.
+    both libraries give equal ids (tested over whole tables).  A text is cut at the file's added tokens, which give their own id.
     """
     with open(path, encoding="utf-8") as file:
         model = json.load(file)
-    special = {token["content"] for token in model.get("added_tokens", [])}
+    special = {token["content"]: token["id"] for token in model.get("added_tokens", [])}
     letters = byte_letters()
     ranks = {bytes(letters[c] for c in word): rank for word, rank in model["model"]["vocab"].items()
              if word not in special}
-    return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -60,7 +60,7 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
             nonlocal before
             rows = []
             for doc, text in zip(ids, texts):
-                found = encoder.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                found = encoder.encode_to_numpy(text.as_py() or "", allowed_special="all")
                 found = np.append(found, np.uint32(END)).astype("<u4")
                 rows.append((doc.as_py(), part, before, len(found), found.tobytes()))
                 before += len(found)

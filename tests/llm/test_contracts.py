@@ -392,6 +392,25 @@ def test_packing(spark, tables):
         assert Counter(r["ids_crc32"] for r in crcs) == Counter(zlib.crc32(r["ids"]) for r in pieces)
 
 
+def ids_of(pieces):
+    """Ids of each document out of its pieces."""
+    held = {}
+    for r in sorted(pieces, key=lambda r: (r["doc_id"], r["start"])):
+        held[r["doc_id"]] = held.get(r["doc_id"], []) + np.frombuffer(r["ids"], "<u4").tolist()
+    return held
+
+
+def test_added_tokens_in_a_text_give_their_own_id(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> \n y", "<|endoftext| >", *[t for _, t, *_ in ODD if t]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = ids_of(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).collect())
+    assert got[0] == [64, 220, 50256, 275, 0]
+    assert got == {k: [*exact.encode(t, add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
+
+
 def test_prefix_sums_over_many_partitions(spark):
     from loanpanel.llm.common import partition_bases
     rng = np.random.default_rng(3)
