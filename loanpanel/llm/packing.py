@@ -7,12 +7,14 @@ document that crosses a window's end is cut into several pieces, its boundary re
 Only the very last window can be short, and it is the only one that is padded.
 
 Cases: a NULL or empty text is the end token alone.  Repeated rows are packed each on their own.  A NULL doc_id stays NULL.
-An empty table gives no pieces.  A long text is tokenized whole and its pieces are cut from one buffer.  Extra columns are not read.
+An empty table gives no pieces.  A long text is tokenized whole, white-space runs of any length included, and its pieces are cut from one
+buffer.  Extra columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import tiktoken
@@ -27,6 +29,8 @@ END = 0  # the id after each document
 WIDTH = 4  # bytes of an id: unsigned, little-endian
 # How the byte-level vocabulary splits a text before merging (fixed value of the public tokenizer).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# A long run of what \s is there; tiktoken gives up on a run of about a million.
+LONG_RUN = r"(?<![{0}])[{0}]{{10000,}}".format(r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def byte_letters() -> dict[str, int]:
@@ -51,6 +55,27 @@ def load_encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
+def encoded(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a text.
+
+    Where white space makes ``SPLIT`` fail, its long runs are cut out as the pattern would: without their last
+    character when a word follows, and no token reaches over their start.
+    """
+    try:
+        return encoder.encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        out, at = [], 0
+        for run in re.finditer(LONG_RUN, text):
+            last = run.end() == len(text) or any(text.startswith(s, run.end()) for s in encoder.special_tokens_set)
+            end = run.end() if last else run.end() - 1
+            out.append(encoder.encode_to_numpy(text[at:run.start()], allowed_special="all"))
+            out.append(np.array(encoder._encode_single_piece(text[run.start():end]), np.uint32))
+            at = end
+        if not out:
+            raise
+        return np.concatenate([*out, encoder.encode_to_numpy(text[at:], allowed_special="all")])
+
+
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, part, before, n, ids``: written once, so later steps see the same partitions."""
     def begin():
@@ -60,7 +85,7 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
             nonlocal before
             rows = []
             for doc, text in zip(ids, texts):
-                found = encoder.encode_to_numpy(text.as_py() or "", allowed_special="all")
+                found = encoded(encoder, text.as_py() or "")
                 found = np.append(found, np.uint32(END)).astype("<u4")
                 rows.append((doc.as_py(), part, before, len(found), found.tobytes()))
                 before += len(found)

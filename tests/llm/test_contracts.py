@@ -411,6 +411,20 @@ def test_added_tokens_in_a_text_give_their_own_id(spark):
     assert got == {k: [*exact.encode(t, add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}
 
 
+def test_very_long_white_space_is_packed(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    exact, n = Tokenizer.from_file(path), 1_100_000
+    texts = [" " * n, "\n" * n, "a b" + " " * n + "word 's", "x\n" + " \t\u3000\xa0\x85\r\n" * (n // 7) + "\ny" + " " * 20_000 + "<|endoftext|>" + "\n" * n + "!",
+             "\n" * n + "<|endoftext|>" + " " * n + "\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = ids_of(packing.pack(docs, path).collect())
+    assert len(got[0]) == n + 1
+    for k, t in enumerate(texts):
+        assert got[k] == [*exact.encode(t, add_special_tokens=False).ids, 0], k
+
+
 def test_prefix_sums_over_many_partitions(spark):
     from loanpanel.llm.common import partition_bases
     rng = np.random.default_rng(3)
