@@ -2,17 +2,18 @@
 
 Fixed patterns with checks (Luhn, parts up to 255, numbers of digits) find the base spans, which always count.  Generators
 with higher recall propose more, overlapping ones: spelled-out addresses, hexadecimal addresses, numbers without a
-country code, digit groups with other separators or a failed check.  Boosted trees over the format of a candidate and the
-characters around it, fitted to how candidates of the corpus fare with the checks, score them; of those that
-pass no check a candidate is added when its score reaches a threshold at which the candidates of a second
-sample pass their checks in ``PRECISION`` of the cases, and when it overlaps no base span.
+country code, digit groups with other separators or a failed check.  Each has a check of its own kind: the address that
+'at' and 'dot' stand for, groups of a hexadecimal address, Luhn, the count of digits.  Boosted trees over the format of a
+candidate and the characters around it, fitted to how candidates of the corpus fare with the checks, score them; of those
+that are no base span and overlap none, a candidate is added when its score reaches the threshold of its kind, at
+which such candidates of a second sample pass their checks in ``PRECISION`` of the cases.
 
 Matches and their places come out of one split of the text, so a document is worked on in its own row: no joins, no
 shuffle, and cost in proportion to the text.  The patterns are written so that a failed start is not tried again
 within the same run of characters, which keeps them linear in long runs.
 
-Cases: NULL and empty texts have no spans.  Repeated rows and NULL ids are judged alike.  With no or only one kind of
-outcome in the samples nothing is added.  Extra columns are not read by ``find_personal`` and kept by ``redact``.
+Cases: NULL and empty texts have no spans.  Repeated rows and NULL ids are judged alike.  With no candidate
+in the samples nothing is added.  Extra columns are not read by ``find_personal`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ BASE = {
 }
 MORE = {
     "email": rf"(?<!{LOCAL}){LOCAL}{{1,64}}+\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?"
-             r"[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
+             r"[A-Za-z0-9-]{1,63}+(?:(?:\x20?\.(?:\x20(?=(?:com|org|net|edu|gov|info)\b))?|\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?)"
+             r"[A-Za-z0-9-]{1,63}+){1,8}+",  # a full stop before a space ends the sentence
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}+(?::{1,2}+[0-9A-Fa-f]{1,4}+){3,7}+(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9]{3,6}+(?:[._/\x20-][0-9]{3,6}+){2,4}+(?![0-9])",
     "phone": r"(?<![0-9+(])\(?[0-9]{2,5}+\)?+[\x20./-]{1,2}+[0-9]{2,5}+(?:[\x20./-][0-9]{2,5}+){1,3}+(?![0-9])",
@@ -48,6 +50,7 @@ NEAR = 24  # characters before a candidate that count as context
 SAMPLE = 4000  # expected texts with a candidate's characters, half to fit and half to calibrate
 ROUNDS, RATE, PENALTY = 12, 0.3, 1.0
 PRECISION = 0.98
+NEVER = 1e6  # taken off the margins of a kind that no threshold has the precision for
 CHUNK = 1024  # characters; texts are redacted in chunks so that no span is sought from the text's start
 
 
@@ -146,6 +149,37 @@ def passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+ADDRESS = r"^[A-Za-z0-9_][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}$"
+# Dates, and versions or addresses of four parts, that have as many digits as a phone number.
+DATE = (r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$|"
+        r"(?<![0-9])(?:(?:19|20)[0-9]{2}([./-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([./-])[0-9]{1,2}\2(?:19|20)[0-9]{2})(?![0-9])")
+
+
+def spelled_address(value: Column, before: Column) -> Column:
+    """Whether 'at' and 'dot' stand for an address; a plain ' at ' before plain dots may name a site and needs a cue before it."""
+    joined = F.regexp_replace(value, r"\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?", "@")
+    joined = F.regexp_replace(joined, r"\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?", ".")
+    return joined.rlike(ADDRESS) & (value.rlike(r"[(\[]at[)\]]|[(\[\x20]dot[)\]\x20]") | before.rlike(CUES))
+
+
+def hexadecimal_address(value: Column) -> Column:
+    """Eight groups, or fewer with one gap."""
+    groups = F.size(F.split(value, ":{1,2}"))
+    return value.rlike("^[0-9A-Fa-f:]+$") & F.when(
+        value.contains("::"), (groups <= 7) & ~value.rlike("::.*::")).otherwise(groups == 8)
+
+
+def passes_more(kind: str, value: Column, before: Column) -> Column:
+    """The check of a kind for a span of the further generators."""
+    if kind == "email":
+        return spelled_address(value, before)
+    if kind == "ip":
+        return hexadecimal_address(value)
+    if kind == "phone":
+        return passes(kind, value) & ~value.rlike(DATE)
+    return passes(kind, value)
+
+
 def hints(text: Column) -> dict[str, Column]:
     """What a text must hold for a match of the kind to be possible, base and more."""
     digit = text.rlike("[0-9]")
@@ -155,7 +189,7 @@ def hints(text: Column) -> dict[str, Column]:
 
 
 def candidates(text: Column, prefix: str = "") -> Column:
-    """All spans of the base patterns (``prefix`` empty) or the further generators, unchecked, one array per kind."""
+    """All spans of the base patterns (``prefix`` empty) or the further generators, whether they pass or not."""
     out = []
     for number, kind in enumerate(KINDS):
         found = F.when(hints(text)[prefix + kind], matches(text, (MORE if prefix else BASE)[kind]))
@@ -163,17 +197,47 @@ def candidates(text: Column, prefix: str = "") -> Column:
     return F.concat(*out)
 
 
-def _named(number: int, kind: str, checked: bool):
-    """Match to candidate: its kind, and whether it is a base span."""
-    return lambda m: F.struct(
-        m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"),
-        (passes(kind, m["value"]) if checked else F.lit(False)).alias("base"), m["value"].alias("value"),
-        m["before"].alias("before"), m["after"].alias("after"))
+def _named(number: int, kind: str, is_base: bool):
+    """Match to candidate: its kind, whether it passes its check, and whether it is a base span."""
+    def named(m: Column) -> Column:
+        good = passes(kind, m["value"]) if is_base else passes_more(kind, m["value"], m["before"])
+        return F.struct(
+            m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"),
+            (good if is_base else F.lit(False)).alias("base"), good.alias("good"), m["value"].alias("value"),
+            m["before"].alias("before"), m["after"].alias("after"))
+    return named
+
+
+def _clear_of(base: Column, more: Column) -> Column:
+    """The items of ``more`` that overlap no item of ``base``, in order."""
+    def flagged(spans: Column, extra: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(extra).alias("extra"), s.alias("span")))
+
+    def choose(spans: Column) -> Column:
+        far = F.lit(1 << 62)
+        reach = running_max(F.transform(spans, lambda s: F.when(s["extra"] == 0, s["span"]["end"]).otherwise(F.lit(0).cast("long"))))
+        begins = F.reverse(F.transform(spans, lambda s: F.when(s["extra"] == 0, s["start"]).otherwise(far)))
+        following = F.reverse(running(begins, lambda a, x: F.least(a, x), far))
+        kept = F.filter(F.arrays_zip(spans.alias("s"), reach.alias("reach"), following.alias("next")), lambda z: (
+            z["s"]["extra"] == 1) & (z["s"]["start"] >= z["reach"]) & (z["s"]["span"]["end"] <= z["next"]))
+        return F.transform(kept, lambda z: z["s"]["span"])
+
+    both = F.array_sort(F.concat(flagged(base, 0), flagged(more, 1)))
+    return F.when((F.size(more) > 0) & (F.size(base) > 0), with_value(both, choose)).otherwise(more)
+
+
+def _with_candidates(docs: DataFrame) -> DataFrame:
+    """The documents with ``_pii_base``, candidates that are base spans, and ``_pii_rest``, those that overlap none."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    out = docs.withColumn("_pii_all", candidates(text)).withColumn("_pii_further", candidates(text, "more "))
+    out = out.withColumn("_pii_base", F.filter("_pii_all", lambda c: c["base"])).withColumn(
+        "_pii_rest", F.concat(F.filter("_pii_all", lambda c: ~c["base"]), "_pii_further"))
+    return out.withColumn("_pii_rest", _clear_of(F.col("_pii_base"), F.col("_pii_rest"))).drop("_pii_all", "_pii_further")
 
 
 # ---- features, boosted trees, threshold ----
 
-FEATURES = ("kind", "digits", "letters", "separators", "luhn", "parts", "plus", "at", "left", "right", "cue")
+FEATURES = ("kind", "digits", "letters", "separators", "luhn", "parts", "plus", "at", "left", "right", "cue", "date")
 
 
 def features(c: Column) -> list[Column]:
@@ -188,10 +252,11 @@ def features(c: Column) -> list[Column]:
     return [c["kind"], F.least(F.length(number), F.lit(20)), F.least(F.floor(F.length(letters) / 2), F.lit(15)),
             F.least(F.length(value) - F.length(number) - F.length(letters), F.lit(9)),
             F.when(F.length(number).between(12, 19) & luhn(number), 1).otherwise(0),
-            F.when(value.rlike(r"^[0-9]+(\.[0-9]+){3}$") & parts_fit(value), 1).otherwise(0),
-            F.when(value.startswith("+"), 1).otherwise(0), F.when(value.contains("@"), 1).otherwise(0),
+            F.when(value.rlike(r"^[0-9]+(\.[0-9]+){3}$") & parts_fit(value), 1).when(hexadecimal_address(value), 2).otherwise(0),
+            F.when(value.startswith("+"), 1).otherwise(0),
+            F.when(value.contains("@"), 1).when(spelled_address(value, c["before"]), 2).otherwise(0),
             beside(F.substring(c["before"], -1, 1)), beside(c["after"]),
-            F.when(c["before"].rlike(CUES), 1).otherwise(0)]
+            F.when(c["before"].rlike(CUES), 1).otherwise(0), F.when(value.rlike(DATE), 1).otherwise(0)]
 
 
 def leaf(tree: list[tuple], x: list[Column]) -> Column:
@@ -208,30 +273,35 @@ def margin(trees: list[tuple], x: list[Column]) -> Column:
 
 
 def _sampled(docs: DataFrame, rows: int) -> DataFrame:
-    """Candidates of about ``rows`` texts: features ``f0..``, ``good`` (passes its check) and ``half``."""
+    """Candidates of about ``rows`` texts: features ``f0..``, ``good`` (passes its check), ``base`` and ``half``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     likely = docs.select(text.alias("text"), "doc_id").where(F.col("text").rlike("[0-9@]"))
     total = likely.count()
     draw = F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(1_000_000_007)) / 1_000_000_007.0
     drawn = likely.where(draw < min(1.0, rows / max(total, 1)))
-    found = F.concat(candidates(F.col("text")), candidates(F.col("text"), "more "))
-    each = drawn.select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"), F.explode(found).alias("c"))
-    return each.select("half", F.col("c.base").cast("int").alias("good"),
+    each = _with_candidates(drawn).select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"),
+                                          F.explode(F.concat("_pii_base", "_pii_rest")).alias("c"))
+    return each.select("half", "c.base", F.col("c.good").cast("int").alias("good"),
                        *[f.cast("int").alias(f"f{k}") for k, f in enumerate(features(F.col("c")))])
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE) -> tuple[list[tuple], float]:
     """Boosted trees of depth two and the threshold of their margin.
 
-    Equal candidates are counted once, by their features.  For each level of a tree Spark sums gradients by
-    (branch, feature, value), a few hundred rows, and the driver picks the cuts.
+    Equal candidates are counted once, by their features.  The first tree is the log odds of all.  For each level of a tree
+    Spark sums gradients by (branch, feature, value), a few hundred rows, and the driver picks the cuts.  The last tree
+    takes the threshold of its kind from each margin, so that one threshold, 0, holds for all kinds.
     """
     names = [f"f{k}" for k in range(len(FEATURES))]
-    counted = written(_sampled(docs, rows).groupBy("half", *names).agg(
+    counted = written(_sampled(docs, rows).groupBy("half", "base", *names).agg(
         F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")), "pii-candidates")
     x = [F.col(c) for c in names]
     train = counted.where("half = 0")
-    trees: list[tuple] = []
+    whole = train.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
+    if not whole["n"]:
+        return [], math.inf
+    odds = round(math.log((whole["good"] + 1) / (whole["n"] - whole["good"] + 1)), 3)
+    trees: list[tuple] = [(0, math.inf, (0, math.inf, odds, odds), (0, math.inf, odds, odds))]
     for _ in range(ROUNDS):
         p = 1 / (1 + F.exp(-margin(trees, x)))
         graded = train.select(*names, (F.col("good") - F.col("n") * p).alias("g"), (F.col("n") * p * (1 - p)).alias("h"))
@@ -242,15 +312,29 @@ def fit(docs: DataFrame, rows: int = SAMPLE) -> tuple[list[tuple], float]:
         sides = _best_cuts(graded.withColumn("side", (F.col(names[feature]) > cut).cast("int")), names)
         branches = [sides.get(k, (0, math.inf, whole[k], whole[k])) for k in (0, 1)]
         trees.append((feature, cut, *branches))
-    scored = counted.where("half = 1").groupBy(F.round(margin(trees, x), 3).alias("margin")).agg(
-        F.sum("n").alias("n"), F.sum("good").alias("good")).orderBy(F.desc("margin"))
-    # At most one row per combination of leaves.
-    threshold, n, good = math.inf, 0, 0
-    for row in scored.collect():
-        n, good = n + row["n"], good + row["good"]
-        if good >= PRECISION * n and row["margin"] > 0:
-            threshold = row["margin"]
-    return trees, threshold
+    scored = counted.where("half = 1 AND NOT base").groupBy(F.col("f0").alias("kind"), F.round(margin(trees, x), 3).alias("margin")).agg(
+        F.sum("n").alias("n"), F.sum("good").alias("good"))
+    return calibrated(trees, scored)
+
+
+def calibrated(trees: list[tuple], scored: DataFrame) -> tuple[list[tuple], float]:
+    """The trees and one that takes off the kind's threshold, the lowest above even odds that has the precision.
+
+    ``scored`` counts the candidates that could be added by ``kind`` and ``margin``, at most one row per combination of leaves.
+    A kind without any starts at even odds.
+    """
+    rows = sorted(((r["kind"], r["margin"], r["n"], r["good"]) for r in scored.collect()), key=lambda r: -r[1])
+    level = []
+    for kind in range(len(KINDS)):
+        own = [r[1:] for r in rows if r[0] == kind]
+        threshold, n, good = (math.inf if own else 0.001), 0, 0
+        for at, row_n, row_good in own:
+            n, good = n + row_n, good + row_good
+            if good >= PRECISION * n and at > 0:
+                threshold = at
+        level.append(-min(threshold, NEVER))
+    shift = (0, 1, (0, 0, level[0], level[1]), (0, 2, level[2], level[3]))
+    return [*trees, shift], (0.0 if max(level) > -NEVER else math.inf)
 
 
 def _best_cuts(graded: DataFrame, names: list[str]) -> dict[int, tuple]:
@@ -270,7 +354,7 @@ def _best_cuts(graded: DataFrame, names: list[str]) -> dict[int, tuple]:
                 gain = g * g / (h + PENALTY) + (all_g - g) ** 2 / (all_h - h + PENALTY) - all_g**2 / (all_h + PENALTY)
                 if gain > gains.get(side, 1e-6):
                     gains[side] = gain
-                    best[side] = (f, v, RATE * g / (h + PENALTY), RATE * (all_g - g) / (all_h - h + PENALTY))
+                    best[side] = (f, v, round(RATE * g / (h + PENALTY), 3), round(RATE * (all_g - g) / (all_h - h + PENALTY), 3))
     return best
 
 

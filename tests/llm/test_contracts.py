@@ -281,6 +281,45 @@ def test_spans_that_overlap_a_base_span_are_left_out(spark):
     assert all(a[1] <= b[0] for a, b in itertools.pairwise(sorted(spans)))
 
 
+PLANTED = {  # what the fitted threshold has to find, by kind
+    "email": ["Please write to ann{0} (at) host{0} dot example dot com. We read it", "mail bob{0} [at] site{0} [dot] org today",
+              "or carol{0} at host{0} dot net now"],
+    "ip": ["the host 2001:db8:0:{0}:a:b:c:1 is up", "the host fe80::{0}:fe23:4567:890a is up"],
+    "phone": ["call 499 555 6{0} today", "phone (030) 1234-5{0} now"],
+    "card": ["card 4111.1111.1111.1111 is mine {0}"],
+}
+TRAPS = ["On 2020-01-15 10 {0} people", "we looked at home. We saw {0}", "at 12:30:45:10 in {0}", "units 1234.5678.9012.3455 of {0}",
+         "version 10.20.300.{0} is out", "shop at example.com {0} times", "1.2.3 and 12-34-56 {0}"]
+
+
+def planted(spark, n):
+    rows, kinds = [], {}
+    for k in range(n):
+        for kind, texts in PLANTED.items():
+            for t in texts:
+                kinds[len(rows)] = kind
+                rows.append((len(rows), t.format(100 + k)))
+        rows += [(len(rows) + j, t.format(100 + k)) for j, t in enumerate(TRAPS)]
+    return spark.createDataFrame(rows, "doc_id long, text string"), kinds
+
+
+def test_the_fitted_threshold_finds_planted_cases(spark):
+    docs, kinds = planted(spark, 100)
+    found = {r["doc_id"]: r for r in pii.find_personal(docs, pii.fit(docs, 100_000)).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for doc, kind in kinds.items():
+        spans = [pii.KINDS[s["kind"]] for s in found[doc]["spans"]]
+        assert spans == [kind] and not found[doc]["base"], (texts[doc], spans)
+    wrong = [(texts[d], r["spans"]) for d, r in found.items() if d not in kinds and r["spans"]]
+    assert len(wrong) <= 0.02 * len(kinds), wrong[:5]
+
+
+def test_a_span_and_its_copy_by_another_generator_count_once(spark):
+    docs = spark.createDataFrame([(k, f"card 4111 1111 1111 1111 x{k}") for k in range(20)], "doc_id long, text string")
+    rows = pii._sampled(docs, 100).collect()
+    assert len(rows) == 20 and all(r["base"] and r["good"] for r in rows)
+
+
 def test_redaction(spark, odd):
     got = {(r["doc_id"], r["text"], r["n_chars"]) for r in pii.redact(odd, ([], 0.0)).collect()}
     want = set()
