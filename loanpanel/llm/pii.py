@@ -6,14 +6,14 @@ country code, digit groups with other separators or a failed check.  Each has a
 'at' and 'dot' stand for, groups of a hexadecimal address, Luhn, the count of digits.  Boosted trees over the format of a
 candidate and the characters around it, fitted to how candidates of the corpus fare with the checks, score them; of those
 that are no base span and overlap none, a candidate is added when its score reaches the threshold of its kind, at
-which such candidates of a second sample pass their checks in ``PRECISION`` of the cases.
+which such candidates of all rows pass their checks in ``PRECISION`` of the cases.
 
 Matches and their places come out of one split of the text, so a document is worked on in its own row: no joins, no
 shuffle, and cost in proportion to the text.  The patterns are written so that a failed start is not tried again
 within the same run of characters, which keeps them linear in long runs.
 
 Cases: NULL and empty texts have no spans.  Repeated rows and NULL ids are judged alike.  With no candidate
-in the samples nothing is added.  Extra columns are not read by ``find_personal`` and kept by ``redact``.
+in the sample of the trees nothing is added.  Extra columns are not read by ``find_personal`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ MORE = {
 CUES = ("(?i)(mail|contact|write|phone|call|tel|mobile|fax|card|visa|account|address|host|server|correo|llam|tarjeta"
         "|adresse|rufen|karte|konto|courriel|appel|carte)")
 NEAR = 24  # characters before a candidate that count as context
-SAMPLE = 4000  # expected texts with a candidate's characters, half to fit and half to calibrate
+SAMPLE = 4000  # expected texts with a candidate's characters that the trees are fitted to
 ROUNDS, RATE, PENALTY = 12, 0.3, 1.0
 PRECISION = 0.98
 NEVER = 1e6  # taken off the margins of a kind that no threshold has the precision for
@@ -269,68 +269,92 @@ def leaf(tree: list[tuple], x: list[Column]) -> Column:
 
 
 def margin(trees: list[tuple], x: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, [leaf(t, x) for t in trees], F.lit(0.0))
+    """Sum of the trees; one with a fifth item counts for that kind only."""
+    def total(own: list[tuple]) -> Column:
+        return reduce(lambda a, b: a + b, [leaf(t[:4], x) for t in own], F.lit(0.0))
+    by_kind = [(k, [t for t in trees if t[4:] == (k,)]) for k in range(len(KINDS))]
+    return reduce(lambda a, b: a + b, [F.when(x[0] == k, total(own)).otherwise(0.0) for k, own in by_kind if own],
+                  total([t for t in trees if not t[4:]]))
+
+
+def _likely(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the texts that hold a candidate's characters."""
+    return docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), "doc_id").where(F.col("text").rlike("[0-9@]"))
+
+
+def _described(spans: DataFrame) -> DataFrame:
+    """Features ``f0..`` of the candidates ``c``, and ``good``: whether it passes its check."""
+    return spans.select(F.col("c.good").cast("int").alias("good"),
+                        *[f.cast("int").alias(f"f{k}") for k, f in enumerate(features(F.col("c")))])
 
 
 def _sampled(docs: DataFrame, rows: int) -> DataFrame:
-    """Candidates of about ``rows`` texts: features ``f0..``, ``good`` (passes its check), ``base`` and ``half``."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    likely = docs.select(text.alias("text"), "doc_id").where(F.col("text").rlike("[0-9@]"))
+    """Candidates of about ``rows`` texts, described."""
+    likely = _likely(docs)
     total = likely.count()
     draw = F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(1_000_000_007)) / 1_000_000_007.0
     drawn = likely.where(draw < min(1.0, rows / max(total, 1)))
-    each = _with_candidates(drawn).select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"),
-                                          F.explode(F.concat("_pii_base", "_pii_rest")).alias("c"))
-    return each.select("half", "c.base", F.col("c.good").cast("int").alias("good"),
-                       *[f.cast("int").alias(f"f{k}") for k, f in enumerate(features(F.col("c")))])
+    return _described(_with_candidates(drawn).select(F.explode(F.concat("_pii_base", "_pii_rest")).alias("c")))
+
+
+def scored(docs: DataFrame, trees: list[tuple]) -> DataFrame:
+    """Over all rows, how many candidates that could be added have each ``kind`` and ``margin``, and how many of them pass."""
+    x = [F.col(f"f{k}") for k in range(len(FEATURES))]
+    each = _described(_with_candidates(_likely(docs)).select(F.explode("_pii_rest").alias("c")))
+    return each.groupBy(F.col("f0").alias("kind"), F.round(margin(trees, x), 3).alias("margin")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"))
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE) -> tuple[list[tuple], float]:
     """Boosted trees of depth two and the threshold of their margin.
 
-    Equal candidates are counted once, by their features.  The first tree is the log odds of all.  For each level of a tree
-    Spark sums gradients by (branch, feature, value), a few hundred rows, and the driver picks the cuts.  The last tree
-    takes the threshold of its kind from each margin, so that one threshold, 0, holds for all kinds.
+    The trees learn from a sample of ``rows`` texts, the threshold is calibrated on all rows.  Equal candidates are counted once,
+    by their features.  Every kind has trees of its own, in which passing and failing candidates have equal weight, so that rare
+    kinds are told apart as well.  For each level of a tree Spark sums gradients by (branch, feature, value), a few hundred rows, and the driver picks
+    the cuts.  The last tree takes the threshold of its kind from each margin, so that one threshold, 0, holds for all kinds.
     """
     names = [f"f{k}" for k in range(len(FEATURES))]
-    counted = written(_sampled(docs, rows).groupBy("half", "base", *names).agg(
+    train = written(_sampled(docs, rows).groupBy(*names).agg(
         F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")), "pii-candidates")
     x = [F.col(c) for c in names]
-    train = counted.where("half = 0")
-    whole = train.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
-    if not whole["n"]:
+    sizes = train.groupBy("f0").agg(F.sum("good").alias("good"), F.sum(F.col("n") - F.col("good")).alias("bad")).collect()
+    if not sizes:
         return [], math.inf
-    odds = round(math.log((whole["good"] + 1) / (whole["n"] - whole["good"] + 1)), 3)
-    trees: list[tuple] = [(0, math.inf, (0, math.inf, odds, odds), (0, math.inf, odds, odds))]
+    share = sum(r["good"] + r["bad"] for r in sizes) / (2 * len(KINDS))
+
+    def weighted(outcome: str) -> Column:
+        return reduce(lambda a, r: F.when(F.col("f0") == r["f0"], share / max(r[outcome], 1)).otherwise(a), sizes, F.lit(0.0))
+    good, bad = F.col("good") * weighted("good"), (F.col("n") - F.col("good")) * weighted("bad")
+    train = train.select(*names, (good + bad).alias("n"), good.alias("good"))
+    trees: list[tuple] = []
     for _ in range(ROUNDS):
         p = 1 / (1 + F.exp(-margin(trees, x)))
         graded = train.select(*names, (F.col("good") - F.col("n") * p).alias("g"), (F.col("n") * p * (1 - p)).alias("h"))
-        root = _best_cuts(graded.withColumn("side", F.lit(0)), names)
-        if 0 not in root:
+        root = _best_cuts(graded.withColumn("side", F.col("f0")), names)
+        if not root:
             break
-        feature, cut, *whole = root[0]
-        sides = _best_cuts(graded.withColumn("side", (F.col(names[feature]) > cut).cast("int")), names)
-        branches = [sides.get(k, (0, math.inf, whole[k], whole[k])) for k in (0, 1)]
-        trees.append((feature, cut, *branches))
-    scored = counted.where("half = 1 AND NOT base").groupBy(F.col("f0").alias("kind"), F.round(margin(trees, x), 3).alias("margin")).agg(
-        F.sum("n").alias("n"), F.sum("good").alias("good"))
-    return calibrated(trees, scored)
+        high = reduce(lambda a, k: F.when(F.col("f0") == k, (x[root[k][0]] > root[k][1]).cast("int")).otherwise(a), root, F.lit(0))
+        sides = _best_cuts(graded.withColumn("side", F.col("f0") * 2 + high), names)
+        for kind, (feature, cut, *whole) in root.items():
+            branches = [sides.get(2 * kind + k, (0, math.inf, whole[k], whole[k])) for k in (0, 1)]
+            trees.append((feature, cut, *branches, kind))
+    return calibrated(trees, scored(docs, trees))
 
 
-def calibrated(trees: list[tuple], scored: DataFrame) -> tuple[list[tuple], float]:
-    """The trees and one that takes off the kind's threshold, the lowest above even odds that has the precision.
+def calibrated(trees: list[tuple], counts: DataFrame) -> tuple[list[tuple], float]:
+    """The trees and one that takes off the kind's threshold, the lowest that has the precision.
 
-    ``scored`` counts the candidates that could be added by ``kind`` and ``margin``, at most one row per combination of leaves.
+    ``counts`` counts the candidates that could be added by ``kind`` and ``margin``, at most one row per combination of leaves.
     A kind without any starts at even odds.
     """
-    rows = sorted(((r["kind"], r["margin"], r["n"], r["good"]) for r in scored.collect()), key=lambda r: -r[1])
+    rows = sorted(((r["kind"], r["margin"], r["n"], r["good"]) for r in counts.collect()), key=lambda r: -r[1])
     level = []
     for kind in range(len(KINDS)):
         own = [r[1:] for r in rows if r[0] == kind]
         threshold, n, good = (math.inf if own else 0.001), 0, 0
         for at, row_n, row_good in own:
             n, good = n + row_n, good + row_good
-            if good >= PRECISION * n and at > 0:
+            if good >= PRECISION * n:
                 threshold = at
         level.append(-min(threshold, NEVER))
     shift = (0, 1, (0, 0, level[0], level[1]), (0, 2, level[2], level[3]))

@@ -317,7 +317,20 @@ def test_the_fitted_threshold_finds_planted_cases(spark):
 def test_a_span_and_its_copy_by_another_generator_count_once(spark):
     docs = spark.createDataFrame([(k, f"card 4111 1111 1111 1111 x{k}") for k in range(20)], "doc_id long, text string")
     rows = pii._sampled(docs, 100).collect()
-    assert len(rows) == 20 and all(r["base"] and r["good"] for r in rows)
+    assert len(rows) == 20 and all(r["good"] for r in rows)
+
+
+def test_the_threshold_covers_all_rows(spark):
+    """Texts outside the sample of the trees decide as well, and a format that is rare has its part."""
+    good = [(k, f"call 499 555 6{100 + k % 900} today") for k in range(300)]
+    docs = spark.createDataFrame(good + [(1_000 + k, f"mail ann{k} (at) host dot org") for k in range(5)], "doc_id long, text string")
+    trees, threshold = pii.fit(docs, 40)
+    counts = {}
+    for r in pii.scored(docs, trees[:-1]).collect():
+        counts[r["kind"]] = counts.get(r["kind"], 0) + r["n"]
+    assert counts == {0: 5, 3: 300, 2: 300} and threshold == 0
+    found = pii.find_personal(docs, (trees, threshold)).collect()
+    assert all([s["kind"] for s in r["spans"]] == [0 if r["doc_id"] >= 1_000 else 3] for r in found)
 
 
 def test_redaction(spark, odd):
