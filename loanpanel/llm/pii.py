@@ -184,10 +184,15 @@ def hints(text: Column) -> dict[str, Column]:
     """What a text must hold for a match of the kind to be possible, base and more."""
     digit = text.rlike("[0-9]")
     return {"email": text.contains("@"), "ip": digit, "card": digit, "phone": text.contains("+"),
-            "more email": text.rlike(r"(?:\(at\)|\[at\]|\x20at\x20)"), "more ip": digit & text.contains(":"),
+            "more email": text.rlike(r"(?:\(at\)|\[at\]|\x20at\x20)"), "more ip": text.rlike("[0-9A-Fa-f]:{1,2}[0-9A-Fa-f]"),
             "more card": digit, "more phone": digit}
 
 
+def possible(text: Column) -> Column:
+    """Whether any kind can have a match in a text."""
+    return reduce(lambda a, b: a | b, hints(text).values())
+
+
 def candidates(text: Column, prefix: str = "") -> Column:
     """All spans of the base patterns (``prefix`` empty) or the further generators, whether they pass or not."""
     out = []
@@ -279,7 +284,7 @@ def margin(trees: list[tuple], x: list[Column]) -> Column:
 
 def _likely(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` of the texts that hold a candidate's characters."""
-    return docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), "doc_id").where(F.col("text").rlike("[0-9@]"))
+    return docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), "doc_id").where(possible(F.col("text")))
 
 
 def _described(spans: DataFrame) -> DataFrame:
@@ -437,7 +442,7 @@ def with_spans(docs: DataFrame, model: tuple[list[tuple], float]) -> DataFrame:
     a candidate's characters skip the work.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    likely = text.rlike(r"[0-9@]|(?:\(at\)|\[at\]|\x20dot\x20)")
+    likely = possible(text)
     out = docs.withColumn("_pii_all", F.when(likely, candidates(text)))
     out = out.withColumn("_pii_base", F.coalesce(_brief(F.filter("_pii_all", lambda c: c["base"])), nothing(BRIEF)))
     out = out.withColumn("_pii_more", F.coalesce(F.when(likely, _added(text, F.col("_pii_all"), *model)), nothing(BRIEF)))

@@ -333,6 +333,15 @@ def test_the_threshold_covers_all_rows(spark):
     assert all([s["kind"] for s in r["spans"]] == [0 if r["doc_id"] >= 1_000 else 3] for r in found)
 
 
+def test_no_text_with_a_possible_candidate_is_skipped(spark):
+    texts = ["mail jane at example.com", "mail jane (at) example dot com", "host fade:beef:cafe:dead:face:feed:babe:abba", "nothing"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tree = (0, 99, (0, 99, 1.0, 1.0), (0, 99, 1.0, 1.0))
+    found = pii.find_personal(docs, ([tree], 0.0)).orderBy("doc_id").collect()
+    assert [[s["kind"] for s in r["spans"]] for r in found] == [[0], [0], [1], []]
+    assert pii._likely(docs).count() == 3
+
+
 def test_redaction(spark, odd):
     got = {(r["doc_id"], r["text"], r["n_chars"]) for r in pii.redact(odd, ([], 0.0)).collect()}
     want = set()
