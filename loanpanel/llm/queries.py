@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loanpanel.llm import language_id, mixing, packing, pii, quality_model, quality_rules, sharding, simhash, topk, url_filter
+from loanpanel.llm import bpe, language_id, mixing, packing, pii, quality_model, quality_rules, sharding, simhash, topk, url_filter
 from loanpanel.llm.common import crc_of_id
 from loanpanel.llm.oracle import TOP_SQL, URL_SQL
 
@@ -91,6 +91,14 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
