@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loanpanel.llm import bpe, language_id, mixing, packing, pii, quality_model, quality_rules, sharding, simhash, spelling, topk, url_filter
+from loanpanel.llm import (
+    bpe,
+    language_id,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    sharding,
+    simhash,
+    spelling,
+    topk,
+    url_filter,
+    whitening,
+)
 from loanpanel.llm.common import crc_of_id
 from loanpanel.llm.oracle import TOP_SQL, URL_SQL
 
@@ -91,6 +105,11 @@ def op10_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_spelling_variants(spark, sf_dir):
     return spelling.group_variants(table(spark, sf_dir, "documents"))

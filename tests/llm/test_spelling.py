@@ -67,7 +67,7 @@ def odd_rows():
     rows += [(k, " ".join("".join(rng.choice(letters) for _ in range(rng.choice((6, 6, 7)))) for _ in range(400))) for k in range(200, 240)]
     rows += [(500 + k, "common " * 60 + "commom " * 9 + "coommom" * (k % 2)) for k in range(12)]
     return rows + [(1, "BANANA banana-Banana1banana"), (1, "BANANA banana-Banana1banana"), (None, "banana bananas " * 9), (2, None), (3, ""),
-                   (4, "×÷×÷×÷× " * 7), (5, "word" * 5_000 + " " + "word" * 5_000)] + [(6 + k, "w" * 20_000) for k in range(5)]
+                   (4, "×÷×÷×÷× " * 7), (5, "word" * 5_000 + " " + "word" * 5_000)] + [(6 + k, "w" * 20_000) for k in range(9)]
 
 
 @pytest.mark.parametrize("kind", ["given", "odd", "none"])
