@@ -17,9 +17,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import sys
 import unicodedata
-from array import array
 from functools import lru_cache
 from itertools import groupby
 
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from loanpanel.llm.common import map_texts
 
 ID_TYPE = "<u4"  # an id as bytes: unsigned, little-endian
-KEPT_PIECES, KEPT_CHARS = 200_000, 32  # pieces that a worker remembers, and the longest of them
+KEPT_PIECES, KEPT_CHARS = 150_000, 32  # pieces that a worker remembers, twice as many at most, and the longest of them
 KEPT_PAIRS = 500_000  # compatible and other pairs that a worker remembers
 # White space as the pattern of byte-level vocabularies has it (fixed value).
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -114,12 +114,15 @@ class Pieces(dict):
 
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.encoder.encode_piece(text)
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.encoder.encode_piece(text)
         if len(text) <= KEPT_CHARS:
             if len(self) >= KEPT_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
@@ -145,32 +148,37 @@ class Encoder:
         self.fit: dict[int, bool] = {}
         self.known = Pieces(self)
 
-    def _fits(self, left: int, right: int) -> bool:
-        pair = left * self.words.size + right
-        known = self.fit.get(pair)
-        if known is None:
-            if len(self.fit) >= KEPT_PAIRS:
-                self.fit.clear()
-            known = self.fit[pair] = self.words.splits(left, right)
-        return known
+    def _fits(self, pair: int) -> bool:
+        if len(self.fit) >= KEPT_PAIRS:
+            self.fit.clear()
+        fits = self.fit[pair] = self.words.splits(*divmod(pair, self.words.size))
+        return fits
 
-    def last_tokens(self, piece: bytes) -> array:
+    def last_tokens(self, piece: bytes) -> list[int]:
         """The last token of every prefix's encoding, by the length of the prefix."""
-        last = array("q", [-1]) * (len(piece) + 1)
+        last, fit, length, size = [-1] * (len(piece) + 1), self.fit, self.length, self.words.size
         for end, token in self.ending.iter(piece.decode("latin-1")):
-            if last[end + 1] < 0:
-                start = end + 1 - self.length[token]
-                if start == 0 or self._fits(last[start], token):
-                    last[end + 1] = token
+            end += 1
+            if last[end] < 0:
+                start = end - length[token]
+                if start:
+                    pair = last[start] * size + token
+                    fits = fit.get(pair)
+                    if fits is None:
+                        fits = self._fits(pair)
+                    if not fits:
+                        continue
+                last[end] = token
         return last
 
     def encode_piece(self, text: str) -> bytes:
         piece = text.encode("utf-8", "replace")
-        last, at, back = self.last_tokens(piece), len(piece), []
+        last, at, back, length = self.last_tokens(piece), len(piece), [], self.length
         while at:
-            back.append(last[at])
-            at -= self.length[last[at]]
-        return np.array(back[::-1], ID_TYPE).tobytes()
+            token = last[at]
+            back.append(token)
+            at -= length[token]
+        return struct.pack(f"<{len(back)}I", *reversed(back))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, as bytes."""
