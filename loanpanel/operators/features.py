@@ -117,15 +117,17 @@ def one_hot(index: Column, size: int) -> Column:
 
 def design(df: DataFrame, defs: FeatureDefs, cts: list[str], cat: list[str], emb: list[str] = (),
            out: str = "features") -> DataFrame:
-    """One ``array<double>`` of network inputs: z-scores, one-hot blocks, embedded indices.
+    """One ``array<double>`` of network inputs with an entry per feature: z-scores, levels, embedded indices.
 
-    A NULL continuous value enters at its mean.
+    A level enters as its place in the one-hot blocks laid end to end, which the first layer looks up.  A NULL
+    continuous value enters at its mean.
     """
-    parts = [F.array(*[F.coalesce(F.col(f"z_{c}"), F.lit(0.0)) for c in cts])] if cts else []
-    parts += [one_hot(F.col(f"i_{c}"), defs.n_levels[c]) for c in cat]
-    if emb:
-        parts.append(F.array(*[F.col(f"i_{c}").cast("double") for c in emb]))
-    return df.withColumn(out, F.concat(*parts))
+    parts, before = [F.coalesce(F.col(f"z_{c}"), F.lit(0.0)) for c in cts], 0
+    for c in cat:
+        parts.append((F.col(f"i_{c}") + F.lit(before)).cast("double"))
+        before += defs.n_levels[c]
+    parts += [F.col(f"i_{c}").cast("double") for c in emb]
+    return df.withColumn(out, F.array(*parts))
 
 
 def bucket_split(df: DataFrame, where_train=None, where_assess=None) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -1,29 +1,25 @@
 """Fits; every one ends as a ``Network`` that scores anywhere.
 
-``fit_model`` goes through pyspark.ml: softmax regression, sigmoid multilayer
-networks and linear regression, with one distributed gradient aggregate per
-iteration.  ``fit_network`` takes layers pyspark.ml does not have.
+``fit_model`` fits softmax, sigmoid-network and linear models, ``fit_network`` any layers and embeddings.  Both take full-batch quasi-Newton
+steps, one Spark job each; ``fit_network`` takes a step per batch instead when a batch size is given.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanpanel.operators.features import FeatureDefs, apply_features, design, fit_features
 from loanpanel.operators.network import InputModel, Network, load_inputs, network_output, save_inputs
-from loanpanel.operators.training import start_network
+from loanpanel.operators.quasi_newton import fit as fit_steps
+from loanpanel.operators.training import pack, start_network
 from loanpanel.operators.training import train as fit_epochs
 from loanpanel.sources.tables import stage
 
+TOLERANCE = 1e-8  # a fit ends when no entry of the gradient is above
 
 COSTS = "step int, train_cost double, valid_cost double"
 
@@ -89,32 +85,43 @@ def cost(table: DataFrame, net: Network, kind: str) -> float:
     return scored.agg(F.sqrt(F.avg(miss * miss))).first()[0]
 
 
-def _to_network(cts, cat, sizes: list[int], weights: np.ndarray) -> Network:
-    """Flat perceptron weights: per layer the in x out block, then the bias."""
-    layers, at = [], 0
-    for i, (n_in, n_out) in enumerate(zip(sizes, sizes[1:])):
-        w = weights[at:at + n_in * n_out].reshape(n_in, n_out)
-        at += n_in * n_out
-        b = weights[at:at + n_out]
-        at += n_out
-        layers.append((w.tolist(), b.tolist(), "softmax" if i == len(sizes) - 2 else "sigmoid"))
-    return Network(cts, cat, layers)
+def _steps(table: DataFrame, check: DataFrame | None, net: Network, kind: str, penalty: np.ndarray, max_iter: int,
+           tol: float, patience: int | None):
+    rows = table.select("x", "y", F.lit(False).alias("held"))
+    if check is not None:
+        rows = rows.unionByName(check.select("x", "y", F.lit(True).alias("held")))
+    rows = rows.persist()  # every step reads them; lost blocks are read again from the staged tables
+    try:
+        return fit_steps(rows, net, kind, penalty, max_iter, tol, patience)
+    finally:
+        rows.unpersist()
+
 
+def _on_weights(net: Network, curvature: float) -> np.ndarray:
+    """A penalty on the weights of the layers, none on their biases."""
+    return np.concatenate([np.concatenate((np.full(np.size(w), curvature), np.zeros(len(b)))) for w, b, _ in net.layers])
 
-def _to_weights(net: Network) -> np.ndarray:
-    return np.concatenate([np.concatenate([np.asarray(w).ravel(), np.asarray(b)]) for w, b, _ in net.layers])
+
+def _centred(net: Network, weights_too: bool) -> Network:
+    """The same probabilities from biases, and weights, that add to zero over the classes.
+
+    Adding the same to all classes changes nothing; a penalty settles that for the weights, and nothing for the biases.
+    """
+    (w, b, act), = net.layers
+    w, b = np.asarray(w, float), np.asarray(b, float)
+    w = w - w.mean(axis=1, keepdims=True) if weights_too else w
+    return Network(net.cts, net.cat, [(w.tolist(), (b - b.mean()).tolist(), act)])
 
 
 def fit_model(train: DataFrame, target: str, kind: str, cts: list[str], cat: list[str], valid: DataFrame | None = None,
               hidden: list[int] = (), l2: float = 0.0, max_iter: int = 100, patience: int | None = None,
-              steps: int = 10, start_from: Fitted | None = None, seed: int = 10) -> Fitted:
+              start_from: Fitted | None = None, seed: int = 10, tol: float = TOLERANCE) -> Fitted:
     """Fit ``target`` on continuous and categorical features.
 
-    ``kind`` is "cat" (softmax, cross-entropy) or "cts" (linear, squared error).
-    With hidden layers and validation rows the fit runs in rounds of ``steps``
-    iterations, each started from the last weights, and stops when the
-    validation cost has not improved for ``patience`` rounds; the best round wins.
-    ``start_from`` continues an earlier fit with its feature definitions.
+    ``kind`` is "cat" (softmax, cross-entropy) or "cts" (linear, squared error).  ``hidden`` adds sigmoid layers.  Each step is
+    one Spark job that also gives the cost of the validation rows; with ``patience`` the fit ends that many steps after the lowest
+    one, whose weights are kept.  Step 0 is the start: all zero, random for hidden layers, or
+    ``start_from``, whose feature definitions go on.  ``l2`` is the weight of half the squared weights.
     """
     if kind not in ("cat", "cts"):
         raise ValueError("kind must be 'cat' or 'cts'")
@@ -127,37 +134,26 @@ def fit_model(train: DataFrame, target: str, kind: str, cts: list[str], cat: lis
         train.where(F.col(target).isNotNull()), cts if is_cat else [*cts, target], [*cat, target] if is_cat else cat)
     table = design_table(train, defs, cts, cat, target, kind)
     check = design_table(valid, defs, cts, cat, target, kind) if valid is not None else None
-    rows = table.select(array_to_vector("x").alias("features"), F.col("y").alias("label")).persist()
-    try:
-        if hidden:
-            sizes = [len(table.first()["x"]), *hidden, defs.n_levels[target]]
-            net, costs = _fit_rounds(rows, table, check, sizes, cts, cat, max_iter, patience, steps, start_from, seed)
-        else:
-            if is_cat:
-                m = LogisticRegression(family="multinomial", regParam=l2, maxIter=max_iter, standardization=False).fit(rows)
-                layer = (m.coefficientMatrix.toArray().T.tolist(), m.interceptVector.toArray().tolist(), "softmax")
-            else:
-                m = LinearRegression(regParam=l2, maxIter=max_iter, standardization=False).fit(rows)
-                layer = ([[c] for c in m.coefficients.toArray().tolist()], [m.intercept], "linear")
-            net = Network(cts, cat, [layer])
-            end = (m.summary.totalIterations, cost(table, net, kind), cost(check, net, kind) if check is not None else None)
-            # What the optimizer minimized at each step: the cost of the training rows, and the penalty when l2 > 0.
-            steps_before = list(m.summary.objectiveHistory)[:end[0]] if is_cat else []
-            costs = [*((k, float(c), None) for k, c in enumerate(steps_before)), end]
-    finally:
-        rows.unpersist()
-    return Fitted(net, defs, costs)
+    output = (defs.n_levels[target], "softmax") if is_cat else (1, "linear")
+    net = start_from.net if start_from else start_network(
+        cts, cat, {}, defs.n_levels, [*[(size, "sigmoid") for size in hidden], output], seed)
+    if not hidden and not start_from:
+        (w, b, act), = net.layers
+        net = Network(cts, cat, [(np.zeros_like(np.asarray(w)).tolist(), b, act)])
+    # The mean squared error has twice the curvature of its half, which the penalty belongs to.
+    net, costs = _steps(table, check, net, kind, _on_weights(net, l2 if is_cat else 2 * l2), max_iter, tol, patience)
+    return Fitted(_centred(net, l2 == 0) if is_cat and not hidden and len(net.layers) == 1 else net, defs, costs)
 
 
 def fit_network(train: DataFrame, target: str, kind: str, cts: list[str], cat: list[str], layers: list[tuple[int, str]],
                 emb: dict[str, int] | None = None, valid: DataFrame | None = None, epochs: int = 20, batch: int | None = None,
                 rates: tuple[float, float] = (0.01, 0.001), l2: float = 0.0, patience: int | None = None,
-                start_from: Fitted | None = None, seed: int = 10) -> Fitted:
+                start_from: Fitted | None = None, seed: int = 10, tol: float = TOLERANCE) -> Fitted:
     """Network of (size, activation) hidden ``layers`` with embedded features ``{name: dimension}``.
 
-    The output layer is added: softmax over the target's levels for "cat", one
-    linear value for "cts".  A step takes ``batch`` rows, by default a tenth of all.  Costs are cross-entropy, or root mean square error
-    of the normalized target.
+    The output layer is added: softmax over the target's levels for "cat", one linear value for "cts".  An epoch is one full-batch
+    step, which is one Spark job.  With a ``batch`` size it has a step, and a job, per batch of so many rows, at learning ``rates`` from the first
+    to the second.  Costs are cross-entropy, or root mean square error of the normalized target.
     """
     if valid is not None and not patience:
         raise ValueError("validation needs a patience")
@@ -169,26 +165,10 @@ def fit_network(train: DataFrame, target: str, kind: str, cts: list[str], cat: l
     check = design_table(valid, defs, cts, cat, target, kind, list(emb)) if valid is not None else None
     output = (defs.n_levels[target], "softmax") if is_cat else (1, "linear")
     net = start_from.net if start_from else start_network(cts, cat, emb, defs.n_levels, [*layers, output], seed)
+    if batch is None:
+        penalty = np.full(len(pack(net)), 2.0 * l2)
+        best, costs = _steps(table, check, net, kind, penalty, epochs, tol, patience)
+        return Fitted(best, defs, costs)
     held = None if check is None else (lambda now: cost(check, now, kind))
     best, costs = fit_epochs(table, net, kind, epochs, batch, rates, l2, held, patience)
     return Fitted(best, defs, costs)
-
-
-def _fit_rounds(rows, table, check, sizes, cts, cat, max_iter, patience, steps, start_from, seed):
-    weights = _to_weights(start_from.net) if start_from else None
-    best, best_cost, best_at, costs = None, math.inf, 0, []
-    per_round = steps if check is not None else max_iter
-    for r in range(1, math.ceil(max_iter / per_round) + 1):
-        fit = MultilayerPerceptronClassifier(layers=sizes, maxIter=per_round, seed=seed, tol=1e-9)
-        if weights is not None:
-            fit.setInitialWeights(Vectors.dense(weights))
-        weights = fit.fit(rows).weights.toArray()
-        net = _to_network(cts, cat, sizes, weights)
-        entry = (r * per_round, cost(table, net, "cat"), cost(check, net, "cat") if check is not None else None)
-        costs.append(entry)
-        now = entry[2] if check is not None else entry[1]
-        if now < best_cost:
-            best, best_cost, best_at = net, now, r
-        elif patience and r - best_at >= patience:
-            break
-    return best, costs

@@ -27,7 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass
 class Network:
-    """Dense layers on [z-scores, one-hot blocks, embedded features].
+    """Dense layers on [z-scores, a row of the first layer per level, embedded features].
 
     ``layers`` are (weights in x out, bias, activation); ``tables`` holds one
     levels x dim matrix per embedded feature.
@@ -82,15 +82,34 @@ def _activate(x: np.ndarray, act: str) -> np.ndarray:
     raise ValueError(f"unknown activation {act}")
 
 
-def forward(layers, tables, x: np.ndarray) -> np.ndarray:
-    """Network output for a batch; the last ``len(tables)`` inputs are embedded indices."""
-    if tables:
-        k = len(tables)
-        dense, idx = x[:, :-k], x[:, -k:].astype(int)
-        x = np.hstack([dense, *[t[idx[:, j]] for j, t in enumerate(tables)]])
-    for w, b, act in layers:
-        x = _activate(x @ w + b, act)
-    return x
+def first_inputs(x: np.ndarray, tables, n_cat: int):
+    """Parts of a design row: (continuous values, rows of the first layer that the levels pick, embedded indices, embedded values).
+
+    The first layer has a row for each continuous value, then one per level, then one for each embedded value.
+    """
+    k = len(tables)
+    n_cts = x.shape[1] - n_cat - k
+    index = x[:, x.shape[1] - k:].astype(int)
+    embedded = np.hstack([t[index[:, j]] for j, t in enumerate(tables)]) if k else np.empty((len(x), 0))
+    return x[:, :n_cts], x[:, n_cts:n_cts + n_cat].astype(int) + n_cts, index, embedded
+
+
+def first_sums(w: np.ndarray, b: np.ndarray, values: np.ndarray, rows: np.ndarray, embedded: np.ndarray) -> np.ndarray:
+    """First layer before its activation: a level adds its row of the weights, so no one-hot block is built."""
+    out = values @ w[:values.shape[1]] + b
+    for j in range(rows.shape[1]):
+        out += w[rows[:, j]]
+    return out + embedded @ w[len(w) - embedded.shape[1]:] if embedded.shape[1] else out
+
+
+def forward(layers, tables, x: np.ndarray, n_cat: int = 0) -> np.ndarray:
+    """Network output for a batch of design rows: continuous values, ``n_cat`` level rows, embedded indices."""
+    (w, b, act), *rest = layers
+    values, rows, _, embedded = first_inputs(x, tables, n_cat)
+    out = _activate(first_sums(w, b, values, rows, embedded), act)
+    for w, b, act in rest:
+        out = _activate(out @ w + b, act)
+    return out
 
 
 def network_output(net: Network, features: str, spark: SparkSession) -> Column:
@@ -99,14 +118,14 @@ def network_output(net: Network, features: str, spark: SparkSession) -> Column:
         [(np.asarray(w, dtype=float), np.asarray(b, dtype=float), act) for w, b, act in net.layers],
         [np.asarray(t, dtype=float) for t in net.tables],
     ))
-    width = net.n_out
+    width, n_cat = net.n_out, len(net.cat)
 
     @F.arrow_udf(returnType=T.ArrayType(T.DoubleType()))
     def score(inputs: pa.Array) -> pa.Array:
         n = len(inputs)
         flat = inputs.flatten().to_numpy(zero_copy_only=False)
         layers, tables = params.value
-        out = forward(layers, tables, flat.reshape(n, -1)) if n else np.empty((0, width))
+        out = forward(layers, tables, flat.reshape(n, -1), n_cat) if n else np.empty((0, width))
         ends = pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32))
         return pa.ListArray.from_arrays(ends, pa.array(out.ravel()))
 

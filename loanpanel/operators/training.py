@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanpanel.operators.network import LEAK, Network, _activate
+from loanpanel.operators.network import LEAK, Network, _activate, first_inputs, first_sums
 from loanpanel.sources.tables import stage
 
 # Executors get these functions themselves: they need not have this package installed.
@@ -77,16 +77,16 @@ def _slope(out: np.ndarray, act: str) -> np.ndarray:
     return np.ones_like(out)
 
 
-def batch_gradient(flat, shapes, acts, x, y, is_cat, copies=None) -> tuple[float, np.ndarray]:
+def batch_gradient(flat, shapes, acts, x, y, is_cat, copies=None, n_cat=0) -> tuple[float, np.ndarray]:
     """Summed loss of the rows, each counted ``copies`` times, and the gradient of their mean loss."""
     layers, tables = _unpack(flat, shapes, acts)
-    k, n = len(tables), len(x)
+    n = len(x)
     copies = np.ones(n) if copies is None else copies
     share = copies / copies.sum()
-    index = x[:, x.shape[1] - k:].astype(int)
-    h = np.hstack([x[:, :x.shape[1] - k], *[t[index[:, j]] for j, t in enumerate(tables)]])
-    outs = [h]
-    for w, b, act in layers:
+    values, rows, index, embedded = first_inputs(x, tables, n_cat)
+    (w, b, act), *rest = layers
+    outs = [None, _activate(first_sums(w, b, values, rows, embedded), act)]
+    for w, b, act in rest:
         outs.append(_activate(outs[-1] @ w + b, act))
     if is_cat:
         picked = outs[-1][np.arange(n), y.astype(int)]
@@ -100,21 +100,30 @@ def batch_gradient(flat, shapes, acts, x, y, is_cat, copies=None) -> tuple[float
         delta = (2.0 * share * miss)[:, None]
     grad = np.zeros_like(flat)
     g_layers, g_tables = _unpack(grad, shapes, acts)
-    for i in range(len(layers) - 1, -1, -1):
+    for i in range(len(layers) - 1, 0, -1):
         if i < len(layers) - 1:
             delta = delta * _slope(outs[i + 1], layers[i][2])
         g_layers[i][0][:] = outs[i].T @ delta
         g_layers[i][1][:] = delta.sum(axis=0)
         delta = delta @ layers[i][0].T
-    at = x.shape[1] - k
-    for j, t in enumerate(tables):
-        np.add.at(g_tables[j], index[:, j], delta[:, at:at + t.shape[1]])
-        at += t.shape[1]
+    if len(layers) > 1:
+        delta = delta * _slope(outs[1], layers[0][2])
+    first, w = g_layers[0][0], layers[0][0]
+    first[:values.shape[1]] = values.T @ delta
+    for j in range(rows.shape[1]):
+        np.add.at(first, rows[:, j], delta)
+    g_layers[0][1][:] = delta.sum(axis=0)
+    if tables:
+        first[len(w) - embedded.shape[1]:] = embedded.T @ delta
+        back, at = delta @ w[len(w) - embedded.shape[1]:].T, 0
+        for j, t in enumerate(tables):
+            np.add.at(g_tables[j], index[:, j], back[:, at:at + t.shape[1]])
+            at += t.shape[1]
     return loss, grad
 
 
-def in_batches(table: DataFrame, batch: int | None) -> tuple[DataFrame, int]:
-    """``x, y, copies, batch`` in a folder per batch, and the number of batches, each of about ``batch`` rows (a tenth of all).
+def in_batches(table: DataFrame, batch: int) -> tuple[DataFrame, int]:
+    """``x, y, copies, batch`` in a folder per batch, and the number of batches, each of about ``batch`` rows.
 
     The batch follows from ``key``, as ``x`` may differ in its last bits from run to run.
     Equal rows are counted once and their copies are dealt evenly over the batches, so rows that repeat
@@ -122,7 +131,7 @@ def in_batches(table: DataFrame, batch: int | None) -> tuple[DataFrame, int]:
     """
     alike = stage(table.groupBy("x", "y", "key").agg(F.count(F.lit(1)).alias("n")), "alike")
     total = alike.agg(F.sum("n")).first()[0] or 0
-    n_batches = max(1, math.ceil(total / batch)) if batch else 10
+    n_batches = max(1, math.ceil(total / batch))
     own = F.pmod(F.col("key"), F.lit(n_batches))
     turn = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("n"), F.lit(n_batches)) - 1)).alias("turn")
     dealt = alike.select("x", "y", "key", "n", turn).select(
@@ -133,7 +142,7 @@ def in_batches(table: DataFrame, batch: int | None) -> tuple[DataFrame, int]:
     return stage(dealt.drop("key"), "batches", by="batch"), n_batches
 
 
-def _sums(flat, shapes, acts, is_cat):
+def _sums(flat, shapes, acts, is_cat, n_cat):
     """Task body: gradient, loss and number of the task's rows, summed."""
     def add(batches):
         grad, rows, loss = np.zeros_like(flat), 0.0, 0.0
@@ -142,7 +151,7 @@ def _sums(flat, shapes, acts, is_cat):
                 continue
             x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
             y, copies = (part.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
-            err, g = batch_gradient(flat, shapes, acts, x, y, is_cat, copies.astype(float))
+            err, g = batch_gradient(flat, shapes, acts, x, y, is_cat, copies.astype(float), n_cat)
             grad, rows, loss = grad + g * copies.sum(), rows + copies.sum(), loss + err
         if rows:
             at = np.concatenate([np.arange(len(flat)), [ROWS, LOSS]]).astype(np.int32)
@@ -151,7 +160,7 @@ def _sums(flat, shapes, acts, is_cat):
     return add
 
 
-def train(table: DataFrame, net: Network, kind: str, epochs: int, batch: int | None, rates: tuple[float, float], l2: float,
+def train(table: DataFrame, net: Network, kind: str, epochs: int, batch: int, rates: tuple[float, float], l2: float,
           check_cost, patience: int | None) -> tuple[Network, list[tuple[int, float, float | None]]]:
     """Best network and the cost of every epoch on (x, y, key) rows.
 
@@ -169,7 +178,7 @@ def train(table: DataFrame, net: Network, kind: str, epochs: int, batch: int | N
         rate = rates[0] + (rates[1] - rates[0]) * (e - 1) / max(epochs - 1, 1)
         rows = loss = 0.0
         for b in range(n_batches):
-            body = _sums(flat, shapes, acts, kind == "cat")
+            body = _sums(flat, shapes, acts, kind == "cat", len(net.cat))
             sums = dealt.where(F.col("batch") == b).select("x", "y", "copies").mapInArrow(
                 body, "at int, value double").groupBy("at").agg(
                 F.sum("value").alias("value")).toPandas().set_index("at")["value"]  # one row per weight

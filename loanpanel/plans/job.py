@@ -83,12 +83,12 @@ class ModelBlock:
     cts: list[str] = field(default_factory=list)
     cat: list[str] = field(default_factory=list)
     valid: Source | None = None
-    hidden: list[int] = field(default_factory=list)  # sigmoid layers, fitted by pyspark.ml
-    layers: list[tuple[int, str]] = field(default_factory=list)  # (size, activation), fitted by epochs
-    emb: dict[str, int] = field(default_factory=dict)  # embedded feature: dimension; fitted by epochs
+    hidden: list[int] = field(default_factory=list)  # sigmoid layers
+    layers: list[tuple[int, str]] = field(default_factory=list)  # (size, activation)
+    emb: dict[str, int] = field(default_factory=dict)  # embedded feature: dimension
     l2: float = 0.0
     max_iter: int = 100  # iterations, or epochs
-    batch_size: int | None = None  # rows of a step, which is one Spark job; a tenth of all by default
+    batch_size: int | None = None  # of layers and embeddings: rows of a step, which is one Spark job; all rows by default
     learning_rate: tuple[float, float] = (0.01, 0.001)
     patience: int | None = None
     start_from: Fitted | None = None

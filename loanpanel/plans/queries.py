@@ -470,8 +470,8 @@ def unseen_default(spark, sf):
 def one_hot(spark, sf):
     defs = features.fit_features(model_loans(spark, sf), [], ["purpose", "term"])
     ready = features.apply_features(loans(spark, sf), defs)
-    ready = features.design(ready, defs, [], ["purpose", "term"])
-    return ready.select("loan_id", *[F.col("features")[i].alias(f"x{i}") for i in range(8)])
+    hot = F.concat(*[features.one_hot(F.col(f"i_{c}"), defs.n_levels[c]) for c in ("purpose", "term")])
+    return ready.withColumn("hot", hot).select("loan_id", *[F.col("hot")[i].alias(f"x{i}") for i in range(8)])
 
 
 # ---- scoring ----
@@ -694,13 +694,12 @@ def linear_fit(spark, sf):
 
 @query
 def softmax_rates(spark, sf):
-    """Mean probability of each class by level: an unpenalized softmax fit with the level as a feature meets the class rates."""
+    """Expected rows of each class by level: an unpenalized softmax fit with the level as a feature meets the class counts."""
     rows = model_loans(spark, sf).withColumn("y", F.when(F.col("fico") + F.col("ltv") > 780, "hi").otherwise("lo"))
     fitted = models.fit_model(rows, "y", "cat", ["rate"], ["purpose"])
     scored = network.score_network(rows, fitted.net, fitted.defs)
-    out = scored.groupBy("purpose").agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("probs")[0]).alias("p_hi"),
-                                        F.avg(F.col("probs")[1]).alias("p_lo"))
-    return rounded(out, {"p_hi": 3, "p_lo": 3})
+    return scored.groupBy("purpose").agg(F.count(F.lit(1)).alias("n"), *[
+        F.round(F.sum(F.col("probs")[k])).cast("long").alias(name) for k, name in enumerate(("n_hi", "n_lo"))])
 
 
 # ---- fits without a closed form ----
@@ -717,8 +716,7 @@ def model_softmax(spark, sf):
 def model_hidden(spark, sf):
     base = loans(spark, sf).withColumn("y", F.when((F.col("fico") > 650) & (F.col("ltv") > 75), "hi").otherwise("lo"))
     train, valid, _ = features.bucket_split(base)
-    return models.fit_model(train, "y", "cat", ["fico", "ltv"], [], valid, [4], max_iter=60, patience=2,
-                            steps=15).cost_table(spark)
+    return models.fit_model(train, "y", "cat", ["fico", "ltv"], [], valid, [4], max_iter=60, patience=5).cost_table(spark)
 
 
 @query
@@ -743,6 +741,16 @@ def model_network_regression(spark, sf):
     return models.fit_network(train, "y", "cts", ["fico", "ltv"], [], [(8, "relu")], None, valid, 10, patience=3).cost_table(spark)
 
 
+@query
+def model_warm_start(spark, sf):
+    """A fit goes on where another one ended: gap between the first cost and the last one of the model it starts from."""
+    rows = model_loans(spark, sf).withColumn("y", F.when(F.col("fico") + F.col("ltv") > 780, "hi").otherwise("lo"))
+    first = models.fit_model(rows, "y", "cat", ["fico", "ltv"], ["purpose"], l2=1e-4, max_iter=4)
+    more = models.fit_model(rows, "y", "cat", ["fico", "ltv"], ["purpose"], l2=1e-4, max_iter=4, start_from=first)
+    gap, gain = more.costs[0][1] - first.costs[-1][1], more.costs[-1][1] - more.costs[0][1]
+    return rows.agg(F.count(F.lit(1)).alias("n")).select("n", F.round(F.lit(gap), 9).alias("gap"), F.lit(gain < 0).alias("went_on"))
+
+
 @query
 def job_hazard(spark, sf):
     """Two-stage build, softmax fit on the delinquency class, assessment by slice."""

@@ -2,11 +2,12 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from loanpanel.operators import assess, calibrate, features, models, network, training
+from loanpanel.operators import assess, calibrate, features, models, network, quasi_newton, training
 from loanpanel.plans.job import Job, run
 from loanpanel.plans.queries import FIXED_NET
 from loanpanel.sources import fixtures as fx
@@ -18,17 +19,93 @@ def loans(spark, sf):
     return fx.staged(spark, sf, "loans").withColumn("y", F.when(F.col("fico") + F.col("ltv") > 780, "hi").otherwise("lo"))
 
 
-def test_perceptron_weights_score_the_same_in_a_network(spark, loans):
-    defs = features.fit_features(loans, ["fico", "ltv"], ["purpose", "y"])
-    table = models.design_table(loans, defs, ["fico", "ltv"], ["purpose"], "y", "cat")
-    rows = table.select("x", array_to_vector("x").alias("features"), F.col("y").alias("label"))
-    sizes = [len(table.first()["x"]), 3, 2]
-    fit = MultilayerPerceptronClassifier(layers=sizes, maxIter=5, seed=1).fit(rows)
-    net = models._to_network(["fico", "ltv"], ["purpose"], sizes, fit.weights.toArray())
-    assert np.allclose(models._to_weights(net), fit.weights.toArray())
-    both = fit.transform(rows).select("x", vector_to_array("probability").alias("p"))
-    both = both.withColumn("q", network.network_output(net, "x", spark)).toPandas()
-    assert np.allclose(np.stack(both["p"]), np.stack(both["q"]))
+def dense(net, defs, x):
+    """The network's output by plain products over one-hot blocks."""
+    n, width = len(net.cts), sum(defs.n_levels[c] for c in net.cat)
+    blocks = np.zeros((len(x), width))
+    for j in range(len(net.cat)):
+        blocks[np.arange(len(x)), x[:, n + j].astype(int)] = 1.0
+    h = np.hstack([x[:, :n], blocks])
+    for w, b, act in net.layers:
+        h = network._activate(h @ np.asarray(w) + np.asarray(b), act)
+    return h
+
+
+def test_levels_enter_as_rows_of_the_first_layer(spark, loans):
+    defs = features.fit_features(loans, ["fico", "ltv"], ["purpose", "state", "y"])
+    table = models.design_table(loans, defs, ["fico", "ltv"], ["purpose", "state"], "y", "cat")
+    assert table.where(F.size("x") != 4).isEmpty()  # no more numbers than features
+    net = training.start_network(["fico", "ltv"], ["purpose", "state"], {}, defs.n_levels, [(3, "sigmoid"), (2, "softmax")], 1)
+    got = table.withColumn("q", network.network_output(net, "x", spark)).toPandas()
+    assert np.allclose(dense(net, defs, np.stack(got["x"])), np.stack(got["q"]))
+
+
+@pytest.mark.parametrize("kind", ["cat", "cts"])
+def test_steps_end_at_the_weights_of_the_public_fit(spark, loans, kind):
+    """Penalized softmax and linear fits have one optimum; unpenalized ones without levels too, centred over the classes."""
+    rows = loans.withColumn("t", F.col("fico") * 0.3 - F.col("ltv") + F.col("rate"))
+    target = "y" if kind == "cat" else "t"
+    for cat, l2 in ((["purpose"], 1e-2), ([], 1e-3)):
+        fitted = models.fit_model(rows, target, kind, ["rate", "ltv"], cat, l2=l2, max_iter=200, tol=1e-12)
+        table = models.design_table(rows, fitted.defs, ["rate", "ltv"], cat, target, kind)
+        width = fitted.defs.n_levels.get("purpose", 0) if cat else 0
+        vectors = table.select(array_to_vector(F.concat(F.slice("x", 1, 2), *[F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)), lambda k: (k == F.col("x")[2]).cast("double"))] * bool(cat))).alias("features"),
+            F.col("y").alias("label"))
+        if kind == "cat":
+            m = LogisticRegression(family="multinomial", regParam=l2, maxIter=500, tol=1e-14, standardization=False).fit(vectors)
+            want = (m.coefficientMatrix.toArray().T, m.interceptVector.toArray())
+        else:
+            m = LinearRegression(regParam=l2, maxIter=500, tol=1e-14, standardization=False, solver="l-bfgs").fit(vectors)
+            want = (m.coefficients.toArray()[:, None], np.array([m.intercept]))
+        (w, b, _), = fitted.net.layers
+        assert np.allclose(w, want[0], atol=1e-6) and np.allclose(b, want[1], atol=1e-6)
+
+
+def test_every_step_has_both_costs_and_patience_ends_the_fit(spark, loans):
+    train, valid, _ = features.bucket_split(loans)
+    noise = valid.withColumn("y", F.when(F.pmod(F.xxhash64("loan_id"), F.lit(2)) == 0, "hi").otherwise("lo"))
+    fitted = models.fit_model(train, "y", "cat", ["fico", "ltv"], ["state"], noise, max_iter=80, patience=3)
+    steps, held = [c[0] for c in fitted.costs], [c[2] for c in fitted.costs]
+    assert steps == list(range(len(steps))) and None not in held and len(steps) < 60
+    assert fitted.best_step == int(np.argmin(held)) and steps[-1] == fitted.best_step + 3
+    table = models.design_table(noise, fitted.defs, ["fico", "ltv"], ["state"], "y", "cat")
+    assert models.cost(table, fitted.net, "cat") == pytest.approx(min(held), abs=1e-9)  # the best step's weights are kept
+    falling = [c[1] for c in fitted.costs]
+    assert all(a >= b for a, b in zip(falling, falling[1:]))
+
+
+def test_a_step_is_one_job(spark, loans):
+    table = models.design_table(loans, features.fit_features(loans, ["fico"], ["y"]), ["fico"], [], "y", "cat")
+    rows = table.select("x", "y", F.lit(False).alias("held"))
+    net = training.start_network(["fico"], [], {}, {"y": 2}, [(4, "relu"), (2, "softmax")], 3)
+    calls = []
+    start = training.pack(net)
+
+    def evaluated(points):
+        calls.append(len(points))
+        return quasi_newton.evaluate(rows, net, "cat", np.zeros_like(start), points)
+
+    seen = []
+    quasi_newton.minimize(evaluated, start, 12, 1e-9, lambda step, point: seen.append(point.cost) or True)
+    assert len(calls) <= len(seen) + 3 and seen[-1] < seen[0]
+
+
+def test_full_batch_network_does_not_depend_on_partitions(spark):
+    rows = spark.range(600).selectExpr("id", "(id % 97) / 10.0 AS x", "id % 3 AS g", "IF(id % 97 > 40, 'a', 'b') AS y")
+    fits = [models.fit_network(rows.repartition(n, "id"), "y", "cat", ["x"], [], [(4, "sigmoid")], {"g": 2}, epochs=6) for n in (1, 7)]
+    assert np.allclose([c[1] for c in fits[0].costs], [c[1] for c in fits[1].costs], atol=1e-9)
+    assert np.allclose(training.pack(fits[0].net), training.pack(fits[1].net), atol=1e-6)
+
+
+def test_quasi_newton_on_a_valley():
+    def evaluated(points):
+        return [quasi_newton.Point(p, (1 - p[0]) ** 2 + 100 * (p[1] - p[0] ** 2) ** 2,
+                                   np.array([-2 * (1 - p[0]) - 400 * p[0] * (p[1] - p[0] ** 2), 200 * (p[1] - p[0] ** 2)]), 0.0, None)
+                for p in points]
+
+    end = quasi_newton.minimize(evaluated, np.array([-1.2, 1.0]), 200, 1e-9, lambda step, point: True)
+    assert np.allclose(end.weights, [1, 1], atol=1e-8)
 
 
 def test_softmax_fit_beats_the_base_rate_and_survives_saving(spark, loans, tmp_path):
@@ -41,13 +118,13 @@ def test_softmax_fit_beats_the_base_rate_and_survives_saving(spark, loans, tmp_p
     assert a == b and back.defs.defaults == fitted.defs.defaults
 
 
-def test_rounds_stop_and_continue(spark, loans):
+def test_hidden_layers_stop_and_continue(spark, loans):
     train, valid, _ = features.bucket_split(loans)
-    first = models.fit_model(train, "y", "cat", ["fico", "ltv"], [], valid, [3], max_iter=40, patience=1, steps=5)
+    first = models.fit_model(train, "y", "cat", ["fico", "ltv"], [], valid, [3], max_iter=40, patience=5)
     assert first.costs[-1][0] <= 40 and first.best_step in [c[0] for c in first.costs]
-    more = models.fit_model(train, "y", "cat", ["fico", "ltv"], [], valid, [3], max_iter=5, patience=1, steps=5,
-                            start_from=first)
-    assert more.costs[0][1] <= first.costs[0][1]
+    more = models.fit_model(train, "y", "cat", ["fico", "ltv"], [], valid, [3], max_iter=5, patience=5, start_from=first)
+    best = first.costs[first.best_step]
+    assert more.costs[0][0] == 0 and more.costs[0][1:] == pytest.approx(best[1:], abs=1e-9)
     assert first.cost_table(spark).where("best").count() == 1
 
 
