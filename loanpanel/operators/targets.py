@@ -17,7 +17,8 @@ from loanpanel.functions.expr import (
     months_apart,
     yes_no,
 )
-from loanpanel.operators.sampling import SEED, narrowed, stratified_sample
+from loanpanel.operators.sampling import SEED, narrowed, strata_rates, stratified_sample
+from loanpanel.operators.sketch import draw_in_one_pass
 from loanpanel.sources.profile import SourceProfile
 from loanpanel.sources.tables import BROADCAST_ROWS, checked_months, stage
 
@@ -81,7 +82,13 @@ def target_rows(joined: DataFrame, profile: SourceProfile, max_months: int = MAX
     start = F.greatest(F.array_position("_h_month", F.col("ao_dt")).cast("int"), F.lit(1))
     flat = flat.withColumn("_start", start)
     trimmed = flat.withColumns({a: F.slice(a, F.col("_start"), max_months + 1) for a in arrays})
-    rows = trimmed.select("*", F.posexplode("_h_month").alias("_pos", "_month"))
+    if "_dates" in joined.columns:  # only the wanted months become rows
+        wanted = F.filter(F.transform("_h_month", lambda m, i: F.struct(i.alias("pos"), m.alias("month"))),
+                          lambda at: F.array_contains("_dates", at["month"]))
+        rows = trimmed.withColumn("_at", F.explode(wanted)).withColumns({"_pos": F.col("_at.pos"), "_month": F.col("_at.month")})
+        rows = rows.drop("_at", "_dates")
+    else:
+        rows = trimmed.select("*", F.posexplode("_h_month").alias("_pos", "_month"))
     rows = rows.withColumns({
         name: F.col("_month") if f == "month" else F.get(F.col(f"_h_{f}"), F.col("_pos"))
         for name, f in profile.monthly.items()
@@ -117,27 +124,36 @@ def explode_targets(joined: DataFrame, profile: SourceProfile, where: Column | s
     return rows if cond is None else rows.where(cond)
 
 
-def sample_targets(joined: DataFrame, profile: SourceProfile, strata: list[str], n: int,
-                   where: Column | str | None = None, max_months: int = MAX_FORECAST, covid=COVID,
-                   first_period: int = FIRST_PERIOD, seed: int = SEED, exact: bool = False,
-                   rates: DataFrame | None = None) -> DataFrame:
-    """Pass 2: target rows sampled over ``strata``; only the sampled ones get all their columns.
+def draw_targets(joined: DataFrame, profile: SourceProfile, strata: list[str], n: int,
+                 where: Column | str | None = None, max_months: int = MAX_FORECAST, covid=COVID,
+                 first_period: int = FIRST_PERIOD, seed: int = SEED, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Pass 2: ``(target rows sampled over strata, strata table)``; only the sampled rows get all their columns.
 
-    The pairs outnumber ``joined`` some thirty times, so the draw explodes their
-    keys and strata alone.  The drawn target dates then go back to their as-of
-    rows, at most ``max_months + 1`` to each.
+    The pairs outnumber ``joined`` some thirty times.  One explode of their keys and strata gives the counts and the draw
+    (two for an exact sample).  The drawn target dates then go back to their as-of rows, at most ``max_months + 1`` to
+    each, and only they become rows.
     """
     keys = ["loan_id", "ao_dt", "trg_dt"]
     pairs = narrowed(target_rows(joined, profile, max_months), where, strata)
     if pairs is None:
         pairs = explode_targets(joined, profile, where, max_months, covid, first_period)
     thin = pairs.select(*dict.fromkeys([*keys, *strata]))
-    drawn = stage(stratified_sample(thin, strata, n, keys, seed, exact, rates).select(*keys), "drawn")
+    if exact:
+        rates = stage(strata_rates(thin, strata, n), "pass2-rates")
+        picked = stratified_sample(thin, strata, n, keys, seed, True, rates)
+    else:
+        picked, rates = draw_in_one_pass(thin, strata, n, keys, seed)
+    drawn = stage(picked.select(*keys), "drawn")
     dates = drawn.groupBy("loan_id", "ao_dt").agg(F.collect_set("trg_dt").alias("_dates"))
     small = drawn.count() <= BROADCAST_ROWS
     picked = joined.join(F.broadcast(dates) if small else dates, ["loan_id", "ao_dt"])
-    rows = target_rows(picked, profile, max_months).where(F.array_contains("_dates", F.col("trg_dt"))).drop("_dates")
-    return target_features(rows, covid, first_period)
+    return target_features(target_rows(picked, profile, max_months), covid, first_period), rates
+
+
+def sample_targets(joined: DataFrame, profile: SourceProfile, strata: list[str], n: int, where: Column | str | None = None,
+                   **options) -> DataFrame:
+    """The rows of ``draw_targets``."""
+    return draw_targets(joined, profile, strata, n, where, **options)[0]
 
 
 def target_pairs(sample: DataFrame, loans: DataFrame, profile: SourceProfile, where: Column | str | None = None,

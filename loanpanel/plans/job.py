@@ -32,8 +32,7 @@ from loanpanel.operators.targets import (
     FIRST_PERIOD,
     MAX_FORECAST,
     carried_columns,
-    explode_targets,
-    sample_targets,
+    draw_targets,
     uncensored,
     window_rows,
 )
@@ -139,7 +138,10 @@ def _kept(at: Stage, drawn: DataFrame, label: str) -> DataFrame:
 
 
 def _rates(at: Stage, rows: DataFrame, label: str) -> DataFrame:
-    rates = stage(strata_rates(rows, at.strata, at.n), f"{label}-strata")
+    return _kept_rates(at, stage(strata_rates(rows, at.strata, at.n), f"{label}-strata"))
+
+
+def _kept_rates(at: Stage, rates: DataFrame) -> DataFrame:
     if at.strata_out:
         rates.write.mode("overwrite").parquet(at.strata_out)
     return rates
@@ -150,8 +152,7 @@ def build_data(block: DataBlock) -> DataFrame:
 
     Pass 1 rows keep the part of their history that pass 2 can reach, so with a
     moderate number of strata the loan table is scanned twice and never
-    shuffled.  The strata count and the draw of pass 2 both explode that staged
-    sample.
+    shuffled.  Pass 2 explodes that staged sample once, for the strata counts and the draw.
     """
     one, two, profile = block.stage1, block.stage2, block.profile
     era = {"covid": block.covid, "first_period": block.first_period}
@@ -171,9 +172,8 @@ def build_data(block: DataBlock) -> DataFrame:
         drawn = stratified_sample(pairs, two.strata, two.n, ["loan_id", "ao_dt", "trg_dt"], block.seed, block.exact,
                                   _rates(two, pairs, "pass2"))
     else:
-        pairs = explode_targets(joined, profile, two.where, **era)
-        drawn = sample_targets(joined, profile, two.strata, two.n, two.where, seed=block.seed, exact=block.exact,
-                               rates=_rates(two, pairs, "pass2"), **era)
+        drawn, rates = draw_targets(joined, profile, two.strata, two.n, two.where, seed=block.seed, exact=block.exact, **era)
+        _kept_rates(two, rates)
     full = add_economics(_kept(two, drawn, "pass2"), block.econ, block.geo, block.base_month)
     write_sorted(full, block.out, block.sort_key)
     return full.sparkSession.read.schema(full.schema).parquet(block.out)
