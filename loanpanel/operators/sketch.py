@@ -67,12 +67,18 @@ class BottomRows:
             self.shrink()
 
     def _ids_of(self, batch: pa.RecordBatch) -> np.ndarray:
-        code = np.zeros(batch.num_rows, np.int64)
+        n, code, size = batch.num_rows, np.zeros(batch.num_rows, np.int64), 1
         for name in self.strata:
             levels = batch.column(name).dictionary_encode(null_encoding="encode")
-            code = code * max(len(levels.dictionary), 1) + levels.indices.to_numpy(zero_copy_only=False)
-            _, code = np.unique(code, return_inverse=True)  # small again, whatever the number of columns
-        _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
+            code = code * len(levels.dictionary) + levels.indices.to_numpy(zero_copy_only=False)
+            size *= len(levels.dictionary)
+            if size > 4 * n:  # few of the combinations are there: number those
+                _, code = np.unique(code, return_inverse=True)
+                size = int(code.max()) + 1
+        first = np.full(size, -1)
+        first[code[::-1]] = np.arange(n)[::-1]
+        present = first >= 0
+        first, inverse = first[present], (np.cumsum(present) - 1)[code]
         found = zip(*(batch.column(name).take(pa.array(first)).to_pylist() for name in self.strata))
         own = np.array([self.ids.setdefault(level, len(self.ids)) for level in found], np.int64)
         new = len(self.ids) - len(self.n)
