@@ -431,7 +431,6 @@ def test_packing(spark, tables):
     import public_tokenizers
     from tokenizers import Tokenizer
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    exact.encode_special_tokens = True
     for folder in tables:
         docs = spark.read.parquet(f"{folder}/documents.parquet")
         pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()
