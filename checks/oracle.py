@@ -6,13 +6,13 @@ N1, N2, WINDOW, SEED, LEVEL_SEED = 20_000, 10_000, 24, 10, 11
 
 # The tables the queries are read from, as common table expressions.
 TABLES = """
-fx_om as (
+fx_om as materialized (
   select o_custkey as k, cast(date_trunc('month', o_orderdate) as date) as m,
          cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents,
          max(o_orderstatus) as st, max(o_orderpriority) as pr
   from orders group by 1, 2),
-fx_b as (select k, min(m) as fp, max(m) as lp, cast(sum(cents) as bigint) as tot from fx_om group by 1),
-fx_loan as (
+fx_b as materialized (select k, min(m) as fp, max(m) as lp, cast(sum(cents) as bigint) as tot from fx_om group by 1),
+fx_loan as materialized (
   select c_custkey as loan_id, fp as fp_dt, lp as last_dt,
     lpad(cast(c_nationkey as varchar), 3, '0') as zip3, concat('S', cast(c_nationkey as varchar)) as state,
     case when c_nationkey % 5 = 0 then '00000' else lpad(cast(c_nationkey * 7 as varchar), 5, '0') end as msa,
@@ -28,7 +28,7 @@ fx_loan as (
   from customer join fx_b on c_custkey = k),
 fx_cal as (
   select k, fp, lp, tot, cast(unnest(generate_series(fp, lp, interval 1 month)) as date) as m from fx_b),
-fx_month as (
+fx_month as materialized (
   select c.k as loan_id, c.m as month, cast(datediff('month', c.fp, c.m) as int) as age_fp_dt,
     (c.tot - cast(sum(coalesce(o.cents, 0)) over w as bigint)) / 100e0 as upb,
     cast(datediff('month', max(case when o.k is not null then c.m end) over w, c.m) as int) as dq,
@@ -40,7 +40,7 @@ fx_month as (
     case when o.k is null then 'unknown' else concat('SV', cast(o.cents % 5 as varchar)) end as servicer
   from fx_cal c left join fx_om o on o.k = c.k and o.m = c.m
   window w as (partition by c.k order by c.m rows between unbounded preceding and current row)),
-fx_econ as (
+fx_econ as materialized (
   select c_custkey as zip, lpad(cast(c_nationkey as varchar), 3, '0') as zip3, cast(g.m as date) as month,
     100e0 + c_nationkey + 0.4e0 * datediff('month', date '1995-01-01', g.m) as zip3_hpi,
     3e0 + ((c_custkey + datediff('month', date '1995-01-01', g.m)) % 50) / 10e0 as unemp_rate,
@@ -98,7 +98,7 @@ every as (
     case when ao_times60 > 0 then 'Y' else 'N' end as ao_prior60,
     case when ao_times90p > 0 then 'Y' else 'N' end as ao_prior90p
   from hist where failed <> 'fico' and not all_failed and ao_rem_term > 0),
-panel as (
+panel as materialized (
   select * from every where ao_age >= 0 and ao_dq >= 0 and ao_dq <= 24 and ao_upb > 10000 and ao_zb = '00')"""
 
 PAIRS = """
@@ -349,13 +349,18 @@ def oracle() -> dict[str, str]:
       where trg_zb = '00' and fcst_month > 0 group by 1, 2""", PANEL, pairs)
 
     active = "trg_zb in ('00', '01', '03', '09')"
-    out["target_window"] = sql(f"""select loan_id, ao_dt, window_ as "window", trg_dt, trg_age, fcst_month, f_index,
-      l_index, end_age, trg_zb, round(trg_rate, 6) as trg_rate, target_pp, target_default, target_dq120, target_mod,
-      trg_yr_qtr, periods, covid from windowed where {active}""", PANEL, WINDOWED)
-    out["window_balance"] = sql(f"""select loan_id, ao_dt, trg_rem_term, round(trg_r, 10) as trg_r,
-      round(trg_upb_exp, 3) as trg_upb_exp,
-      round(pay_r * trg_upb_exp / (1e0 - pow(1e0 + pay_r, -trg_rem_term)), 4) as trg_payment
-      from windowed where {active}""", PANEL, WINDOWED)
+    def row_hash(*columns: str) -> str:
+        parts = ", ".join(f"cast({c} as varchar)" for c in columns)
+        return f"cast(sum(('0x' || substr(md5(concat_ws('|', {parts}, 'row')), 1, 7))::bigint) as bigint) as row_hash"
+
+    whole = row_hash("ao_dt", "window_", "trg_dt", "trg_age", "fcst_month", "f_index", "l_index", "end_age", "trg_zb", "target_pp",
+                     "target_default", "target_dq120", "target_mod", "trg_yr_qtr", "periods", "covid")
+    out["target_window"] = sql(f"""select loan_id, count(*) as n, {whole}, round(sum(trg_rate), 6) as trg_rate
+      from windowed where {active} group by 1""", PANEL, WINDOWED)
+    out["window_balance"] = sql(f"""select loan_id, count(*) as n, {row_hash("ao_dt", "trg_rem_term")}, round(sum(trg_r), 9) as trg_r,
+      round(sum(trg_upb_exp), 2) as trg_upb_exp,
+      round(sum(pay_r * trg_upb_exp / (1e0 - pow(1e0 + pay_r, -trg_rem_term))), 3) as trg_payment
+      from windowed where {active} group by 1""", PANEL, WINDOWED)
     events = ", ".join(f"cast(sum({c}) as bigint) as {c}" for c in
                        ("target_pp", "target_default", "target_dq120", "target_mod", "end_age"))
     out["target_window_pay_plan"] = sql(f"""select msa_loc, trg_yr_qtr, count(*) as n, {events} from windowed
@@ -413,10 +418,11 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
       a.fc_type as ao_fc_type from panel p join e a on a.zip3 = p.zip3 and a.month = p.ao_dt
       join e o on o.zip3 = p.zip3 and o.month = p.fp_dt join e y on y.zip3 = p.zip3 and y.month = date '1998-01-01'""",
                                  PANEL, ECON)
-    out["zip_lookup"] = sql("""select p.loan_id, p.ao_dt, round(a.unemp_rate, 6) as ao_unemp_rate,
-      round(o.unemp_rate, 6) as org_unemp_rate, round(a.lbr_force, 2) as ao_lbr_force, o.fc_type as org_fc_type
+    out["zip_lookup"] = sql(f"""select p.loan_id, count(*) as n, {row_hash("p.ao_dt", "o.fc_type")},
+      round(sum(a.unemp_rate), 5) as ao_unemp_rate, round(sum(o.unemp_rate), 5) as org_unemp_rate,
+      round(sum(a.lbr_force), 1) as ao_lbr_force
       from panel p join fx_econ a on a.zip = p.loan_id and a.month = p.ao_dt
-      join fx_econ o on o.zip = p.loan_id and o.month = p.fp_dt""", PANEL)
+      join fx_econ o on o.zip = p.loan_id and o.month = p.fp_dt group by 1""", PANEL)
     out["econ_losses"] = sql(f"""select u.lookup, u.lost, n as n_rows from (
       select count(*) as n, count(*) filter (where b.month is null) as l1, count(*) filter (where c.month is null) as l2,
         count(*) filter (where d.month is null) as l3, count(*) filter (where y.month is null) as l4,

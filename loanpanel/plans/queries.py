@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanpanel.functions.expr import month_index
+from loanpanel.functions.expr import hash28
 from loanpanel.operators import assess, calibrate, econ, features, models, network, panel, running, sampling, targets
 from loanpanel.plans.job import AssessBlock, DataBlock, Job, ModelBlock, Stage, run
 from loanpanel.session import tune
@@ -163,18 +164,23 @@ def target_filtered(spark, sf):
     return pairs(spark, sf, WHERE2).groupBy("fcst_month", "trg_dq").agg(F.count(F.lit(1)).alias("n"))
 
 
+def by_loan(df, whole, sums):
+    """Per loan: rows, sum of a hash of all ``whole`` columns of each row, and sums of the others."""
+    out = df.groupBy("loan_id").agg(F.count(F.lit(1)).alias("n"), F.sum(hash28(*whole, seed="row")).alias("row_hash"),
+                                    *[F.sum(c).alias(c) for c in sums])
+    return rounded(out, sums)
+
+
 @query
 def target_window(spark, sf):
-    out = windowed(spark, sf).select("loan_id", "ao_dt", "window", "trg_dt", "trg_age", "fcst_month", "f_index",
-                                     "l_index", "end_age", "trg_zb", "trg_rate", "target_pp", "target_default",
-                                     "target_dq120", "target_mod", "trg_yr_qtr", "periods", "covid")
-    return rounded(out, {"trg_rate": 6})
+    return by_loan(windowed(spark, sf), ("ao_dt", "window", "trg_dt", "trg_age", "fcst_month", "f_index", "l_index", "end_age", "trg_zb",
+                                         "target_pp", "target_default", "target_dq120", "target_mod", "trg_yr_qtr", "periods",
+                                         "covid"), {"trg_rate": 6})
 
 
 @query
 def window_balance(spark, sf):
-    out = windowed(spark, sf).select("loan_id", "ao_dt", "trg_rem_term", "trg_r", "trg_upb_exp", "trg_payment")
-    return rounded(out, {"trg_r": 10, "trg_upb_exp": 3, "trg_payment": 4})
+    return by_loan(windowed(spark, sf), ("ao_dt", "trg_rem_term"), {"trg_r": 9, "trg_upb_exp": 2, "trg_payment": 3})
 
 
 @query
@@ -357,8 +363,7 @@ def zip_lookup(spark, sf):
     base = as_of(spark, sf, keep=("fp_dt",)).select("loan_id", "ao_dt", F.col("loan_id").alias("zip"), "fp_dt")
     out = econ.multi_date_join(base, fx.staged(spark, sf, "econ"), {"ao": "ao_dt", "org": "fp_dt"}, "zip",
                                columns=("unemp_rate", "lbr_force", "fc_type"), limit=0)
-    out = out.select("loan_id", "ao_dt", "ao_unemp_rate", "org_unemp_rate", "ao_lbr_force", "org_fc_type")
-    return rounded(out, {"ao_unemp_rate": 6, "org_unemp_rate": 6, "ao_lbr_force": 2})
+    return by_loan(out, ("ao_dt", "org_fc_type"), {"ao_unemp_rate": 5, "org_unemp_rate": 5, "ao_lbr_force": 1})
 
 
 @query
