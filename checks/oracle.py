@@ -309,6 +309,21 @@ def two_stage(select: str, *more: str) -> str:
                draw("hazard", ["fcst_month"], ["loan_id", "ao_dt", "trg_dt"], N2, "second_pass", "r2"), *more)
 
 
+def assessed(feature: str, slicer: str, curve: str | None) -> str:
+    """Of the rows ``held``: sizes of deciles and slices, and observed means of segments and of a curve."""
+    classes = curve is not None
+    parts = [f"""select 'segment' as of, cast({slicer} as varchar) as slice, cast({feature} as varchar) as level, count(*) as n,
+      round(avg(obs), 6) as obs from held group by all"""]
+    for label, by in (("overall", "'Overall'"), ("sliced", f"cast({slicer} as varchar)")):
+        parts.append(f"""select '{label} decile', slice, cast(d as varchar), n // 10 + cast(d <= n % 10 as int), 0e0
+          from (select {by} as slice, count(*) as n from held group by 1), range(1, 11) t(d) where n // 10 + cast(d <= n % 10 as int) > 0""")
+        parts.append(f"""select '{label} {'classes' if classes else 'rows'}', {by}, 'all', count(*),
+          {'round(avg(obs), 6)' if classes else '0e0'} from held group by all""")
+    if curve:
+        parts.append(f"select 'curve', 'Overall', cast({curve} as varchar), count(*), round(avg(obs), 6) from held group by all")
+    return " union all ".join(parts)
+
+
 def oracle() -> dict[str, str]:
     pairs = PAIRS.format(sample="panel")
     strata = ["state", "ao_dq_cap6"]
@@ -456,6 +471,21 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
         from full_rows""", ECON,
         FULL.format(rows="(select *, case when trg_rate > 0 then trg_r else ao_r end as pay_r from second_pass)"))
 
+    paid = "(select *, case when trg_rate > 0 then trg_r else ao_r end as pay_r from {})"
+    out["job_hazard"] = two_stage(
+        assessed("purpose", "ao_dq_cap6", "trg_yr_qtr"), ECON, FULL.format(rows=paid.format("second_pass")),
+        "\nheld as (select *, case when target_dq between 4 and 12 then 1e0 else 0e0 end as obs from full_rows where bucket >= 15)")
+    out["job_window"] = sql(
+        assessed("vintage", "purpose", "vintage"), PANEL, draw("panel", strata, keys1, N1, "first_pass", "r1"),
+        WINDOWED.replace("from panel p", "from first_pass p"), f"\nopen_rows as (select * from windowed where {active})",
+        draw("open_rows", ["trg_dt"], keys2, N2, "drawn", "r2"), ECON, FULL.format(rows="drawn"),
+        "\nheld as (select *, cast(target_pp as double) as obs from full_rows where bucket >= 15)")
+    out["job_regression"] = sql(
+        assessed("trg_fc_type", "short_sale", None), PANEL, "\nexits as (select * from every where ao_zb in ('03', '09'))",
+        draw("exits", ["state"], keys1, N1, "first_pass", "r1"), PAIRS.format(sample="first_pass"),
+        "\nsame_month as (select * from pairs where fcst_month = 0)",
+        draw("same_month", ["ao_zb"], keys2, N2, "second_pass", "r2"), ECON, FULL.format(rows=paid.format("second_pass")),
+        "\nheld as (select *, fcl_pro_net / trg_prop_val as obs from full_rows where bucket >= 15)")
     out["bucket_split"] = split_sql("true", "true", "count(distinct loan_id) as n_loans")
     out["out_of_time_split"] = split_sql("year(ao_dt) < 1999", "year(ao_dt) >= 1999",
                                          "min(ao_dt) as first_dt, max(ao_dt) as last_dt")

@@ -37,7 +37,11 @@ def quantile_group(value: Column, cuts: Column) -> Column:
 
 
 def group_name(group: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(g) for g in GROUP_NAMES]), group)
+    # As a CASE: inside explode(array(struct(...))) a NULL index of element_at was read as -1, the last name.
+    named = F.when(group == 1, GROUP_NAMES[0])
+    for k, name in enumerate(GROUP_NAMES[1:], 2):
+        named = named.when(group == k, name)
+    return named
 
 
 def with_quantile_group(df: DataFrame, by: list[str], value: str, out: str,
@@ -255,38 +259,3 @@ def marginal(df: DataFrame, feature: str, by: str | None, scorer: Callable[[Data
     response = five.select("slice", "grp", "at", "n", *[F.col("q")[i].alias(m) for i, m in
                                                         enumerate(("min", "q25", "median", "q75", "max"))])
     return response, marginal_distribution(groups, feature, continuous)
-
-
-def assess_all(df: DataFrame, specs: list[tuple[str, list[int], str]], ids: list[str], categorical: list[str],
-               continuous: list[str], curve_specs: list[tuple[str, list[int], str]] = (),
-               view: Callable[[DataFrame, list[int]], DataFrame] = coalesce_target,
-               regression: bool = False, scorer=None) -> dict[str, DataFrame]:
-    """All tables of a job from one scored table, which should be staged: it is scanned many times.
-
-    ``specs`` and ``curve_specs`` are (title, output columns, slicer).
-    """
-    for _, _, slicer in specs:
-        if slicer != OVERALL and slicer in continuous:
-            raise ValueError(f"cannot slice on continuous feature {slicer}")
-    out: dict[str, DataFrame] = {}
-    for title, cols, slicer in curve_specs:
-        out[f"{title}/curves"] = curves(view(df, cols), slicer, slicer in continuous)
-    for title, cols, slicer in specs:
-        rows = view(df, cols)
-        for label, by in {"overall": None, "sliced": slicer}.items():
-            if label == "sliced" and slicer == OVERALL:
-                continue
-            cells = score_cells(rows, by)
-            if regression:
-                out[f"{title}/{label}/r2"] = r_squared(rows, by)
-            else:
-                out[f"{title}/{label}/ks"] = ks(rows, by, cells=cells)
-            out[f"{title}/{label}/decile"] = decile(rows, ids, by, cells=cells)
-        out[f"{title}/segment"] = segment(rows, [c for c in categorical if c != slicer], continuous, slicer)
-        out[f"{title}/range"] = axis_range(rows, slicer)
-        if scorer is not None:
-            groups = marginal_groups(rows, slicer, ids)
-            for f in [*categorical, *continuous]:
-                response, spread = marginal(rows, f, slicer, scorer, cols, ids, f in continuous, groups=groups, view=view)
-                out[f"{title}/marginal/{f}"], out[f"{title}/marginal/{f}/distribution"] = response, spread
-    return out

@@ -80,8 +80,14 @@ def group_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
 
     The p-quantile is the smallest value whose cumulative share reaches p.
     """
-    totals = running_totals(value_cells(df, by, value), by, value, ["n"], per_task)
-    # A cell answers p when the p-th row of its group falls inside the cell.
+    return quantiles_of(running_totals(value_cells(df, by, value), by, value, ["n"], per_task), by, value, probs)
+
+
+def quantiles_of(totals: DataFrame, by: list[str], value: str, probs: list[float]) -> DataFrame:
+    """``group_quantiles`` from running totals of the number of rows.
+
+    A cell answers p when the p-th row of its group falls inside the cell.
+    """
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(F.ceil(F.lit(p) * F.col("n_total")), F.lit(1)).alias("k"))
                        for i, p in enumerate(probs)])
     hits = totals.select(*by, F.col(value).cast("double").alias("_v"), "n", "n_before",

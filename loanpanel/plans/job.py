@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanpanel.operators.assess import assess_all
+from loanpanel.operators.assessment import assess_all
 from loanpanel.operators.calibrate import fit_bias
 from loanpanel.operators.econ import BASE_MONTH, add_economics
 from loanpanel.operators.features import apply_features, needed_columns

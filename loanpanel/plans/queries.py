@@ -756,6 +756,24 @@ def model_warm_start(spark, sf):
     return rows.agg(F.count(F.lit(1)).alias("n")).select("n", F.round(F.lit(gap), 9).alias("gap"), F.lit(gain < 0).alias("went_on"))
 
 
+def judged(tables, title, feature, curve=False):
+    """What an assessment says whatever the weights: sizes of deciles and slices, and observed means of segments and curves."""
+    def part(name, of, level, n, obs, where="true"):
+        return tables[f"{title}/{name}"].where(where).select(
+            F.lit(of).alias("of"), (F.lit("Overall") if of == "curve" else F.col("slice")).alias("slice"),
+            F.col(level).cast("string").alias("level") if level else F.lit("all").alias("level"),
+            F.expr(n).cast("long").alias("n"), F.round(F.expr(obs), 6).alias("obs"))
+
+    out = part("segment", "segment", "segment", "n", "avg_obs", f"feature = '{feature}'")
+    for label in ("overall", "sliced"):
+        out = out.unionByName(part(f"{label}/decile", f"{label} decile", "decile", "n", "0.0D"))
+        if f"{title}/{label}/ks" in tables:
+            out = out.unionByName(part(f"{label}/ks", f"{label} classes", None, "n0 + n1", "n1 / (n0 + n1)"))
+        else:
+            out = out.unionByName(part(f"{label}/r2", f"{label} rows", None, "n", "0.0D"))
+    return out.unionByName(part("curves", "curve", "level", "n", "avg_obs")) if curve else out
+
+
 @query
 def job_hazard(spark, sf):
     """Two-stage build, softmax fit on the delinquency class, assessment by slice."""
@@ -772,7 +790,7 @@ def job_hazard(spark, sf):
         bias="SELECT %s FROM hazard_table WHERE bucket < 10",
         assess=AssessBlock("SELECT %s FROM hazard_table WHERE bucket >= 15", KEYS2,
                            [("dq 4+", list(range(4, 13)), "ao_dq_cap6")], [("dq 4+", list(range(4, 13)), "trg_yr_qtr")])))
-    return got.tables["dq 4+/sliced/decile"]
+    return judged(got.tables, "dq 4+", "purpose", True)
 
 
 @query
@@ -789,8 +807,8 @@ def job_window(spark, sf):
         "window", base,
         model=ModelBlock(model, "target_pp", "cat", ["fico", "ao_age", "trg_refi_incentive"], ["purpose"], max_iter=20),
         assess=AssessBlock(held, ["loan_id", "ao_dt"], [("prepay", [1], "purpose")], [("prepay", [1], "vintage")],
-                           marginals=True)))
-    return got.tables["prepay/sliced/ks"]
+                           extra_cat=["vintage"], marginals=True)))
+    return judged(got.tables, "prepay", "vintage", True)
 
 
 @query
@@ -807,7 +825,7 @@ def job_regression(spark, sf):
         model=ModelBlock(model, "target_net_pro", "cts", ["trg_prop_val", "trg_age", "trg_unemp_rate"],
                          ["short_sale", "trg_fc_type"]),
         assess=AssessBlock(held, ["loan_id", "ao_dt"], [("proceeds", [0], "short_sale")])))
-    return got.tables["proceeds/overall/r2"]
+    return judged(got.tables, "proceeds", "trg_fc_type")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from loanpanel.operators import assess, calibrate, features, models, network, quasi_newton, training
+from loanpanel.operators import assess, assessment, calibrate, features, models, network, quasi_newton, training
 from loanpanel.plans.job import Job, run
 from loanpanel.plans.queries import FIXED_NET
 from loanpanel.sources import fixtures as fx
@@ -211,7 +211,7 @@ def test_a_job_needs_a_phase(spark, tmp_path):
 def test_slicing_on_a_continuous_feature_is_refused(spark, sf):
     rows = network.coalesce_target(fx.staged(spark, sf, "scored"), [0])
     with pytest.raises(ValueError):
-        assess.assess_all(rows, [("x", [0], "feature")], ["id"], ["level"], ["feature"])
+        assessment.assess_all(rows, [("x", [0], "feature")], ["id"], ["level"], ["feature"])
 
 
 def test_many_levels_are_numbered_like_few(spark, sf):
