@@ -14,6 +14,9 @@ from loanpanel.operators.running import CELLS_PER_TASK, row_positions
 from loanpanel.sources.tables import join_small, stage
 
 
+LISTED_LEVELS = 64  # a feature with no more levels is looked up in an expression, others by a join
+
+
 @dataclass
 class FeatureDefs:
     """Means and deviations, and a (feature, level, idx, n, is_default) table."""
@@ -22,6 +25,7 @@ class FeatureDefs:
     levels: DataFrame
     defaults: dict[str, int] = field(default_factory=dict)
     n_levels: dict[str, int] = field(default_factory=dict)
+    listed: dict[str, dict[str | None, int]] = field(default_factory=dict)  # index by level, of features with few levels
 
     def save(self, path: str) -> None:
         spark = self.levels.sparkSession
@@ -38,7 +42,17 @@ class FeatureDefs:
 def _with_sizes(stats, levels: DataFrame) -> FeatureDefs:
     sizes = levels.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("is_default"), F.col("idx"))).alias("d")).collect()
-    return FeatureDefs(stats, levels, {r["feature"]: r["d"] for r in sizes}, {r["feature"]: r["n"] for r in sizes})
+    few: dict[str, dict[str | None, int]] = {r["feature"]: {} for r in sizes if r["n"] <= LISTED_LEVELS}
+    for r in levels.where(F.col("feature").isin(list(few))).select("feature", "level", "idx").collect() if few else []:
+        few[r["feature"]][r["level"]] = r["idx"]  # at most LISTED_LEVELS rows a feature
+    return FeatureDefs(stats, levels, {r["feature"]: r["d"] for r in sizes}, {r["feature"]: r["n"] for r in sizes}, few)
+
+
+def listed_index(level: Column, known: dict[str | None, int]) -> Column:
+    """Index of a level among few, NULL for others: an expression, no join."""
+    pairs = [F.lit(x) for name, idx in sorted((n, i) for n, i in known.items() if n is not None) for x in (name, idx)]
+    found = F.try_element_at(F.create_map(*pairs), level) if pairs else F.lit(None).cast("int")
+    return F.when(level.isNull(), F.lit(known.get(None)).cast("int")).otherwise(found)
 
 
 def feature_stats(df: DataFrame, cts: list[str]) -> DataFrame:
@@ -98,6 +112,10 @@ def apply_features(df: DataFrame, defs: FeatureDefs, cts: list[str] | None = Non
     cat = list(defs.n_levels) if cat is None else cat
     out = df.withColumns({f"z_{c}": normalized(c, defs.stats) for c in cts}) if cts else df
     for c in cat:
+        if c in defs.listed:
+            index = listed_index(F.col(c).cast("string"), defs.listed[c])
+            out = out.withColumn(f"i_{c}", index if c == label else F.coalesce(index, F.lit(defs.defaults[c])))
+            continue
         own = defs.levels.where(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("idx").alias("_i"))
         out = join_small(out.withColumn("_level", F.col(c).cast("string")), own, ["_level"], "left",
                          rows=defs.n_levels[c])

@@ -122,7 +122,9 @@ def checked_months(months: Column, loan: Column) -> Column:
     """
     wrong = F.raise_error(F.concat(F.lit("sort the history with ordered_history first: loan "), F.coalesce(
         loan.cast("string"), F.lit("NULL")))).cast("array<date>")
-    return F.when(months.isNull() | (F.array_sort(F.array_distinct(months)) == months), months).otherwise(wrong)
+    # A NULL month would be sorted to the front.
+    fine = (F.sort_array(F.array_distinct(months)) == months) & (F.get(months, F.lit(0)).isNotNull() | (F.size(months) == 0))
+    return F.when(months.isNull() | fine, months).otherwise(wrong)
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", limit: int = BROADCAST_ROWS,

@@ -108,6 +108,16 @@ def test_quasi_newton_on_a_valley():
     assert np.allclose(end.weights, [1, 1], atol=1e-8)
 
 
+def test_few_levels_are_found_as_by_the_join(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, "abc"[k % 3] if k % 5 else None, k % 4) for k in range(40)], "id int, s string, g int")
+    other = rows.unionByName(spark.createDataFrame([(90, "z", 9), (91, None, None)], rows.schema))
+    listed = features.apply_features(other, features.fit_features(rows, [], ["s", "g"]))
+    assert "Join" not in listed._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(features, "LISTED_LEVELS", 0)
+    joined = features.apply_features(other, features.fit_features(rows, [], ["s", "g"]))
+    assert sorted(listed.collect(), key=str) == sorted(joined.collect(), key=str)
+
+
 def test_softmax_fit_beats_the_base_rate_and_survives_saving(spark, loans, tmp_path):
     fitted = models.fit_model(loans, "y", "cat", ["fico", "ltv"], ["purpose"], loans, max_iter=50)
     assert fitted.costs[-1][1] < 0.5
