@@ -101,26 +101,89 @@ def test_rules(spark, tables):
         assert all(not (r.base_failed and r.kept) for r in got)
 
 
-def test_rules_reject_by_compression():
+def test_rules_outer_limits():
     import zstandard
     packer = zstandard.ZstdCompressor(level=quality_rules.LEVEL, write_checksum=False, write_content_size=False)
     rng = np.random.default_rng(1)
-    noise = rng.bytes(6_000).hex().encode()
     prose = " ".join("".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(2_000)).encode()
-    assert quality_rules.verdict(len(prose), *quality_rules.compression(prose, packer))
-    assert not quality_rules.verdict(6_000, *quality_rules.compression(rng.bytes(6_000), packer))
+    anything = quality_rules.Bands([], [], [])
+    assert anything.keeps(len(prose), *quality_rules.compression(prose, packer))
+    assert not anything.keeps(6_000, *quality_rules.compression(rng.bytes(6_000), packer))
     half = prose[:6_000] + b"again and again " * 800  # repetitive in its chunks
-    assert not quality_rules.verdict(len(half), *quality_rules.compression(half, packer))
-    assert quality_rules.compression(noise, packer)[0] < 2.3
+    assert not anything.keeps(len(half), *quality_rules.compression(half, packer))
+    # The tail is part of the last chunk, and a short text is one chunk.
+    sizes = [len(quality_rules.compression(prose[:n], packer)[1]) for n in (1, 2_047, 2_048, 4_095, 4_096, 6_143, 6_144)]
+    assert sizes == [1, 1, 1, 1, 2, 2, 3]
+    assert quality_rules.compression(prose[:4_096 + 500], packer)[1][1] == 2_548 / len(packer.compress(prose[2_048:4_596]))
 
 
-def test_rules_keep_what_the_query_keeps(spark, tables):
+def brute_kept(texts):
+    """Verdicts of all texts, from medians and spreads of the whole list."""
+    import zstandard
+    packer = zstandard.ZstdCompressor(level=3, write_checksum=False, write_content_size=False)
+
+    def ratio(data):
+        return len(data) / len(packer.compress(data))
+
+    data = [(t or "").encode() for t in texts]
+    failed = [brute_rules(t)[5] for t in texts]
+    seen = sorted({(len(d), ratio(d)) for d, bad in zip(data, failed) if not bad})
+    by_octave = {}
+    for n, r in seen:
+        by_octave.setdefault(int(np.floor(np.log2(n))), []).append((np.log2(n), r))
+
+    def quantile(values, p):
+        binned = sorted(int(np.floor(v / 0.001)) for v in values)
+        return binned[max(int(np.ceil(p * len(binned) - 1e-9)), 1) - 1] * 0.001
+
+    octaves = sorted(by_octave)
+    at = [np.mean([lg for lg, _ in by_octave[k]]) for k in octaves]
+    usual = [quantile([r for _, r in by_octave[k]], 0.5) for k in octaves]
+    away = {k: [r - np.interp(lg, at, usual) for lg, r in by_octave[k]] for k in octaves}
+
+    def width(values):
+        return quantile(values, 0.5) - quantile(values, 0.1)
+
+    least = max([0.05, width([v for k in octaves for v in away[k]])]) if octaves else 0.05
+    spread = [max(least, width(away[k])) for k in octaves]
+
+    def usual_for(n, r):
+        lg = np.log2(max(n, 1))
+        k = int(np.argmin([abs(lg - x) for x in at]))
+        return -5 * spread[k] <= r - np.interp(lg, at, usual) <= 2.5 * spread[k]
+
+    out = []
+    for d, bad in zip(data, failed):
+        if bad:
+            out.append(False)
+            continue
+        cuts = [k * 2048 for k in range(max(len(d) // 2048, 1))] + [len(d)]
+        parts = [d[a:b] for a, b in zip(cuts, cuts[1:])]
+        outside = sum(not (usual_for(len(c), ratio(c)) and (len(c) < 2048 or 1.4 <= ratio(c) <= 4.0)) for c in parts)
+        low = 1.4 if len(d) >= 1024 else 1.25 if len(d) >= 512 else 1.15 if len(d) >= 256 else 0
+        high = 2.5 + 0.25 * max(0, np.log2(len(d) / 256))
+        out.append(bool(low <= ratio(d) <= high and usual_for(len(d), ratio(d)) and outside <= 0.3 * len(parts)))
+    return out
+
+
+def test_rules_keep_what_brute_force_keeps(spark, tables):
     for folder in tables:
         docs = spark.read.parquet(f"{folder}/documents.parquet")
+        rows = rows_of(spark, folder)
+        verdicts = brute_kept([t for _, t, *_ in rows])
+        same([(r.doc_id, r.kept) for r in run(spark, folder, "op10_quality_rules").collect()],
+             [(d, kept) for (d, *_), kept in zip(rows, verdicts)])
         kept = quality_rules.keep_good(docs)
         assert kept.columns == docs.columns
-        assert kept.count() == run(spark, folder, "op10_quality_rules").where("kept").count()
-    assert quality_rules.keep_good(spark.read.parquet(f"{tables[0]}/documents.parquet")).count() > 100
+        same([(r.doc_id, r.text) for r in kept.collect()], [(d, t) for (d, t, *_), good in zip(rows, verdicts) if good])
+
+
+def test_rules_reject_poor_texts_and_keep_good_ones(spark, sf):
+    bigger = sf.replace("sf0.001", "sf0.01")
+    judged = run(spark, bigger, "op10_quality_rules").where("NOT base_failed").join(
+        spark.read.parquet(f"{bigger}/labels.parquet"), "doc_id")
+    shares = {r["quality"]: r["kept"] for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("kept")).collect()}
+    assert shares[1] >= 0.97 and shares[0] <= 0.5
 
 
 # ---- 5 SimHash ----
