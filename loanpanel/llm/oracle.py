@@ -22,13 +22,13 @@ FROM ruled
 
 TOP_SQL = """
 WITH v AS (
-  SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  SELECT vec_id, row_number() OVER () AS row, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.row <> c.row
 ), ranked AS (
-  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM pairs
+  SELECT *, (row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id))::INTEGER AS rank FROM pairs
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """

@@ -634,21 +634,30 @@ def test_top_k(spark, sf):
 def test_top_k_of_odd_vectors(spark):
     rng = np.random.default_rng(4)
     rows = [(int(k), [float(x) for x in rng.normal(0, 0.2, 8).round(1)]) for k in range(300)]  # many ties
-    odd_rows = [(300, None), (301, [None] * 8), (302, [float("nan")] * 8), (303, [float("inf")] * 8), (None, [1.0] * 8),
-                (304, [1.0, 2.0]), (320, [0.5, 0.5]), (1, rows[1][1]), (305, [1e6] * 8), (306, [])]
-    df = spark.createDataFrame([(*r, 1) for r in rows + odd_rows], "vec_id long, embedding array<float>, score int")
+    more = [(304, [1.0, 2.0]), (320, [0.5, 0.5]), (1, rows[1][1]), (305, [1e6] * 8), (306, [])]
+    more += [(k, [float(x) for x in rng.normal(0, 0.2, 8).round(1)]) for k in (0, 20, 20, 41, 41)]  # ids again, with other vectors
+    out = [(300, None), (301, [None] * 8), (302, [float("nan")] * 8), (303, [float("inf")] * 8), (None, [1.0] * 8)]
+    df = spark.createDataFrame([(*r, 1) for r in rows + more + out], "vec_id long, embedding array<float>, score int").repartition(3)
     got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=5)
-    vectors = {k: np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)
-               for k, v in rows + [(304, [1.0, 2.0]), (320, [0.5, 0.5]), (305, [1e6] * 8), (306, [])]}
+    vectors = [(k, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)) for k, v in rows + more]
     want = []
-    for q, x in vectors.items():
+    for at, (q, x) in enumerate(vectors):
         if q % 20 == 0:
-            scores = sorted((-int(x @ v), k) for k, v in vectors.items() if k != q and len(v) == len(x))
+            scores = sorted((-int(x @ v), k) for other, (k, v) in enumerate(vectors) if other != at and len(v) == len(x))
             want += [(q, n + 1, k, -s) for n, (s, k) in enumerate(scores[:5])]
+    assert len(want) > 5 * 17
     same(got.collect(), want)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_pivots_are_far_apart():
+    rng = np.random.default_rng(3)
+    drawn = np.vstack((rng.integers(-3, 3, (200, 4)), [[90, 0, 0, 0], [0, 90, 0, 0]], np.zeros((50, 4), int)))
+    pivots = topk._far_apart(drawn, 6)
+    assert len(pivots) == 6 and {(90, 0, 0, 0), (0, 90, 0, 0)} <= set(map(tuple, pivots.tolist()))
+    assert len(topk._far_apart(np.ones((9, 4), int), 6)) == 1
+
+
 # ---- 6 and 9: learned ----
 
 def test_language(spark, tables):
