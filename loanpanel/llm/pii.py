@@ -3,17 +3,19 @@
 Fixed patterns with checks (Luhn, parts up to 255, numbers of digits) find the base spans, which always count.  Generators
 with higher recall propose more, overlapping ones: spelled-out addresses, hexadecimal addresses, numbers without a
 country code, digit groups with other separators or a failed check.  Each has a check of its own kind: the address that
-'at' and 'dot' stand for, groups of a hexadecimal address, Luhn, the count of digits.  Boosted trees over the format of a
-candidate and the characters around it, fitted to how candidates of the corpus fare with the checks, score them; of those
-that are no base span and overlap none, a candidate is added when its score reaches the threshold of its kind, at
-which such candidates of all rows pass their checks in ``PRECISION`` of the cases.
+'at' and 'dot' stand for, groups of a hexadecimal address, Luhn, the count of digits.  Boosted trees learn from one half of the texts which
+formats and surroundings go with a passed check; what a kind's own check looks at is no feature of that kind.  The other half
+gives the threshold of each kind, at which candidates pass their checks in ``PRECISION`` of the cases.  Of those that are no base span and
+overlap none, a candidate at or above it is added, with its check passed or not: a number with a mistyped digit that looks and stands
+like the others is found too.
 
 Matches and their places come out of one split of the text, so a document is worked on in its own row: no joins, no
 shuffle, and cost in proportion to the text.  The patterns are written so that a failed start is not tried again
 within the same run of characters, which keeps them linear in long runs.
 
-Cases: NULL and empty texts have no spans.  Repeated rows and NULL ids are judged alike.  With no candidate
-in the sample of the trees nothing is added.  Extra columns are not read by ``find_personal`` and kept by ``redact``.
+Cases: NULL and empty texts have no spans.  Texts are read whole, whatever their length.  Repeated rows and NULL ids are judged alike.  A
+kind without a candidate in either half gets nothing added; an empty table gives no rows.  Extra columns are not read by
+``find_personal`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -47,7 +49,6 @@ MORE = {
 CUES = ("(?i)(mail|contact|write|phone|call|tel|mobile|fax|card|visa|account|address|host|server|correo|llam|tarjeta"
         "|adresse|rufen|karte|konto|courriel|appel|carte)")
 NEAR = 24  # characters before a candidate that count as context
-SAMPLE = 4000  # expected texts with a candidate's characters that the trees are fitted to
 ROUNDS, RATE, PENALTY = 12, 0.3, 1.0
 PRECISION = 0.98
 NEVER = 1e6  # taken off the margins of a kind that no threshold has the precision for
@@ -242,7 +243,11 @@ def _with_candidates(docs: DataFrame) -> DataFrame:
 
 # ---- features, boosted trees, threshold ----
 
-FEATURES = ("kind", "digits", "letters", "separators", "luhn", "parts", "plus", "at", "left", "right", "cue", "date")
+FEATURES = ("kind", "digits", "letters", "separators", "luhn", "parts", "plus", "at", "left", "right", "cue", "date", "mark")
+
+
+# What the check of a kind looks at, or follows from: no cut of its trees is made there.
+CHECKED = {"email": ("kind", "at"), "ip": ("kind", "parts"), "card": ("kind", "luhn"), "phone": ("kind", "digits", "date")}
 
 
 def features(c: Column) -> list[Column]:
@@ -261,7 +266,8 @@ def features(c: Column) -> list[Column]:
             F.when(value.startswith("+"), 1).otherwise(0),
             F.when(value.contains("@"), 1).when(spelled_address(value, c["before"]), 2).otherwise(0),
             beside(F.substring(c["before"], -1, 1)), beside(c["after"]),
-            F.when(c["before"].rlike(CUES), 1).otherwise(0), F.when(value.rlike(DATE), 1).otherwise(0)]
+            F.when(c["before"].rlike(CUES), 1).otherwise(0), F.when(value.rlike(DATE), 1).otherwise(0),
+            F.when(value.contains("@"), 1).when(value.contains(":"), 2).otherwise(0)]
 
 
 def leaf(tree: list[tuple], x: list[Column]) -> Column:
@@ -287,40 +293,37 @@ def _likely(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), "doc_id").where(possible(F.col("text")))
 
 
-def _described(spans: DataFrame) -> DataFrame:
-    """Features ``f0..`` of the candidates ``c``, and ``good``: whether it passes its check."""
-    return spans.select(F.col("c.good").cast("int").alias("good"),
-                        *[f.cast("int").alias(f"f{k}") for k, f in enumerate(features(F.col("c")))])
+def described(docs: DataFrame) -> DataFrame:
+    """Written ``half, f0.., n, good``: how many candidates of all texts have the same features, and how many of them pass.
 
-
-def _sampled(docs: DataFrame, rows: int) -> DataFrame:
-    """Candidates of about ``rows`` texts, described."""
-    likely = _likely(docs)
-    total = likely.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(1_000_000_007)) / 1_000_000_007.0
-    drawn = likely.where(draw < min(1.0, rows / max(total, 1)))
-    return _described(_with_candidates(drawn).select(F.explode(F.concat("_pii_base", "_pii_rest")).alias("c")))
+    One scan of the texts.  ``half`` follows from a hash of the text, so that copies are in the same one.
+    """
+    half = F.pmod(F.xxhash64("text", F.lit("half")), F.lit(2)).cast("int")
+    each = _with_candidates(_likely(docs)).select(half.alias("half"), F.explode(F.concat("_pii_base", "_pii_rest")).alias("c"))
+    names = [f"f{k}" for k in range(len(FEATURES))]
+    values = [f.cast("int").alias(n) for n, f in zip(names, features(F.col("c")))]
+    return written(each.select("half", F.col("c.good").cast("int").alias("good"), *values).groupBy("half", *names).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")), "pii-candidates")
 
 
-def scored(docs: DataFrame, trees: list[tuple]) -> DataFrame:
-    """Over all rows, how many candidates that could be added have each ``kind`` and ``margin``, and how many of them pass."""
+def scored(counted: DataFrame, trees: list[tuple]) -> DataFrame:
+    """How many candidates have each ``kind`` and ``margin``, and how many of them pass."""
     x = [F.col(f"f{k}") for k in range(len(FEATURES))]
-    each = _described(_with_candidates(_likely(docs)).select(F.explode("_pii_rest").alias("c")))
-    return each.groupBy(F.col("f0").alias("kind"), F.round(margin(trees, x), 3).alias("margin")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"))
+    return counted.groupBy(F.col("f0").alias("kind"), F.round(margin(trees, x), 3).alias("margin")).agg(
+        F.sum("n").alias("n"), F.sum("good").alias("good"))
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE) -> tuple[list[tuple], float]:
+def fit(docs: DataFrame) -> tuple[list[tuple], float]:
     """Boosted trees of depth two and the threshold of their margin.
 
-    The trees learn from a sample of ``rows`` texts, the threshold is calibrated on all rows.  Equal candidates are counted once,
-    by their features.  Every kind has trees of its own, in which passing and failing candidates have equal weight, so that rare
+    The trees learn from one half of all texts, and the threshold is calibrated on the other.  Equal candidates are counted
+    together, by their features.  Every kind has trees of its own, in which passing and failing candidates have equal weight, so that rare
     kinds are told apart as well.  For each level of a tree Spark sums gradients by (branch, feature, value), a few hundred rows, and the driver picks
     the cuts.  The last tree takes the threshold of its kind from each margin, so that one threshold, 0, holds for all kinds.
     """
+    counted = described(docs)
+    train = counted.where("half = 0")
     names = [f"f{k}" for k in range(len(FEATURES))]
-    train = written(_sampled(docs, rows).groupBy(*names).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("good").alias("good")), "pii-candidates")
     x = [F.col(c) for c in names]
     sizes = train.groupBy("f0").agg(F.sum("good").alias("good"), F.sum(F.col("n") - F.col("good")).alias("bad")).collect()
     if not sizes:
@@ -335,28 +338,28 @@ def fit(docs: DataFrame, rows: int = SAMPLE) -> tuple[list[tuple], float]:
     for _ in range(ROUNDS):
         p = 1 / (1 + F.exp(-margin(trees, x)))
         graded = train.select(*names, (F.col("good") - F.col("n") * p).alias("g"), (F.col("n") * p * (1 - p)).alias("h"))
-        root = _best_cuts(graded.withColumn("side", F.col("f0")), names)
+        root = _best_cuts(graded.withColumn("side", F.col("f0")), names, lambda side: side)
         if not root:
             break
         high = reduce(lambda a, k: F.when(F.col("f0") == k, (x[root[k][0]] > root[k][1]).cast("int")).otherwise(a), root, F.lit(0))
-        sides = _best_cuts(graded.withColumn("side", F.col("f0") * 2 + high), names)
+        sides = _best_cuts(graded.withColumn("side", F.col("f0") * 2 + high), names, lambda side: side // 2)
         for kind, (feature, cut, *whole) in root.items():
             branches = [sides.get(2 * kind + k, (0, math.inf, whole[k], whole[k])) for k in (0, 1)]
             trees.append((feature, cut, *branches, kind))
-    return calibrated(trees, scored(docs, trees))
+    return calibrated(trees, scored(counted.where("half = 1"), trees))
 
 
 def calibrated(trees: list[tuple], counts: DataFrame) -> tuple[list[tuple], float]:
     """The trees and one that takes off the kind's threshold, the lowest that has the precision.
 
-    ``counts`` counts the candidates that could be added by ``kind`` and ``margin``, at most one row per combination of leaves.
-    A kind without any starts at even odds.
+    ``counts`` counts candidates by ``kind`` and ``margin``, at most one row per combination of leaves.  A kind without any gets
+    none added; one whose candidates all pass has no trees and margin 0.
     """
     rows = sorted(((r["kind"], r["margin"], r["n"], r["good"]) for r in counts.collect()), key=lambda r: -r[1])
     level = []
     for kind in range(len(KINDS)):
         own = [r[1:] for r in rows if r[0] == kind]
-        threshold, n, good = (math.inf if own else 0.001), 0, 0
+        threshold, n, good = math.inf, 0, 0
         for at, row_n, row_good in own:
             n, good = n + row_n, good + row_good
             if good >= PRECISION * n:
@@ -366,15 +369,16 @@ def calibrated(trees: list[tuple], counts: DataFrame) -> tuple[list[tuple], floa
     return [*trees, shift], (0.0 if max(level) > -NEVER else math.inf)
 
 
-def _best_cuts(graded: DataFrame, names: list[str]) -> dict[int, tuple]:
-    """Per side the (feature, cut, value below, value above) that lowers the loss most."""
+def _best_cuts(graded: DataFrame, names: list[str], kind_of) -> dict[int, tuple]:
+    """Per side the (feature, cut, value below, value above) that lowers the loss most; ``kind_of(side)`` is the side's kind."""
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("f"), F.col(c).alias("v")) for k, c in enumerate(names)]))
     sums = graded.select("side", "g", "h", pairs.alias("p")).groupBy("side", "p.f", "p.v").agg(
         F.sum("g").alias("g"), F.sum("h").alias("h")).collect()
     best: dict[int, tuple] = {}
     gains: dict[int, float] = {}
     for side in sorted({r["side"] for r in sums}):
-        for f in range(len(names)):
+        checked = CHECKED[KINDS[kind_of(side)]]
+        for f in (k for k, name in enumerate(FEATURES) if name not in checked):
             rows = sorted((r["v"], r["g"], r["h"]) for r in sums if r["side"] == side and r["f"] == f)
             all_g, all_h = sum(r[1] for r in rows), sum(r[2] for r in rows)
             g = h = 0.0
