@@ -775,6 +775,46 @@ def test_quality(spark, tables, sf):
     assert run(spark, tables[2], "op6_quality_classifier").count() == 0
 
 
+def plain_features(text):
+    found = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^\x00-\x20 0-9A-Za-z\x80-\xff]+", (text or "").encode())
+    one, full = [xxhash.xxh64_intdigest(w, 7) for w in found], 2**64
+    two = [((a * 0x9E3779B97F4A7C15 % full) ^ (((b >> 7) + b) % full)) * 0xC2B2AE3D27D4EB4F % full for a, b in zip(one, one[1:])]
+    return [h >> 46 for h in one + two]
+
+
+def test_quality_scores_by_sequential_updates(spark, sf):
+    """Follow the regularised leader in plain Python, over the same batches."""
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    batch = F.pmod(F.xxhash64("doc_id", F.lit("batch")), F.lit(6)).alias("batch")
+    marks = [(r["doc_id"], r["quality"], r["batch"]) for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality", batch)
+             .collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    found = {d: plain_features(texts[d]) for d, *_ in marks}
+    z, n, w = {}, {}, {}
+
+    def chance(f):
+        total = w.get("bias", 0.0) + (sum(w.get(k, 0.0) for k in f) / len(f) ** 0.5 if f else 0.0)
+        return 1 / (1 + np.exp(-total))
+
+    for _ in range(4):
+        for turn in range(6):
+            g = {}
+            for d, label, b in marks:
+                if b == turn:
+                    error, f = chance(found[d]) - label, found[d]
+                    g["bias"] = g.get("bias", 0.0) + error
+                    for k in f:
+                        g[k] = g.get(k, 0.0) + error / len(f) ** 0.5
+            for k, v in g.items():
+                sigma = ((n.get(k, 0.0) + v * v) ** 0.5 - n.get(k, 0.0) ** 0.5) / 1.0
+                z[k] = z.get(k, 0.0) + v - sigma * w.get(k, 0.0)
+                n[k] = n.get(k, 0.0) + v * v
+                shrunk = z[k] if k == "bias" else np.sign(z[k]) * max(abs(z[k]) - 0.5, 0)
+                w[k] = -shrunk / ((0.5 + n[k] ** 0.5) / 1.0 + 1.0)
+    got = run(spark, sf, "op6_quality_classifier").collect()
+    assert len(got) == len(texts)
+    assert max(abs(r["score"] - chance(plain_features(texts[r["doc_id"]]))) for r in got) < 1e-4
+
+
 def test_gradients_do_not_depend_on_partitions(spark, sf):
     from loanpanel.llm import quality_model as Q
     from loanpanel.llm.common import crc_of_id
@@ -799,3 +839,46 @@ def test_pipeline_on_odd_rows(spark, tables):
             assert docs.columns == names, name
             docs = corpus_pipeline.written(docs, "test")
         corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+
+
+def test_pipeline_against_plain_python(spark, sf):
+    """Rules, components, redaction, copies and ids of run(); spans and shares come from operators that are tested above."""
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    given = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [r.asDict() for r in given.collect()]
+    rows = [r for r, good in zip(rows, brute_kept([r["text"] for r in rows])) if good]
+    first = {d: c for d, _, c in brute_components([(r["doc_id"], brute_fingerprint(r["text"])) for r in rows])}
+    rows = [r for r in rows if first[r["doc_id"]] == r["doc_id"]]
+    spans = {r["doc_id"]: r["spans"] for r in pii.find_personal(spark.createDataFrame(rows, given.schema)).collect()}
+    for r in rows:
+        out, at = "", 0
+        for s in sorted(spans[r["doc_id"]], key=lambda s: (s["start"], s["kind"])):
+            if s["start"] >= at:
+                out += r["text"][at:s["start"]] + f"[{pii.KINDS[s['kind']].upper()}]"
+            at = max(at, s["end"])
+        r["text"] = out + r["text"][at:]
+        r["n_chars"] = len(r["text"])
+    redacted = spark.createDataFrame(rows, given.schema)
+    shares = {r["doc_id"]: r for r in mixing.mix(redacted).collect()}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+
+    def add(doc, text):
+        want[doc, np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()] += 1
+
+    for r in rows:
+        size, epochs, taken = (shares[r["doc_id"]][c] for c in ("size", "epochs", "taken"))
+        part = taken - epochs * size
+        for _ in range(epochs + (0 < part == size)):
+            add(r["doc_id"], r["text"])
+        if 0 < part < size:
+            add(r["doc_id"], re.match(r"(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){%d}" % part, r["text"])[0])
+    got, held = Counter(), b""
+    for r in sorted(corpus_pipeline.run(spark, sf).collect(), key=lambda r: (r["sequence_id"], r["offset"])):
+        held = r["ids"] if r["start"] == 0 else held + r["ids"]
+        assert r["ids_crc32"] == zlib.crc32(r["ids"])
+        if len(held) == 4 * r["doc_tokens"]:
+            got[r["doc_id"], held] += 1
+    assert len(want) > 50 and got == want
