@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from loanpanel.sources.fixtures import STATIC
+from loanpanel.sources.profile import PAY_PLAN, PLAN_CODE
+
 N1, N2, WINDOW, SEED, LEVEL_SEED = 20_000, 10_000, 24, 10, 11
 
 # The tables the queries are read from, as common table expressions.
@@ -471,6 +474,19 @@ takes as (select state, ao_dq_cap6, w + case when w < n and row_number() over (
         from full_rows""", ECON,
         FULL.format(rows="(select *, case when trg_rate > 0 then trg_r else ao_r end as pay_r from second_pass)"))
 
+    for profile in (PLAN_CODE, PAY_PLAN):
+        known = {c: f"f.{c}" for c in STATIC} | {"msa_d": "f.msa", "servicer": "'SV0'"}
+        lists = {c: known.get(c, f"concat('{c}-', cast(f.loan_id % {7 + k} as varchar))") for k, c in enumerate(profile.static)} | {
+            "trg_dt": "f.trg_dt", "trg_dq": "t.dq", "trg_mod": "t.mod", "trg_zb": "t.zb", "trg_io_rem": "t.dq + t.age_fp_dt % 5",
+            "trg_bap": "t.bap", "trg_program": "concat('P', cast(t.dq % 3 as varchar))", "trg_age": "t.age_fp_dt",
+            "trg_reo": "case when t.dq % 2 = 0 then 'Y' else 'N' end", "trg_pay_pl": "case when f.loan_id % 7 = 0 then 'Y' else 'N' end"}
+        sums = {"rate": ("f.rate", 6), "prop_val": ("f.prop_val", 5), "fcl_pro_net": ("f.fcl_pro_net", 4),
+                "trg_upb_act": ("t.upb", 3), "trg_rate": ("t.cur_rate", 6)}
+        whole = row_hash(*[lists[c] for c in (*profile.static, *profile.monthly) if c not in sums and c != "loan_id"])
+        out[f"all_columns_{profile.name}"] = two_stage(
+            f"""select f.loan_id, count(*) as n, {whole}, {", ".join(f"round(sum({e}), {d}) as {c}" for c, (e, d) in sums.items())}
+            from joined f join fx_month t on t.loan_id = f.loan_id and t.month = f.trg_dt group by 1""", ECON,
+            FULL.format(rows="(select *, case when trg_rate > 0 then trg_r else ao_r end as pay_r from second_pass)"))
     paid = "(select *, case when trg_rate > 0 then trg_r else ao_r end as pay_r from {})"
     out["job_hazard"] = two_stage(
         assessed("purpose", "ao_dq_cap6", "trg_yr_qtr"), ECON, FULL.format(rows=paid.format("second_pass")),

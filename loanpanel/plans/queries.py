@@ -15,6 +15,7 @@ from loanpanel.operators import assess, calibrate, econ, features, models, netwo
 from loanpanel.plans.job import AssessBlock, DataBlock, Job, ModelBlock, Stage, run
 from loanpanel.session import tune
 from loanpanel.sources import fixtures as fx
+from loanpanel.sources.profile import PAY_PLAN, PLAN_CODE
 from loanpanel.sources.tables import nest_history, ordered_history, read_econ, read_loans, shared_dir, source_query, stage
 
 WHERE1 = "ao_age >= 0 AND ao_dq >= 0 AND ao_dq <= 24 AND ao_upb > 10000 AND mon.zb = '00'"
@@ -425,6 +426,33 @@ def training_table(spark, sf):
                    {"trg_upb_exp": 3, "trg_hpi": 6, "y20_hpi": 6, "trg_lbr_growth": 5, "org_spread": 6})
 
 
+def all_columns(spark, sf, profile):
+    """The whole build with every static and history column of a source; what the fixture lacks is derived from the loan's number."""
+    base = loans(spark, sf)
+    lacking = {c: F.concat(F.lit(f"{c}-"), (F.col("loan_id") % F.lit(7 + k)).cast("string"))
+               for k, c in enumerate(profile.static) if c not in base.columns}
+    history = F.transform("monthly", lambda m: m.withField("io_rem", m["dq"] + m["age_fp_dt"] % 5).withField(
+        "program", F.concat(F.lit("P"), (m["dq"] % 3).cast("string"))).withField(
+        "reo", F.when(m["dq"] % 2 == 0, "Y").otherwise("N")))
+    block = DataBlock(
+        base.withColumns({**lacking, "monthly": history}), profile, fx.staged(spark, sf, "econ"),
+        Stage(["state", "ao_dq_cap6"], N1, WHERE1), Stage(["fcst_month"], N2, WHERE2),
+        f"{shared_dir(spark)}/loanpanel/wide-{uuid.uuid4().hex}", base_month=BASE_MONTH, **ERA)
+    out = run(spark, Job("build", shared_dir(spark), data=block)).data
+    sums = {"rate": 6, "prop_val": 5, "fcl_pro_net": 4, "trg_upb_act": 3, "trg_rate": 6}
+    return by_loan(out, [c for c in (*profile.static, *profile.monthly) if c not in sums and c != "loan_id"], sums)
+
+
+@query
+def all_columns_plan_code(spark, sf):
+    return all_columns(spark, sf, PLAN_CODE)
+
+
+@query
+def all_columns_pay_plan(spark, sf):
+    return all_columns(spark, sf, PAY_PLAN)
+
+
 # ---- splits and features ----
 
 @query
