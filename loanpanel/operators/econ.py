@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanpanel.functions.expr import level_payment, safe_div
+from loanpanel.functions.expr import level_payment, month_index, safe_div
 from loanpanel.sources.tables import BROADCAST_ROWS, join_small, stage
 
 BASE_MONTH = dt.date(2020, 1, 1)
@@ -61,13 +61,22 @@ def multi_date_join(df: DataFrame, ref: DataFrame, dates: dict[str, str], geo: s
 
 def _by_geo_join(df: DataFrame, ref: DataFrame, dates: dict[str, str], geo: str, month: str, columns: tuple[str, ...],
                  how: str) -> DataFrame:
-    """The lookups through one row per geo, which holds its months as a map: a calendar's length."""
-    entry = F.struct(F.col(month).alias("key"), F.struct(*columns).alias("value"))
-    calendar = stage(ref.where(F.col(month).isNotNull()).groupBy(geo).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("_months")), "calendars")
+    """The lookups through one row per geo, which holds its calendar as an array with a place for every month.
+
+    A date finds its entry by its distance from the geo's first month, in constant time, and takes it if the dates are equal.
+    """
+    at, entry = month_index(F.col(month)), F.struct(F.col(month).alias("date"), F.struct(*columns).alias("value"))
+    by_month = ref.where(F.col(month).isNotNull()).groupBy(geo).agg(
+        F.min(at).alias("_first"), F.max(at).alias("_last"), F.map_from_entries(F.collect_list(F.struct(at.alias("key"), entry))).alias("_m"))
+    months = F.transform(F.sequence("_first", "_last"), lambda k: F.try_element_at("_m", k))
+    calendar = stage(by_month.select(geo, "_first", months.alias("_months")), "calendars")
     out = join_small(df, calendar, [geo], how, limit=0)
-    found = {p: F.try_element_at("_months", F.col(d).cast(ref.schema[month].dataType)) for p, d in dates.items()}
-    out = out.select(*df.columns, *[v.alias(f"_{p}") for p, v in found.items()])
+
+    def found(day):
+        hit = F.get("_months", (month_index(day) - F.col("_first")).cast("int"))
+        return F.when(hit["date"] == day, hit["value"])
+
+    out = out.select(*df.columns, *[found(F.col(d).cast(ref.schema[month].dataType)).alias(f"_{p}") for p, d in dates.items()])
     if how == "inner":
         for p in dates:
             out = out.where(F.col(f"_{p}").isNotNull())
