@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loanpanel.sources.tables import stage
 
+BATCH_BYTES = 8 << 20  # of texts that a Python worker is given at once, besides the one that is longer
 BLOCK = 1024  # partitions whose totals are summed together in the first level of prefix sums
 
 
@@ -20,6 +22,15 @@ def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Limit Arrow batches by bytes and not by rows alone, unless the session has a lower limit."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?[0-9]+)\s*([kmgt]?)b?", spark.conf.get(key).strip().lower()).groups()
+    now = int(number) << 10 * ("kmgt".index(unit) + 1 if unit else 0)
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def map_texts(df: DataFrame, schema: str, begin: Callable[[], Callable]) -> DataFrame:
     """Apply a Python function to the rows of each Arrow batch.
 

@@ -21,7 +21,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanpanel.llm.common import map_texts, partition_bases, task_number, written
+from loanpanel.llm.common import bound_batches, map_texts, partition_bases, task_number, written
 from loanpanel.sources.tables import join_small
 
 LENGTH = 1024
@@ -92,6 +92,7 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
             return list(zip(*rows)) if rows else [[]] * 5
         return lambda columns: encode(*columns)
 
+    bound_batches(docs.sparkSession)
     return written(map_texts(docs.select("doc_id", "text"), "doc_id long, part int, before long, n long, ids binary",
                              begin), "tokens")
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from loanpanel.llm.common import map_texts, written
+from loanpanel.llm.common import bound_batches, map_texts, written
 
 LEVEL = 3
 CHUNK = 2048  # bytes of a chunk; the last one has what is left over besides
@@ -218,6 +218,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     The bands are fitted first; the verdict is then computed next to the row it belongs to, so no join is needed.
     """
+    bound_batches(docs.sparkSession)
     bands = fit_bands(measured(docs))
 
     @pandas_udf("boolean")
