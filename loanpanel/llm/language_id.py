@@ -14,7 +14,8 @@ Training reads about ``TRAIN_ROWS`` whole texts per language, drawn by a hash of
 
 Cases: a text that is NULL or has no letter is ``und`` with score 0, as is everything when
 nothing can be learned.  Equal code lengths go to the first language by name.  Rows with a NULL doc_id are never
-learned from and count as not held out.  Repeated rows are scored alike.  Extra columns are not read.
+learned from and count as not held out.  Repeated rows are scored alike.  Texts are scored whole, whatever their length.  An empty table
+gives no rows.  Extra columns are not read.
 """
 
 from __future__ import annotations

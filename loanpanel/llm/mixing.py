@@ -11,7 +11,7 @@ are put in order.  What a document gives then follows from its own key and one r
 
 Cases: a NULL source is a source, the last one.  NULL and empty texts have size 0 and give nothing.  NULL ids are ids like any other.  Rows
 alike in id and text have the same key and give the same; if the words run out among them they share what is left.
-An empty table stays empty.  Extra columns are kept by ``mix_documents`` and not read by ``mix``.
+Words of a text are counted whole, whatever its length.  An empty table stays empty.  Extra columns are kept by ``mix_documents`` and not read by ``mix``.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ per hashed feature and makes the proximal update.  A text is scored with one spa
 
 Cases: NULL and empty texts score by the intercept alone.  A doc_id with several labels counts as the label of the
 majority, ties as 1.  NULL ids are never learned from and count as not held out.  Without labels every score is 0.5.
-Repeated rows score alike.  Extra columns are not read.
+Repeated rows score alike.  Texts are scored whole, whatever their length.  An empty table gives no rows.  Extra columns are not read.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ The shard follows from the key and the number of shards alone.  When one shard i
 appended, a key either stays or moves into the new one.
 
 Cases: NULL keys hash like one key of their own.  A NULL text has no bytes and the crc of no bytes.  Rows that
-repeat a key share its shard, each with its own slot.  Extra columns are not read.
+repeat a key share its shard, each with its own slot.  Long texts are measured whole.  An empty table gives no rows.  Extra columns are
+not read by ``assign_shards`` and kept by ``write_shards``.
 """
 
 from __future__ import annotations

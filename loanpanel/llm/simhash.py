@@ -14,7 +14,8 @@ subtrie large.  Each task passes on a spanning forest of its links and not the l
 
 Cases: NULL, empty and wordless texts have fingerprint zero and are linked like any other.  A text with fewer
 words than a shingle is one shingle.  Repeated rows and NULL ids are rows like any other; a component
-whose ids are all NULL has a NULL id.  Extra columns are not read.
+whose ids are all NULL has a NULL id.  Texts are hashed whole, whatever their length, bit counts being all that is kept of one.  An empty
+table gives no rows.  Extra columns are not read.
 """
 
 from __future__ import annotations

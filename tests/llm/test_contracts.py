@@ -827,6 +827,21 @@ def test_gradients_do_not_depend_on_partitions(spark, sf):
         assert (first[0] == other[0]).all() and np.abs(first[1] - other[1]).max() < 1e-7
 
 
+# ---- 8 files ----
+
+def test_written_shards_hold_the_rows_assigned_to_them(spark, odd, tmp_path):
+    sharding.write_shards(odd, str(tmp_path / "shards"), 16)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(back.columns) == sorted([*odd.columns, "shard"])
+    got = sorted([(str(r["doc_id"]), r["text"] or "", r["shard"]) for r in back.collect()])
+    text = {}
+    for r in odd.collect():
+        text.setdefault(str(r["doc_id"]), []).append(r["text"] or "")
+    want = sorted((str(r["doc_id"]), t, r["shard"]) for r in sharding.assign_shards(odd).dropDuplicates(["doc_id"]).collect()
+                  for t in text[str(r["doc_id"])])
+    assert got == want and sum(map(len, text.values())) == odd.count()
+
+
 # ---- pipeline ----
 
 def test_pipeline_on_odd_rows(spark, tables):
