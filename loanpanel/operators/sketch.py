@@ -134,23 +134,31 @@ def _task(strata: list[str], share: float, schema: pa.Schema):
     return run
 
 
+def least_tasks(rows: DataFrame) -> int:
+    """A number of tasks that a scan has at least, known without planning or running it: its files, as far as there are cores."""
+    return max(1, min(rows.sparkSession.sparkContext.defaultParallelism, len(rows.inputFiles())))
+
+
 def sketched(rows: DataFrame, strata: list[str], target_n: int, keys: list[str], seed: int = SEED, more: float = MORE,
-             least: int = LEAST) -> DataFrame:
-    """Staged ``keys, strata, _d, _n, _below``: rows of low digest (``_n`` NULL), and counts per task and stratum."""
+             least: int = LEAST, tasks: int | None = None) -> DataFrame:
+    """Staged ``keys, strata, _d, _n, _below``: rows of low digest (``_n`` NULL), and counts per task and stratum.
+
+    ``tasks`` is the number that an even share is reckoned with; fewer than there are only make tasks keep more.
+    """
     thin = rows.select(*dict.fromkeys([*keys, *strata]), F.substring(key_digest(*keys, seed=seed), 1, DIGITS).alias("_d"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in thin.schema.fields]).add("_n", "long").add("_below", "string")
-    share = max(more * target_n / max(thin.rdd.getNumPartitions(), 1), least)
+    share = max(more * target_n / (tasks or least_tasks(rows)), least)
     return stage(thin.mapInArrow(_task(strata, share, to_arrow_schema(schema)), schema), "bottom-rows")
 
 
 def draw_in_one_pass(rows: DataFrame, strata: list[str], target_n: int, keys: list[str], seed: int = SEED, more: float = MORE,
-                     least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+                     least: int = LEAST, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(keys and strata of the drawn rows, strata table)``: the same as ``strata_rates`` and ``stratified_sample``.
 
     ``rows`` is scanned once, and once more only for strata that the sketch has too few rows of.
     """
     columns = list(dict.fromkeys([*keys, *strata]))
-    sketch = sketched(rows, strata, target_n, keys, seed, more, least)
+    sketch = sketched(rows, strata, target_n, keys, seed, more, least, tasks)
     counts = stage(sketch.where(F.col("_n").isNotNull()).groupBy(*strata).agg(
         F.sum("_n").alias("n"), F.min("_below").alias("_below")), "sketch-counts")
     rates = strata_rates(rows, strata, target_n, counts.select(*strata, "n"))
