@@ -27,7 +27,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 
-from loanpanel.llm.common import map_texts
+from loanpanel.llm.common import bound_batches, map_texts
 
 ID_TYPE = "<u4"  # an id as bytes: unsigned, little-endian
 KEPT_PIECES, KEPT_CHARS = 150_000, 32  # pieces that a worker remembers, twice as many at most, and the longest of them
@@ -211,6 +211,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
             return doc_ids, [encoder.encode(text.as_py() or "") for text in texts]
         return lambda columns: work(*columns)
 
+    bound_batches(docs.sparkSession)
     return map_texts(docs.select("doc_id", "text"), "doc_id long, ids binary", begin)
 
 
@@ -225,4 +226,5 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
             return doc_ids, packed, texts
         return lambda columns: work(*columns)
 
+    bound_batches(encoded.sparkSession)
     return map_texts(encoded.select("doc_id", "ids"), "doc_id long, ids binary, text string", begin)
