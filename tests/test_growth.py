@@ -1,9 +1,24 @@
 """Work and memory that grow no faster than the tables."""
 
 from loanpanel.plans import queries as q
+from loanpanel.sources import fixtures as fx
+from loanpanel.sources.tables import stage
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_every_window_is_a_row(spark, sf):
     got = q.all_queries()["target_window"](spark, sf)
     assert {"loan_id", "ao_dt", "l_index", "target_pp"} <= set(got.columns)
     assert got.count() == q.windowed(spark, sf).count() == got.select("loan_id", "ao_dt").distinct().count()
+
+
+def test_tapes_are_unfolded_in_tasks_of_bounded_size(spark, sf, monkeypatch):
+    monkeypatch.setattr(fx, "MONTHS_PER_TASK", 50)
+    monkeypatch.setattr(fx, "ZIPS_PER_TASK", 10)
+    loans, econ = fx.nested_loans(spark, sf), fx.econ_table(spark, sf)
+    assert stage(loans, "many").inputFiles().__len__() > 8
+    assert "Exchange" not in plan(econ).split("explode")[0]  # dealt below the explode, not above it
+    assert econ.rdd.getNumPartitions() == -(-econ.select("zip").distinct().count() // 10)
