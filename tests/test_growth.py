@@ -1,14 +1,48 @@
-"""Work and memory that grow no faster than the tables."""
+"""Work and memory that grow no faster than the tables: histories are neither broadcast nor shuffled per as-of row."""
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from loanpanel.operators import panel, targets
 from loanpanel.plans import queries as q
 from loanpanel.sources import fixtures as fx
-from loanpanel.sources.tables import stage
+from loanpanel.sources.tables import nest_history, stage
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_a_loan_join_never_broadcasts_histories(spark, sf):
+    base = q.loans(spark, sf)
+    sample = panel.as_of_panel(base, fx.SOURCE, q.WHERE1)
+    assert "BroadcastHashJoin" not in plan(targets.target_window(sample, base, fx.SOURCE, q.WINDOW))
+    assert "BroadcastHashJoin" not in plan(targets.target_pairs(sample, base, fx.SOURCE))
+
+
+def test_carried_histories_need_no_shuffle_and_give_the_rows_of_the_join(spark, sf):
+    for profile in (fx.SOURCE, fx.SECOND):
+        base = q.loans(spark, sf).where("loan_id % 10 = 0")
+        sample = panel.as_of_panel(base, profile, q.WHERE1)
+        carried = targets.with_history(base, profile, q.WHERE1)
+        assert "Exchange" not in plan(carried)
+        window = targets.window_rows(carried, q.WINDOW)
+        assert rows(targets.target_window(sample, base, profile, q.WINDOW).select(*window.columns)) == rows(window)
+        pairs = targets.explode_targets(carried, profile)
+        assert rows(targets.target_pairs(sample, base, profile).select(*pairs.columns)) == rows(pairs)
+
+
+def test_queries_of_pairs_and_windows_join_no_loans(spark, sf):
+    for profile in (fx.SOURCE, fx.SECOND):
+        assert "Join" not in plan(q.pairs(spark, sf, profile=profile)) + plan(q.windowed(spark, sf, profile))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_every_window_is_a_row(spark, sf):
     got = q.all_queries()["target_window"](spark, sf)
     assert {"loan_id", "ao_dt", "l_index", "target_pp"} <= set(got.columns)
@@ -22,3 +56,11 @@ def test_tapes_are_unfolded_in_tasks_of_bounded_size(spark, sf, monkeypatch):
     assert stage(loans, "many").inputFiles().__len__() > 8
     assert "Exchange" not in plan(econ).split("explode")[0]  # dealt below the explode, not above it
     assert econ.rdd.getNumPartitions() == -(-econ.select("zip").distinct().count() // 10)
+
+
+def test_nesting_takes_as_many_tasks_as_the_tape_has_files(spark):
+    tape = spark.range(0, 4000, 1, 40).select(
+        (F.col("id") % 500).alias("loan_id"), F.add_months(F.lit(dt.date(2000, 1, 1)), (F.col("id") / 500).cast("int")).alias("month"),
+        F.col("id").alias("upb"))
+    nested = nest_history(stage(tape, "tape"))
+    assert nested.count() == 500 and nested.rdd.getNumPartitions() == 40
