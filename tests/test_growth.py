@@ -37,6 +37,19 @@ def test_carried_histories_need_no_shuffle_and_give_the_rows_of_the_join(spark,
         assert rows(targets.target_pairs(sample, base, profile).select(*pairs.columns)) == rows(pairs)
 
 
+def test_repeated_and_missing_loan_numbers_meet_the_same_histories(spark, sf):
+    base = q.loans(spark, sf).where("loan_id % 10 = 0")
+    again = base.where("loan_id % 20 = 0").withColumns({"fico": F.lit(1), "monthly": F.slice("monthly", 3, 100)})
+    base = stage(base.unionByName(again).unionByName(again).unionByName(
+        base.where("loan_id = 30").withColumn("loan_id", F.lit(None).cast("bigint"))), "again")
+    sample = panel.as_of_panel(base, fx.SOURCE, q.WHERE1)
+    carried = targets.with_history(base, fx.SOURCE, q.WHERE1)
+    for rows_of, joined in ((lambda d: targets.window_rows(d, q.WINDOW), targets.target_window(sample, base, fx.SOURCE, q.WINDOW)),
+                            (lambda d: targets.explode_targets(d, fx.SOURCE), targets.target_pairs(sample, base, fx.SOURCE))):
+        got = rows_of(carried)
+        assert rows(joined.select(*got.columns)) == rows(got)
+
+
 def test_queries_of_pairs_and_windows_join_no_loans(spark, sf):
     for profile in (fx.SOURCE, fx.SECOND):
         assert "Join" not in plan(q.pairs(spark, sf, profile=profile)) + plan(q.windowed(spark, sf, profile))
