@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from loanpanel.operators import econ as economics
 from loanpanel.operators import panel, targets
 from loanpanel.plans import queries as q
 from loanpanel.sources import fixtures as fx
@@ -77,3 +78,20 @@ def test_nesting_takes_as_many_tasks_as_the_tape_has_files(spark):
         F.col("id").alias("upb"))
     nested = nest_history(stage(tape, "tape"))
     assert nested.count() == 500 and nested.rdd.getNumPartitions() == 40
+
+
+def test_the_rollup_sorts_no_row_of_the_finer_table(spark, sf):
+    rolled = economics.rollup_econ(fx.staged(spark, sf, "econ"))
+    first_step = [line for line in plan(rolled).splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in first_step and "Sort" not in first_step
+
+
+def test_the_rollup_is_over_all_rows_whatever_their_texts(spark):
+    names = "zip3 string, zip3_hpi double, unemp_rate double, lbr_force double, msa_name string, state string, fc_days int, fc_type string"
+    table = spark.createDataFrame([
+        ("001", 1.0, 2.0, 10.0, "B", "S1", 5, None), ("001", 2.0, 4.0, 30.0, "A", "S2", 7, "x"), ("001", None, None, 60.0, "A", "S2", 6, "y"),
+        ("002", None, 1.0, None, None, None, None, None), ("002", None, 1.0, None, "", "S3", 1, None)], names)
+    rates = {c: F.lit(3.0) for c in ("mort_fix30", "mort_fix15", "treas10", "q10", "q25", "q50", "q75", "q90")}
+    got = economics.rollup_econ(table.withColumns({"month": F.lit(dt.date(2000, 1, 1)), **rates})).select(
+        "zip3", "hpi", "unemp_rate", "lbr_force", "msa_name_loc", "fc_days", "fc_type")
+    assert rows(got) == [("001", 1.5, 1.4, 100.0, "B", 7, "y"), ("002", None, None, None, "S3", 1, None)]
