@@ -4,6 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from loanpanel.operators import econ as economics
 from loanpanel.operators import panel, targets
 from loanpanel.plans import queries as q
@@ -95,3 +97,19 @@ def test_the_rollup_is_over_all_rows_whatever_their_texts(spark):
     got = economics.rollup_econ(table.withColumns({"month": F.lit(dt.date(2000, 1, 1)), **rates})).select(
         "zip3", "hpi", "unemp_rate", "lbr_force", "msa_name_loc", "fc_days", "fc_type")
     assert rows(got) == [("001", 1.5, 1.4, 100.0, "B", 7, "y"), ("002", None, None, None, "S3", 1, None)]
+
+
+def test_calendars_are_gathered_in_tasks_of_bounded_size(spark, monkeypatch):
+    """With and without gaps; a month that a geo has twice stops the job."""
+    seen = []
+    monkeypatch.setattr(economics, "CALENDAR_ROWS", 20)
+    monkeypatch.setattr(economics, "stage", lambda df, label: seen.append(df.rdd.getNumPartitions()) or stage(df, label))
+    month = F.add_months(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 12).cast("int"))
+    ref = stage(spark.range(480).select(F.floor(F.col("id") / 12).alias("geo"), month.alias("month"), F.col("id").alias("v")).where(
+        "geo % 2 = 0 OR v % 3 > 0"), "ref")
+    df = stage(spark.range(480).select(F.floor(F.col("id") / 12).alias("geo"), month.alias("day")), "days")
+    got = economics.multi_date_join(df, ref, {"at": "day"}, "geo", how="left", limit=0)
+    wanted = df.join(ref.withColumnRenamed("month", "day"), ["geo", "day"], "left").select("geo", "day", F.col("v").alias("at_v"))
+    assert rows(got) == rows(wanted) and seen == [-(-ref.count() // 20)]
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        economics.multi_date_join(df, stage(ref.unionByName(ref.where("v = 5")), "twice"), {"at": "day"}, "geo", limit=0).collect()
