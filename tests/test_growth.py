@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from loanpanel.operators import econ as economics
-from loanpanel.operators import panel, targets
+from loanpanel.operators import panel, sampling, targets
 from loanpanel.plans import queries as q
 from loanpanel.sources import fixtures as fx
 from loanpanel.sources.tables import nest_history, stage
@@ -113,3 +113,24 @@ def test_calendars_are_gathered_in_tasks_of_bounded_size(spark, monkeypatch):
     assert rows(got) == rows(wanted) and seen == [-(-ref.count() // 20)]
     with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
         economics.multi_date_join(df, stage(ref.unionByName(ref.where("v = 5")), "twice"), {"at": "day"}, "geo", limit=0).collect()
+
+
+def test_a_small_draw_unfolds_the_drawn_loans_only(spark, sf):
+    base = q.loans(spark, sf)
+    again = base.where("loan_id % 3 = 0").withColumns({"state": F.lit("again"), "monthly": F.slice("monthly", 2, 100)})
+    none = base.where("loan_id % 7 = 0").withColumn("loan_id", F.lit(None).cast("bigint"))
+    base = stage(base.unionByName(again).unionByName(none), "odd-loans")
+    strata = ["state", "ao_dq_cap6"]
+    whole = panel.as_of_panel(base, fx.SOURCE, q.WHERE1)
+    got = panel.sample_as_of(base, fx.SOURCE, strata, 300, q.WHERE1)
+    assert "_dates" in plan(got)
+    assert rows(got) == rows(sampling.stratified_sample(whole, strata, 300, q.KEYS1).select(*got.columns))
+
+
+def test_the_widened_book_is_written_once(spark, sf, monkeypatch):
+    seen = []
+    monkeypatch.setattr(q, "stage", lambda df, label: seen.append(label) or stage(df, label))
+    monkeypatch.setattr(q, "run", lambda *_: (_ for _ in ()).throw(KeyError))
+    with pytest.raises(KeyError):
+        q.all_columns(spark, sf, q.PAY_PLAN)
+    assert seen == ["wide"]
